@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mandrel.llm import decontaminate, near_dup, packing, quality_rules, secret_scan
-from mandrel.llm.common import OWN, table
+from mandrel.llm import chat_format, decontaminate, html_extract, language_id, near_dup, packing, quality_classifier, quality_rules, secret_scan, sharding
+from mandrel.llm.common import OWN, crc_fold, table
 from mandrel.llm.oracle import ORACLES
 
 
@@ -22,6 +22,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    role = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    back = chat_format.read_back(chat_format.windows(turns.unionByName(probe)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    rows = back.select("conv_id", F.struct("window", F.size("turns").cast("long").alias("n"), said.alias("said"), "target", "chars").alias("w"))
+    convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("ws"))
+    joined = lambda c: F.array_join(F.transform("ws", lambda w: w[c]), "")
+    total = lambda c: F.aggregate("ws", F.lit(0).cast("long"), lambda a, w: a + w[c])
+    convs = convs.select("conv_id", total("n").alias("n_turns"), joined("said").alias("said"), joined("target").alias("target"), total("chars").alias("formatted_chars"), F.size("ws").cast("long").alias("n_windows"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return convs.select(
+        "conv_id", "n_turns", digest("said").alias("turns_sha256"), F.length("target").cast("long").alias("loss_chars"),
+        digest("target").alias("loss_sha256"), "formatted_chars", "n_windows",
+    )
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = f"{OWN}spans"
     rows = secret_scan.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), into=spans)
@@ -39,6 +57,23 @@ def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_fold(F.col("doc_id"), 3) == 1
+    found = language_id.predict(docs, language_id.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.assign(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html_extract.main_text(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
@@ -50,8 +85,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[f"{found}.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256")], decontaminate.is_contaminated(F.col(found)).alias("contaminated"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    found = quality_classifier.score(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels"), ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_secret_scan, op4_packing, op8_near_dup, op9_decontaminate)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate, op10_quality_classifier)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
