@@ -1,0 +1,60 @@
+"""Type-2 history kept up to date from a stream: each micro-batch rebuilds the keys that it touches."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from mandrel.operators.scd2 import scd2
+
+
+class History:
+    """Feed and history as Parquet in a shared folder, with a pointer to the current version of each.
+
+    A batch writes a new version and then moves the pointer, so a batch that fails or comes again changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence: Sequence[str], track: Sequence[str], ignore_null: bool = False):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.how = (list(keys), list(sequence), list(track), ignore_null)
+
+    def _pointer(self) -> DataFrame:
+        return self.spark.read.text(f"{self.root}/current")
+
+    def _current(self) -> tuple[str, int] | None:
+        from mandrel.streaming.ingest import exists
+
+        if not exists(self.spark, f"{self.root}/current"):
+            return None
+        name, batch = self._pointer().first()[0].split(" ")
+        return name, int(batch)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{self._current()[0]}/history")
+
+    def apply(self, rows: DataFrame, batch: int) -> None:
+        now = self._current()
+        if now and batch <= now[1]:
+            return
+        feed = rows
+        if now:
+            feed = self.spark.read.parquet(f"{self.root}/{now[0]}/feed").unionByName(rows)
+        name = uuid.uuid4().hex
+        feed.write.parquet(f"{self.root}/{name}/feed")
+        feed = self.spark.read.schema(feed.schema).parquet(f"{self.root}/{name}/feed")
+        keys = self.how[0]
+        if now:
+            touched = rows.select(*keys).distinct()
+            new = scd2(feed.join(touched, keys, "left_semi"), *self.how)
+            new = self.read().join(touched, keys, "left_anti").unionByName(new)
+        else:
+            new = scd2(feed, *self.how)
+        new.write.parquet(f"{self.root}/{name}/history")
+        self.spark.range(1).selectExpr(f"'{name} {batch}' AS value").coalesce(1).write.mode("overwrite").text(f"{self.root}/current")
+
+    def follow(self, feed: DataFrame, checkpoint: str):
+        """Run a streaming feed to its end."""
+        query = feed.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
