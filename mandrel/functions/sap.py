@@ -15,7 +15,7 @@ def dats(c: str) -> Column:
 
 def stamp(c: str | Column) -> Column:
     """yyyyMMddHHmmss as a timestamp."""
-    return F.to_timestamp(c, F.lit("yyyyMMddHHmmss")) if isinstance(c, Column) else F.to_timestamp(F.col(c), F.lit("yyyyMMddHHmmss"))
+    return F.to_timestamp(c, "yyyyMMddHHmmss")
 
 
 def amount(c: str) -> Column:
