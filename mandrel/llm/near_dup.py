@@ -7,13 +7,15 @@
 2. Texts with the same key are copies: one class representative stands for them from here on.
 3. Banding: 51 bands of five compressed registers. At a similarity of 0.75 a pair shares no band with a
    probability of 1e-6. Bands that one representative has alone are dropped by a partial count.
-4. First round: members of a band meet its least and its greatest key (keys are hashes, so these are two
-   random centres). Pairs whose collision-corrected estimate is five standard errors below the threshold
-   are dropped, the others verified on full sets.
-5. Components of the verified links; bands whose members lie in different components are then compared
-   member by member over components, less what the exact distances to the centres rule out (Jaccard
-   distance is a metric). So a large group of near copies costs a star, and no pair over components that
-   shares a band goes unverified.
+4. First round: members of a band meet two centres, the one whose bands have most members (of a group of
+   near copies that is the least edited one) and the least key (a random one). Pairs whose
+   collision-corrected estimate is five standard errors below the threshold are dropped, the others
+   verified on full sets.
+5. Components of the verified links. Where a band's members lie in different components, members of
+   different components are compared: pair by pair in bands of up to 16, and in larger ones by blocks,
+   in which everyone outside the band's largest component meets everyone, on full sets; a block returns
+   links that join components, at most one for each member. So a large group of near copies costs a star
+   and its outliers, and no pair over components that shares a band goes unverified.
 
 Defined results: a text without words has an empty set, links with nothing and is kept; fewer words than
 the shingle size are one shingle; null ids sort last, so a class's id is its least id that isn't null;
@@ -41,6 +43,9 @@ BANDS, ROWS = 51, 5
 #: Probability that two unrelated registers agree: equal leading-zero counts (a half at most), equal mantissas.
 COLLISION = 0.5 / (1 << MANTISSA_BITS)
 
+#: Bands of up to PAIRED members are compared pair by pair, larger ones in blocks of BLOCK.
+PAIRED, BLOCK = 16, 1024
+
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -187,6 +192,56 @@ def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, threshold: int
     return p.select("a", "b", (1 - F.col("both") / union).alias("distance"), (100 * F.col("both") >= threshold * union).alias("linked"))
 
 
+def _joins(group: pd.DataFrame, threshold: int = THRESHOLD) -> pd.DataFrame:
+    """Links between components in one block: every probe against every row, on full sets."""
+    flat = np.concatenate(group["shingles"].to_numpy())
+    ends = np.cumsum([len(x) for x in group["shingles"]])
+    starts = np.concatenate([[0], ends[:-1]])
+    sizes = ends - starts
+    names, where = np.unique(flat, return_inverse=True)
+    keys, probe = group["key"].to_numpy(), group["probe"].to_numpy()
+    of = pd.factorize(group["label"])[0]
+    links = []
+    for k in np.flatnonzero(probe):
+        others = of != of[k]
+        if not others.any():
+            continue
+        mark = np.zeros(len(names), dtype=np.int32)
+        mark[where[starts[k] : ends[k]]] = 1
+        both = np.add.reduceat(mark[where], starts)
+        near = np.flatnonzero(others & (100 * both >= threshold * (sizes + sizes[k] - both)))
+        for x in near:
+            if of[x] != of[k]:
+                links.append((keys[k], keys[x]))
+                of[of == of[x]] = of[k]
+    return pd.DataFrame(links, columns=["a", "b"])
+
+
+def _over_components(members: DataFrame, labels: DataFrame, first: DataFrame, reps: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between members of a band that lie in different components so far."""
+    named = members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
+    named = staged(named.join(mixed, "band"), "mixed")
+    few = named.where(F.col("n") <= PAIRED).select("band", "key", "label")
+    meets = (F.col("l.band") == F.col("r.band")) & (F.col("l.key") < F.col("r.key")) & (F.col("l.label") != F.col("r.label"))
+    more = few.alias("l").join(few.alias("r"), meets).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
+    more = staged(more.join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    paired = _verified(more, reps, sets, threshold).where("linked").select("a", "b")
+    many = named.where(F.col("n") > PAIRED)
+    each = many.groupBy("band", "label").agg(F.count("*").alias("c")).groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("c"))
+    many = many.join(each, "band").withColumn("probe", F.col("label") != F.col("main"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    at = F.xxhash64("key")
+    rows, probes = blocks(F.col("n")), blocks(F.col("n") - F.col("c"))
+    task = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    as_row = many.select("band", "key", "label", F.lit(False).alias("probe"), F.explode(F.transform(upto(probes), lambda i: task(i, F.pmod(at, rows)))).alias("t"))
+    as_probe = many.where("probe").select("band", "key", "label", "probe", F.explode(F.transform(upto(rows), lambda j: task(F.pmod(at, probes), j))).alias("t"))
+    tasks = as_row.unionByName(as_probe).select("band", "t.i", "t.j", "key", "label", "probe").join(sets, "key")
+    blocked = tasks.groupBy("band", "i", "j").applyInPandas(lambda g: _joins(g, threshold), "a binary, b binary")
+    return staged(paired.unionByName(blocked).distinct(), "second")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id (least id of its class), kept."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -195,9 +250,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     reps = rows.where("key is not null").join(copies.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     reps = staged(reps.select("key", "rep", "n_shingles", "sketch").dropDuplicates(["key"]), "reps")
     bands = reps.select("key", F.explode(F.array(*[F.xxhash64(F.lit(j), F.substring("sketch", 2 * ROWS * j + 1, 2 * ROWS)) for j in range(BANDS)])).alias("band"))
-    centres = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).where("n > 1").drop("n")
-    members = staged(bands.join(centres, "band"), "members")
-    pairs = members.select(F.col("key").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a != b")
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = staged(bands.join(shared, "band"), "members")
+    company = members.groupBy("key").agg(F.sum("n").alias("company"))
+    centres = members.join(company, "key").groupBy("band").agg(F.max_by("key", F.struct("company", "key")).alias("best"), F.min("key").alias("low"))
+    pairs = members.join(centres, "band").select(F.col("key").alias("b"), F.explode(F.array("best", "low")).alias("a")).where("a != b")
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # Full sets of the representatives that any pair needs; only ids and keys move, then their texts.
     asked = members.select(F.col("key").alias("k")).distinct().join(reps.select(F.col("key").alias("k"), "rep"), "k").select(F.col("rep").alias("doc_id"))
@@ -207,18 +264,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     sets = staged(sets.dropDuplicates(["key"]), "sets")
     first = staged(_verified(pairs, reps, sets, threshold), "first")
     labels = components(first.where("linked").select("a", "b"))
-    # Second round: bands over several components.
-    named = members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
-    named = named.join(mixed, "band").join(first.select(F.col("a").alias("low"), F.col("b").alias("key"), F.col("distance").alias("d")), ["low", "key"], "left")
-    named = staged(named.select("band", "key", "label", F.when(F.col("low") == F.col("key"), F.lit(0.0)).otherwise(F.col("d")).alias("d")), "mixed")
-    left, right = named.alias("l"), named.alias("r")
-    far = 1 - threshold / 100 + 1e-9
-    meets = (F.col("l.band") == F.col("r.band")) & (F.col("l.key") < F.col("r.key")) & (F.col("l.label") != F.col("r.label"))
-    near = F.coalesce(F.abs(F.col("l.d") - F.col("r.d")) <= far, F.lit(True))
-    more = left.join(right, meets & near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
-    more = staged(more.join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    second = staged(_verified(more, reps, sets, threshold).where("linked").select("a", "b"), "second")
+    second = _over_components(members, labels, first, reps, sets, threshold)
     # Components of the whole: links of both rounds; the first round's are stars already.
     labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(second))
     named = copies.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("label", "key").alias("label"))
