@@ -46,8 +46,8 @@ CLASSES = (
     CharClass("alnum", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.7),
     CharClass("base64", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-", 3.7),
 )
-#: A candidate: letters and digits mixed, of WINDOW characters or more.
-CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+#: A candidate: WINDOW characters or more, three digits and a letter at least; words with a number are none.
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=(?:[A-Za-z+/_=-]*[0-9]){{3}})(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 #: Strings that look random and are none: identifiers of public form, counting sequences, placeholders.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
