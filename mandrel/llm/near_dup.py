@@ -112,7 +112,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-SKETCHED = "doc_id long, key binary, n_shingles long, sketch binary"
+SKETCHED = "doc_id long, raw long, key binary, n_shingles long, sketch binary"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(None)
                     counts.append(0)
                     sketches.append(None)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "key", "n_shingles", "sketch"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "raw", "key", "n_shingles", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +244,12 @@ def _over_components(members: DataFrame, labels: DataFrame, first: DataFrame, re
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id (least id of its class), kept."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _classed(docs, doc_id, text, threshold).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _classed(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
+    """The same with `key` (of the words) and `raw` (hash of the text as it is)."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("raw"))
     rows = staged(docs.mapInArrow(_sketched, SKETCHED), "sketched")
     copies = staged(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep")), "copies")
     reps = rows.where("key is not null").join(copies.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
@@ -270,24 +275,25 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     named = copies.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("label", "key").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_key = named.join(least, "label").select("key", "component_id")
-    out = rows.select("doc_id", "n_shingles", "key").join(of_key, "key", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("key").isNull().alias("empty"))
+    out = rows.select("doc_id", "n_shingles", "key", "raw").join(of_key, "key", "left")
+    out = out.select("doc_id", "n_shingles", "key", "raw", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("key").isNull().alias("empty"))
     return out.withColumn("kept", F.col("empty") | F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("empty")
 
 
 def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of docs for each class, that of its least id, with the columns of docs. Texts without words all stay.
 
-    Rows that repeat a kept document's id are the same document again; one of them stays.
+    Rows that repeat a kept document, with its id and words, are the same document again; one of them stays.
     """
-    found = staged(classes(docs, doc_id, text), "classes")
-    stay = found.where("kept")
-    mark = f"{OWN}id"
-    ids = stay.groupBy(F.col("doc_id").alias(mark)).agg(F.count("*").alias(f"{OWN}n"), F.max("n_shingles").alias(f"{OWN}most"))
-    again = staged(ids.where((F.col(f"{OWN}n") > 1) & (F.col(f"{OWN}most") > 0)), "again")
-    rows = docs.join(ids.select(mark), F.col(doc_id).cast("long").eqNullSafe(F.col(mark)), "left_semi")
+    found = _classed(docs, doc_id, text, THRESHOLD).where("kept")
+    mark, raw, n = f"{OWN}id", f"{OWN}raw", f"{OWN}n"
+    worded = found.where("key is not null").groupBy("doc_id", "key", "raw").agg(F.count("*").alias(n))
+    worded = worded.groupBy("doc_id", "key").agg(F.min_by(F.struct("raw", n), "raw").alias("x")).select(F.col("doc_id").alias(mark), F.col("x.raw").alias(raw), F.col(f"x.{n}").alias(n))
+    bare = found.where("key is null").select(F.col("doc_id").alias(mark), F.col("raw").alias(raw), F.lit(1).cast("long").alias(n)).distinct()
+    ids = staged(worded.unionByName(bare), "stay")
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(mark)) & F.xxhash64(text).eqNullSafe(F.col(raw))
+    again = ids.where(F.col(n) > 1)
+    rows = docs.join(ids.where(F.col(n) == 1).select(mark, raw), same, "left_semi")
     if not again.limit(1).count():
         return rows
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col(mark))
-    once = docs.join(again.select(mark), same, "left_semi").dropDuplicates([doc_id])
-    return rows.join(again.select(mark), same, "left_anti").unionByName(once)
+    return rows.unionByName(docs.join(again.select(mark, raw), same, "left_semi").dropDuplicates([doc_id, text]))
