@@ -5,7 +5,7 @@
    the tail's ids.
 2. The histogram of tail lengths has one bin for each length below the window, whatever the corpus.
    Shallow combinations of up to three lengths that fill a window are enumerated; non-negative least
-   squares finds how often to use each; counts are rounded down, so that they are feasible.
+   squares finds how often to use each; counts are rounded, and lowered to what the histogram still has.
 3. What the rounded counts leave is packed greedily, the longest first, cutting a tail where a window
    ends; only the last sequence of all is padded.
 4. Every tail finds its place from its length and its rank among the tails of that length. Ranks are
@@ -212,7 +212,7 @@ def plan(counts: np.ndarray, window: int = WINDOW) -> Plan:
     for k in np.argsort(-want, kind="stable"):
         need = np.bincount(np.array(patterns[k]), minlength=window)
         most = min(int(left[x] // need[x]) for x in set(patterns[k]))
-        times = min(int(want[k] + 1e-6), most)
+        times = min(int(want[k] + 0.5), most)
         if times <= 0:
             continue
         offset = 0
