@@ -1,12 +1,12 @@
 """Sharding by balanced label propagation, with DataFrame functions only.
 
-Documents with equal texts are linked. A node is up to a part of a shard's share of such copies, so a text
-that a third of all documents have becomes many nodes and no shard is asked to hold it. Every row starts
-with a label from its id; each round a join takes the rows of a node towards the label that most of its
-rows have, and a quota decides: the share of movers that a shard accepts is its free capacity over the
-rows that want in. After the rounds what quotas left apart settles with its node's majority, and rows lie in one order, by label and node;
-equal cuts of that order are the shards. So counts are at most one apart (law `rows`), and a cut parts at
-most one node.
+Documents with equal texts are linked. A node is up to half a shard's share of such copies, so a text that a
+third of all documents have becomes many nodes and no shard is asked to hold it. Every row starts with a label
+from its id; each round a join takes the rows of a node towards the label that most of its rows have, and a
+quota decides: the share of movers that a shard accepts is its free capacity over the rows that want in. After
+the rounds what quotas left apart settles with its node's majority. Shards take their nodes first; rows that
+are linked with nothing, and what of the nodes is over a shard's exact share, fill the shards up. So counts are
+at most one apart (law `rows`), and only nodes over a share are parted.
 
 Only ids, sizes and hashes move, never texts. Texts are equal when their 64-bit hash, checksum and size are.
 
@@ -23,10 +23,10 @@ from mandrel.llm.common import staged
 
 SHARDS, ROUNDS = 40, 3
 #: Rows of a node at most, as a part of a shard's share.
-PART = 8
+PART = 2
 #: How far a shard may be over its share while labels move.
 SLACK = 1.02
-#: Ranges of the order within a shard, more where a range would hold more rows than this.
+#: Hash ranges that a shard's rows are numbered in, more where a range would hold more rows than this.
 RANGES, RANGE_ROWS = 64, 1_000_000
 
 
@@ -67,7 +67,7 @@ def propagate(rows: DataFrame, total: int, shards: int = SHARDS, rounds: int = R
         moved = wants.join(F.broadcast(quota), "goal", "left")
         now = F.when(_share(*_NODE, "label", salt=k) < F.coalesce("accepts", F.lit(1.0)), F.col("goal")).otherwise(F.col("now"))
         state = staged(moved.select(*_NODE, "label", "n", now.alias("now")), f"labels{k}")
-    # What the quotas left apart settles where most of its node is; the equal cuts of the order keep the law.
+    # What the quotas left apart settles where most of its node is; what is then over a shard's share goes on as free rows.
     held = state.groupBy(*_NODE, "now").agg(F.sum("n").alias("n"))
     goal = held.groupBy(*_NODE).agg(F.max_by("now", F.struct("n", -F.col("now"))).alias("goal"))
     return state.drop("now").join(goal.withColumnRenamed("goal", "now"), _NODE)
@@ -84,22 +84,35 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, doc_id:
     total = rows.count()
     rows = staged(linked(rows, total, shards), "linked")
     state = propagate(rows, total, shards, rounds).select(*_NODE, "label", "now")
-    joined = rows.where("part is not null").join(state, [*_NODE, "label"])
-    free = rows.where("part is null").withColumn("now", F.col("label"))
     ranges = max(RANGES, total // (shards * RANGE_ROWS))
-    at = F.when(F.col("part").isNull(), F.xxhash64(F.lit(3), "doc_id")).otherwise(F.xxhash64(F.lit(4), *_NODE))
-    # Nodes lie in the middle half of a label's ranges: cuts fall near its ends, among rows that are linked with nothing.
-    half = F.pmod("key", F.lit(ranges // 2))
-    of = F.when(F.col("part").isNotNull(), half + ranges // 4).otherwise(F.when(half < ranges // 4, half).otherwise(half + ranges // 2))
-    placed = joined.unionByName(free).withColumn("key", at).withColumn("range", of.cast("int"))
-    placed = staged(placed.select("doc_id", "size", "text_crc32", "now", "range", "key"), "placed")
-    # One row for each range: shards * ranges, whatever the input.
-    sizes = placed.groupBy("now", "range").agg(F.count("*").alias("n"))
-    before = sizes.select("now", "range", F.coalesce(F.sum("n").over(Window.orderBy("now", "range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("now", "range").orderBy("key", "doc_id", "text_crc32", "size"))
-    out = placed.withColumn("rank", rank).join(before, ["now", "range"])
-    out = out.withColumn("position", F.col("before") + F.col("rank") - 1)
-    shard = F.expr(f"(position * {shards}L) div {max(total, 1)}L")
-    out = out.withColumn("shard", shard.cast("int"))
-    first = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
-    return out.select("doc_id", "size", "text_crc32", "shard", (F.col("position") - first).cast("long").alias("slot"))
+    content = ["key", "doc_id", "text_crc32", "size"]
+    nodes = rows.where("part is not null").join(state, [*_NODE, "label"]).withColumn("key", F.xxhash64(F.lit(4), *_NODE))
+    nodes = _ranked(nodes.select("now", *content), ["now"], F.pmod("key", F.lit(ranges)), content, "nodes")
+    # At most one row for each shard goes to the driver; quotas are the exact sizes of the law.
+    load = {r["now"]: r["n"] for r in nodes.groupBy("now").agg(F.count("*").alias("n")).collect()}
+    quota = [total * (s + 1) // shards - total * s // shards for s in range(shards)]
+    taken = [min(load.get(s, 0), quota[s]) for s in range(shards)]
+    room = [0]
+    for s in range(shards):
+        room.append(room[-1] + quota[s] - taken[s])
+    of = lambda values, s: F.get(F.array(*[F.lit(v).cast("long") for v in values]), s)
+    fits = F.col("position") < of(quota, F.col("now"))
+    stay = nodes.where(fits).select("doc_id", "size", "text_crc32", F.col("now").alias("shard"), F.col("position").alias("slot"))
+    # Rows that are linked with nothing, and what of the nodes is over a quota, fill the shards up.
+    free = rows.where("part is null").withColumn("key", F.xxhash64(F.lit(3), "doc_id"))
+    pool = free.select(*content).unionByName(nodes.where(~fits).select(*content))
+    pool = _ranked(pool, [], F.pmod("key", F.lit(ranges * shards)), content, "pool")
+    ends = F.array(*[F.lit(v).cast("long") for v in room[1:]])
+    pool = pool.withColumn("shard", F.size(F.filter(ends, lambda end: end <= F.col("position"))))
+    slot = of(taken, F.col("shard")) + F.col("position") - of(room, F.col("shard"))
+    return stay.unionByName(pool.select("doc_id", "size", "text_crc32", F.col("shard"), slot.alias("slot")))
+
+
+def _ranked(rows: DataFrame, within: list[str], of: F.Column, order: list[str], label: str) -> DataFrame:
+    """rows with their position, from 0, in hash ranges that are counted first and then numbered side by side."""
+    rows = staged(rows.withColumn("range", of.cast("int")), label)
+    sizes = rows.groupBy(*within, "range").agg(F.count("*").alias("n"))
+    sofar = Window.partitionBy(*within).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*within, "range", F.coalesce(F.sum("n").over(sofar), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy(*within, "range").orderBy(*order))
+    return rows.withColumn("rank", rank).join(before, [*within, "range"]).withColumn("position", F.col("before") + F.col("rank") - 1).drop("rank", "before", "range")
