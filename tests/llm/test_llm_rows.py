@@ -1,0 +1,330 @@
+"""Row-wise operators: rules, decontamination, secrets, chat windows, extraction, models."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from mandrel.llm import chat_format, decontaminate, html_extract, language_id, quality_classifier, quality_rules, secret_scan
+from mandrel.llm.common import OWN
+
+DOCS = "doc_id long, text string"
+
+
+def docs(spark, texts, extra=False):
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    if extra:  # names that the operators use inside
+        df = df.withColumns({c: F.lit("mine") for c in ("n_words", "fail_bits", "key", "label", "score", "size", "host", "band", "spans", "kept")})
+    return df
+
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+
+
+def prose(n, seed=0):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + rng.choice(WORDS) for _ in range(n))
+
+
+# Quality rules
+
+
+def slow_measure(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    triples = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+    hit = {k + j for k, x in enumerate(triples) if triples.count(x) > 1 for j in range(3)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines), len(lines) - len(set(lines)), len(hit)
+
+
+ODD = [None, "", "   \n\t", "one", "a b c a b c", "a a a a a", "é ü x y", "x\x1fy z", "l1\nl1\n l1\nl2", "### $$ a|b", "A B C " * 40, "😀 " * 60, prose(80), "same line\n" * 3 + "\n\n"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_measurements_by_hand(text):
+    assert quality_rules.measure(text)[:6] == slow_measure(text)
+
+
+def test_ledger_policies_and_ablation(spark):
+    shout = prose(60).upper()
+    rows = quality_rules.ledger(docs(spark, [prose(60), shout, "short", None, "### $$$ " * 60], extra=True)).cache()
+    bits = {r.doc_id: r.fail_bits for r in rows.collect()}
+    assert bits[0] == 0 and bits[1] == 16 and bits[2] & 1 and bits[3] & 1 and bits[4] & 4
+    v1 = {r.doc_id for r in rows.where(quality_rules.passes("v1")).collect()}
+    assert v1 == {0, 1}
+    found = {r["rule"]: r for r in quality_rules.ablation(rows).collect()}
+    assert found["shouting"].n_failed_alone == 1 and found["shouting"].n_kept_without == 2
+    assert quality_rules.ablation(rows.where("false")).count() == 0
+
+
+def test_kept_returns_the_columns(spark):
+    df = docs(spark, [prose(60), None, "short"], extra=True)
+    out = quality_rules.kept(df)
+    assert out.columns == df.columns and [r.doc_id for r in out.collect()] == [0]
+    assert quality_rules.kept(df.where("false")).count() == 0
+
+
+# Decontamination
+
+
+def slow_hits(text, items, span=13):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = word.findall((text or "").translate(low))
+    hit, names = set(), set()
+    for name, item in items:
+        w = word.findall((item or "").translate(low))
+        n = min(span, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            for at in range(len(words) - n + 1):
+                if words[at : at + n] == w[k : k + n]:
+                    hit |= set(range(at, at + n))
+                    names.add(name)
+    return len(words), len(hit), sorted(names)
+
+
+ITEMS = [("10", prose(30, 1)), ("9", "Short Élan item"), ("x", None), ("e", "..."), ("10b", prose(30, 1)), ("rep", "go go go")]
+TEXTS = [None, "", prose(40, 1).upper(), "pre " + prose(30, 1).replace(" ", ", ") + " post", "short élan; item x", "shortélan item", "go go go go go", prose(20, 2), "short élan item short élan item", "short elan item", prose(30, 1)[:60]]
+
+
+def test_hits_by_hand(spark):
+    bench = spark.createDataFrame(ITEMS, "item_id string, text string")
+    rows = decontaminate.with_matches(docs(spark, TEXTS, extra=True), bench).orderBy("doc_id").select(f"{OWN}found.*").collect()
+    for text, r in zip(TEXTS, rows, strict=True):
+        n, hit, names = slow_hits(text, ITEMS)
+        assert (r.n_words, r.n_hit, r["items"]) == (n, hit, names)
+        assert r.items_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
+
+
+def test_many_automata_find_the_same():
+    whole, parts = decontaminate.Automaton(ITEMS), decontaminate.Automaton(ITEMS, limit=3)
+    assert len(parts.parts) > 3
+    for t in TEXTS:
+        assert whole.scan(t) == parts.scan(t)
+
+
+def test_offsets_are_those_of_the_original():
+    text = "x -- SHORT, Élan; item! y"
+    _, ranges, _ = decontaminate.Automaton(ITEMS).scan(text)
+    assert [text[a:b] for a, b in decontaminate.original_ranges(text, ranges)] == ["SHORT, Élan; item"]
+
+
+def test_clean_documents_stay(spark):
+    bench = spark.createDataFrame(ITEMS, "item_id string, text string")
+    df = docs(spark, [prose(300, 3) + " short élan item", prose(40, 1), None], extra=True)
+    out = decontaminate.clean(df, bench)
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {0, 2}
+    assert decontaminate.clean(df, bench.where("false")).count() == 3
+    with pytest.raises(ValueError, match="split it"):
+        decontaminate.scanner(bench, max_mb=-1)
+
+
+# Secrets
+
+_BASE = (
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+    ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+)
+
+
+def slow_spans(text):
+    out = [(m.start(), k, m.end(), name) for k, (name, p, ok) in enumerate(_BASE) for m in p.finditer(text or "") if ok(m)]
+    return ",".join(f"{n}:{a}:{b}" for a, _, b, n in sorted(out))
+
+
+HEXES = "0123456789abcdef" * 2
+SECRET_TEXTS = [
+    None, "", "plain words", 'é token = "abcdef12" ü', "token=abc token=abcdefg", "PassWord: hunter22, api_key=XYZ_123456 apikey:'aaaaaa'", "AKIA" + "A1" * 8 + " AKIA123", f"x{HEXES}y {HEXES[:23]}",
+    f'secret = "{HEXES}"', "token=token:abcdef", "😀" * 5 + f" passwd={HEXES} " + "😀", "AKIAAKIA" + "B2" * 9, f"{HEXES}g{HEXES}", "secret\n=abcdefgh", "token = " * 3 + "abcdefgh",
+]
+
+
+def test_base_spans_by_hand(spark):
+    rows = secret_scan.with_spans(docs(spark, SECRET_TEXTS, extra=True)).orderBy("doc_id")
+    base = F.filter(f"{OWN}spans", lambda s: s["kind"] < 3)
+    for text, r in zip(SECRET_TEXTS, rows.select(secret_scan.listed(base).alias("s")).collect(), strict=True):
+        assert r.s == slow_spans(text), text
+
+
+def slow_peak(value, window=20):
+    import math
+
+    best = None
+    for k in range(len(value) - window + 1):
+        part = value[k : k + window]
+        h = -sum(part.count(c) / window * math.log2(part.count(c) / window) for c in set(part))
+        best = h if best is None else max(best, h)
+    return best
+
+
+def test_entropy_by_hand(spark):
+    cls = secret_scan.CLASSES[2]
+    values = ["a1" * 15, "Zq9xW3nR7tK1pL5vB8mD2cF6hJ4", "abcdefghij0123456789ABCDEFGHIJ", "short1", "a" * 25 + "Zq9xW3nR7tK1pL5vB8mD"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", secret_scan.peak_entropy(F.col("v"), cls).alias("h"))
+    for r in df.collect():
+        want = slow_peak(r.v)
+        assert r.h is None if want is None else r.h == pytest.approx(want, abs=1e-9)
+
+
+def test_entropy_adds_spans_and_the_allow_list_suppresses(spark):
+    key = "Zq9xW3nR7tK1pL5vB8mD2cF6hJ4"
+    rows = secret_scan.with_spans(docs(spark, [f"see {key} here", f"see example{key}", "123e4567-e89b-12d3-a456-426614174000", f"token={key}", "thisisaverylongplainword1"])).orderBy("doc_id")
+    got = [r.s for r in rows.select(secret_scan.listed(F.col(f"{OWN}spans")).alias("s")).collect()]
+    assert got == [f"entropy:4:{4 + len(key)}", "", "", f"assign:0:{6 + len(key)}", ""]
+
+
+def test_redaction(spark):
+    df = docs(spark, [None, "no secret", f"é token={HEXES} end {HEXES}", ""], extra=True).withColumn("n_chars", F.length("text").cast("long"))
+    out = secret_scan.redacted(df)
+    rows = out.orderBy("doc_id").collect()
+    assert out.columns == df.columns and [r.text for r in rows] == [None, "no secret", "é [SECRET] end [SECRET]", ""]
+    assert rows[2].n_chars == len(rows[2].text) and rows[0].n_chars is None
+    assert "Python" not in secret_scan.redacted(df)._jdf.queryExecution().executedPlan().toString()
+
+
+# Chat windows
+
+
+def talk(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_windows_read_back(spark):
+    rng = random.Random(5)
+    evil = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\n", "<\\|im_end|>", "<\\\\|im_start|>", "", None, "\\n \\e", "plain", "<<|im_end|>", "[[INST]"]
+    rows = []
+    for conv in [1, 2, 3, None]:
+        rows += [(conv, k, rng.choice(["user", "assistant", "system", None, "a\nb", "<|im_end|>"]), rng.choice(evil) if rng.random() < 0.5 else prose(rng.randrange(1, 60), k)) for k in range(30)]
+    back = chat_format.read_back(chat_format.windows(talk(spark, rows), budget=90, history=2)).collect()
+    for conv in [1, 2, 3, None]:
+        mine = sorted((w for w in back if w.conv_id == conv), key=lambda w: w.window)
+        told = [(t.role, t.text) for w in mine for t in w.turns]
+        want = [((r or ""), (x or "")) for c, _, r, x in rows if c == conv]
+        assert told == want
+        assert "".join(w.target for w in mine) == "".join(x for r, x in want if r == "assistant")
+
+
+def test_budget_system_and_history(spark):
+    rows = [(1, 0, "system", "be kind")] + [(1, k, "assistant" if k % 2 == 0 else "user", prose(12, k)) for k in range(1, 20)]
+    got = chat_format.windows(talk(spark, rows), budget=120, history=2).orderBy("window").collect()
+    assert len(got) > 2 and all(w.n_tokens <= 120 for w in got)
+    assert all(w.formatted.startswith("<|im_start|>system\nbe kind<|im_end|>") for w in got)
+    assert got[0].n_context == 0 and all(w.n_context >= 2 for w in got[1:])
+
+
+def test_large_turns_have_their_own_window(spark):
+    rows = [(1, 0, "user", prose(300)), (1, 1, "assistant", prose(300, 1)), (1, 1, "assistant", "again")]
+    assert chat_format.windows(talk(spark, rows), budget=50, history=0).count() == 3
+    assert chat_format.windows(talk(spark, [])).count() == 0
+
+
+def test_chat_plan_is_native(spark):
+    plan = chat_format.windows(talk(spark, []).where("conv_id > 0"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# Extraction
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body><header>Site</header><nav><a href=/>Home</a></nav>
+<div class="cookie-notice">We use cookies</div><aside>Side</aside><article><header><h1>Head &amp; line</h1></header><p>One&nbsp;  <b>bold</b>
+text.<br>more<p>Two {n} &lt;x&gt;<form><input>Sub</form><div class="ad">Buy</div><ul><li>item 1<li>item 2</ul><!-- no --></article>
+<section id="comments"><p>First!</p></section><footer>(c)</footer></body></html>"""
+WANT = "Head & line\n\nOne bold text. more\n\nTwo {n} <x>\n\nitem 1\n\nitem 2"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_article_text(spark):
+    rows = [(k, f"https://h.example/{k}", PAGE.format(n=k)) for k in range(3)] + [(3, None, PAGE.format(n=3)), (4, "https://h.example/e", None), (5, "nonsense", ""), (5, "nonsense", "")]
+    got = html_extract.main_text(pages(spark, rows)).collect()
+    assert len(got) == 7
+    for r in got:
+        assert r.text == (WANT.format(n=r.page_id) if r.page_id < 4 else "")
+    assert html_extract.main_text(pages(spark, [])).count() == 0
+
+
+BARE = "<html><body><div>Welcome to our shop</div><div><p>{a}</p><p>{b}</p></div>{more}<div>All rights reserved</div></body></html>"
+
+
+def test_wrapper_tells_constants_from_slots(spark):
+    rows = [(k, "http://bare.example/x", BARE.format(a=prose(9, k), b=prose(9, 50 + k), more="<p>extra</p>" if k % 2 else "")) for k in range(6)]
+    got = {r.page_id: r.text for r in html_extract.main_text(pages(spark, rows)).collect()}
+    assert got[0] == f"{prose(9, 0)}\n\n{prose(9, 50)}" and got[1].startswith(prose(9, 1))
+    assert not any("Welcome" in t or "rights" in t for t in got.values())
+
+
+def test_alignment_gives_slots_repeats_and_options():
+    one = html_extract.fold([list(t) for t in html_extract.tokenise("<ul><li>a</li><li>b</li><li>c</li></ul>")])
+    assert one[1][0] == "*" and one[1][2] == 3 and one[1][1][1] == ["text", None, ""]
+    w = html_extract.infer(["<p>x</p><b>k</b>", "<p>y</p><b>k</b><i>z</i>"])
+    texts = [x[1] for x in w if x[0] == "text"]
+    assert texts == [None, "k", None]
+
+
+def test_broken_markup():
+    for bad in ("<", "<p", "<!--", "<script>", "</p></div>", "<p class='x>y", "a < b > c", "<" * 500, "<article>" * 200):
+        html_extract.extract(bad)
+    assert html_extract.extract("a < b") == "a < b"
+
+
+# Models
+
+
+def test_language_held_out(spark):
+    rng = random.Random(1)
+    sound = {"en": "the th ing er on".split(), "fr": "é eau oi ent le".split(), "de": "sch ß ung ä er".split()}
+    rows = []
+    for k in range(240):
+        lang = rng.choice(list(sound))
+        rows.append((k, " ".join("".join(rng.choice(sound[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(30)), lang))
+    rows += [(240, None, "en"), (241, "123 !!", "fr"), (242, "", None), (None, "the thing", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id.predict(df, language_id.train(df, F.col("doc_id") % 3 != 1, per_language=30)).collect()}
+    held = [k for k in range(240) if k % 3 == 1]
+    assert sum(got[k].lang_pred == rows[k][2] for k in held) / len(held) > 0.97
+    assert [(got[k].lang_pred, got[k].score) for k in (240, 241, 242)] == [("und", 0.0)] * 3
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_without_labels(spark):
+    df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
+    assert language_id.predict(df, language_id.train(df, F.lit(True))).first().lang_pred == "und"
+    assert language_id.predict(df.where("false"), None).count() == 0
+
+
+def test_kernel_by_hand():
+    a, b = language_id.grams("abc"), language_id.grams("abd")
+    m = language_id.fit([("x", a), ("y", b)])
+    k = m.kernel([a, b])
+    assert k[0, 0] == pytest.approx(1) and k[0, 1] == pytest.approx(len(set(a) & set(b)) / (len(a) * len(b)) ** 0.5, abs=1e-6)
+
+
+def test_classifier_held_out(spark):
+    rng = random.Random(2)
+    rows, marks = [], []
+    for k in range(300):
+        good = rng.random() < 0.7
+        text = prose(40, k)
+        rows.append((k, text if good else re.sub(" ", "### ", text)))
+        marks.append((k, int(good)))
+    rows += [(300, None), (301, ""), (None, "x")]
+    df, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks + [(None, 1), (5, None)], "doc_id long, quality int")
+    model = quality_classifier.train(df, labels, F.col("doc_id") % 5 != 0)
+    got = {r.doc_id: r.score for r in quality_classifier.score(df, model).collect()}
+    held = [k for k in range(300) if k % 5 == 0]
+    assert sum((got[k] >= 0.3) == bool(marks[k][1]) for k in held) / len(held) > 0.95
+    assert got[300] == got[301] and all(0 <= v <= 1 for v in got.values())
+
+
+def test_classifier_without_two_labels(spark):
+    df = docs(spark, ["a b", None])
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in quality_classifier.score(df, quality_classifier.train(df, none, F.lit(True))).collect()} == {0.5}
+    ones = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    assert quality_classifier.train(df, ones, F.lit(True)) == 1.0
