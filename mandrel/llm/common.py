@@ -42,6 +42,16 @@ def release(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bytes of a table's rows up to which it may be sent to every task.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, size: Column) -> DataFrame:
+    """A staged table, marked for broadcast if its rows' sizes add up to BROADCAST_BYTES at most; beyond that the join shuffles."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
 def crc_fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo modulus; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
