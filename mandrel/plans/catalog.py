@@ -170,7 +170,14 @@ class Frames:
 
     @property
     def history(self) -> DataFrame:
-        return scd2(self.read("bank_feed"), ["LIFNR"], ["change_ts", "CHANGENR"], ["BANKS", "BANKL", "BANKN"])
+        if "history" not in self.known:
+            self.known["history"] = scd2(self.read("bank_feed"), ["LIFNR"], ["change_ts", "CHANGENR"], ["BANKS", "BANKL", "BANKN"])
+        return self.known["history"]
+
+    def hold(self, *names: str) -> None:
+        """Keep tables that one query reads many times, in memory or on executors' disks; a lost one is computed again. The graph writes them instead."""
+        for n in names:
+            self.known[n] = (self.history if n == "history" else self.read(n)).persist()
 
     def rule(self, k: int) -> DataFrame:
         r, d = self.read, self.dates
@@ -194,7 +201,8 @@ class Frames:
     @property
     def exceptions(self) -> DataFrame:
         if "exc" not in self.known:
-            self.known["exc"] = rules.exceptions([self.rule(k) for k in range(1, 9)])
+            self.hold("silver_vendor", "silver_vendor_company_code", "silver_vendor_bank", "silver_journal_lines", "silver_open_items", "silver_payments", "history")
+            self.known["exc"] = rules.exceptions([self.rule(k) for k in range(1, 9)]).persist()
         return self.known["exc"]
 
     @property
