@@ -24,6 +24,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
        fail_bits = 0 AS kept, n_lines, fail_bits FROM b
 """
 
+OP2 = r"""
+WITH RECURSIVE e AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+esc AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, r, x) - 1 AS i,
+  regexp_replace(replace(replace(r, '\', '\e'), chr(10), '\n'), '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS er,
+  regexp_replace(x, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS et FROM e),
+b AS (SELECT *, '<|im_start|>' || er || chr(10) || et || '<|im_end|>' || chr(10) AS block FROM esc),
+t AS (SELECT *, len(regexp_extract_all(block, '\w+|[^\w\s]')) AS tok, length(block) AS size FROM b),
+w AS (SELECT *, CASE WHEN first_value(r) OVER o = 'system' THEN 1 ELSE 0 END AS hs, first_value(tok) OVER o AS t0, first_value(size) OVER o AS z0,
+  sum(tok) OVER (o ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS t1, sum(tok) OVER (o ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS t2,
+  sum(size) OVER (o ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS z1, sum(size) OVER (o ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS z2
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
+h AS (SELECT *, CASE WHEN i - 2 >= hs AND t2 <= 256 THEN t2 WHEN i - 1 >= hs AND t1 <= 256 THEN t1 ELSE 0 END AS bt,
+  CASE WHEN i - 2 >= hs AND t2 <= 256 THEN z2 WHEN i - 1 >= hs AND t1 <= 256 THEN z1 ELSE 0 END AS bz FROM w),
+g AS (SELECT conv_id, i, 0::BIGINT AS start, tok::BIGINT AS total FROM h WHERE i = 0
+  UNION ALL SELECT h.conv_id, h.i, CASE WHEN g.total + h.tok <= 1024 THEN g.start ELSE h.i END, CASE WHEN g.total + h.tok <= 1024 THEN g.total + h.tok ELSE h.hs * h.t0 + h.bt + h.tok END
+  FROM g JOIN h ON h.conv_id = g.conv_id AND h.i = g.i + 1),
+n AS (SELECT g.conv_id, count(*) AS n_windows, sum(CASE WHEN g.start = 0 THEN 0 ELSE h.hs * h.z0 + h.bz END) AS again FROM g JOIN h ON h.conv_id = g.conv_id AND h.i = g.i WHERE g.start = g.i GROUP BY 1),
+c AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(string_agg(CASE WHEN r = 'assistant' THEN x END, '' ORDER BY i), '') AS target, sum(size) AS size FROM t GROUP BY 1)
+SELECT c.conv_id, n_turns, turns_sha256, length(target)::BIGINT AS loss_chars, sha256(target) AS loss_sha256, (size + again)::BIGINT AS formatted_chars, n_windows
+FROM c JOIN n ON n.conv_id = c.conv_id
+"""
+
 OP8 = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS k
@@ -52,4 +76,4 @@ SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_
 FROM dw LEFT JOIN words ON words.doc_id = dw.doc_id LEFT JOIN items ON items.doc_id = dw.doc_id
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op8_near_dup": OP8, "op9_decontaminate": OP9}
+ORACLES = {"op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9}
