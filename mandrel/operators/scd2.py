@@ -21,9 +21,10 @@ def scd2(feed: DataFrame, keys: Sequence[str], sequence: Sequence[str], track: S
     columns = feed.columns
     rest = [c for c in columns if c not in {*keys, *sequence}]
     same = Window.partitionBy(*keys).orderBy(*sequence)
-    content = [F.col(c).desc_nulls_last() for c in rest]
-    df = feed.withColumn("__n", F.row_number().over(Window.partitionBy(*keys, *sequence).orderBy(*content))) if rest else feed.withColumn("__n", F.lit(1))
-    df = df.where("__n = 1").drop("__n")
+    # The greatest by content comes first among equal sequences; every window runs on the same shuffle.
+    within = Window.partitionBy(*keys).orderBy(*sequence, *[F.col(c).desc_nulls_last() for c in rest])
+    at = F.struct(*sequence)
+    df = feed.withColumn("__new", (F.row_number().over(within) == 1) | ~at.eqNullSafe(F.lag(at).over(within))).where("__new").drop("__new")
     if ignore_null:
         sofar = same.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         df = df.withColumns({c: F.last(c, ignorenulls=True).over(sofar) for c in track})
