@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mandrel.llm.common import OWN, release, staged
+from mandrel.llm.common import OWN, release, small, staged
 
 SHINGLE, THRESHOLD = 5, 75
 BUCKET_BITS, MANTISSA_BITS = 8, 10
@@ -263,7 +263,7 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFra
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # Full sets of the representatives that any pair needs; only ids and keys move, then their texts.
     asked = members.select(F.col("key").alias("k")).distinct().join(reps.select(F.col("key").alias("k"), "rep"), "k").select(F.col("rep").alias("doc_id"))
-    ids = asked.distinct()
+    ids = small(staged(asked.distinct(), "asked"), F.lit(16))
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
     sets = texts.where("text is not null").mapInArrow(_sets, "key binary, shingles array<long>")
     sets = staged(sets.dropDuplicates(["key"]), "sets")
@@ -280,20 +280,26 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFra
     return out.withColumn("kept", F.col("empty") | F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("empty")
 
 
+_ID, _RAW = f"{OWN}id", f"{OWN}raw"
+
+
 def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of docs for each class, that of its least id, with the columns of docs. Texts without words all stay.
 
     Rows that repeat a kept document, with its id and words, are the same document again; one of them stays.
     """
-    found = _classed(docs, doc_id, text, THRESHOLD).where("kept")
-    mark, raw, n = f"{OWN}id", f"{OWN}raw", f"{OWN}n"
-    worded = found.where("key is not null").groupBy("doc_id", "key", "raw").agg(F.count("*").alias(n))
-    worded = worded.groupBy("doc_id", "key").agg(F.min_by(F.struct("raw", n), "raw").alias("x")).select(F.col("doc_id").alias(mark), F.col("x.raw").alias(raw), F.col(f"x.{n}").alias(n))
-    bare = found.where("key is null").select(F.col("doc_id").alias(mark), F.col("raw").alias(raw), F.lit(1).cast("long").alias(n)).distinct()
-    ids = staged(worded.unionByName(bare), "stay")
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col(mark)) & F.xxhash64(text).eqNullSafe(F.col(raw))
-    again = ids.where(F.col(n) > 1)
-    rows = docs.join(ids.where(F.col(n) == 1).select(mark, raw), same, "left_semi")
+    found = staged(_classed(docs, doc_id, text, THRESHOLD).select(F.col("doc_id").alias(_ID), F.col("raw").alias(_RAW), "key", "kept"), "classed")
+    each = found.groupBy(_ID, "key", _RAW).agg(F.count("*").alias("n"), F.first("kept").alias("kept"))
+    # Of one document's spellings the least hash stays; texts without words have no key and stay.
+    least = found.where("key is not null").groupBy(_ID, "key").agg(F.min(_RAW).alias("least"))
+    each = each.join(least, each[_ID].eqNullSafe(least[_ID]) & (each["key"] == least["key"]), "left").select(each[_ID], each[_RAW], "n", "kept", "least")
+    stays = F.col("kept") & (F.col("least").isNull() | (F.col("least") == F.col(_RAW)))
+    ids = staged(each.select(_ID, _RAW, stays.alias("stays"), (stays & F.col("least").isNotNull() & (F.col("n") > 1)).alias("again")), "ids")
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(_ID)) & F.xxhash64(text).eqNullSafe(F.col(_RAW))
+    # What goes is less than what stays, and often small enough for every task; then no text moves.
+    gone = staged(ids.where("again OR NOT stays").select(_ID, _RAW), "gone")
+    rows = docs.join(small(gone, F.lit(32)), same, "left_anti")
+    again = staged(ids.where("again").select(_ID, _RAW), "again")
     if not again.limit(1).count():
         return rows
-    return rows.unionByName(docs.join(again.select(mark, raw), same, "left_semi").dropDuplicates([doc_id, text]))
+    return rows.unionByName(docs.join(small(again, F.lit(32)), same, "left_semi").dropDuplicates([doc_id, text]))
