@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from mandrel.operators import conform, matching, rules, temporal, verify
 from mandrel.operators.expectations import guarded, violations
 from mandrel.operators.scd2 import END, START, scd2
 from mandrel.plans.adapters import shape, stated
+from mandrel.session import shared_folder
 from mandrel.sources import archives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -593,6 +595,18 @@ def pair_stats(spark, sf_dir):
 # Verification ---------------------------------------------------------------------------------------------
 
 
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def stream_ingest(spark, sf_dir):
+    """A file stream run twice over one checkpoint: the second run finds nothing new."""
+    schema = spark.read.parquet(f"{sf_dir}/customer.parquet").schema
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    for _ in range(2):
+        rows = spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet").parquet(sf_dir)
+        out = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        out.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query()
 def fingerprint(spark, sf_dir):
     return verify.fingerprint(Frames(spark, sf_dir).history)

@@ -1,5 +1,7 @@
 """Session settings the engine relies on."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,3 +16,9 @@ SETTINGS = {
 def session(master: str | None = None, name: str = "mandrel", **more: str) -> SparkSession:
     builder = SparkSession.builder.appName(name).config(map=SETTINGS | more)
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all of a cluster shares, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or "file://" + tempfile.mkdtemp(prefix="mandrel-")).rstrip("/")
