@@ -8,7 +8,11 @@ texts from the slots that its pages fill. Slots inside an article are its text;
 only where the page has no article. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments go by their element or class wherever they are.
 
-A wrapper is fitted on FITTED pages of a host at most, those whose ids hash lowest; every page is extracted
+A text is constant only by pages that differ: copies count once, and of pages that share more than half of
+their text one is fitted, so that what near copies share is not taken for the host's. Without two such pages a
+host has no wrapper, and elements and classes alone decide.
+
+A wrapper is fitted on FITTED pages of a host at most, those whose ids hash lowest of its distinct ones; every page is extracted
 whole. Wrappers, and ids of pages to fit, go to every task where their measured size allows, so no page moves;
 beyond that they are joined by a shuffle, in which a host that a third of all pages share is split as skewed.
 
@@ -150,13 +154,28 @@ def blank(item):
     return [item[0], [blank(x) for x in item[1]], *item[2:]] if item[0] in ("*", "?") else item
 
 
+def unlike(pages: list[str]) -> list[str]:
+    """Pages of which no two share more than half of the shorter one's text; the first of near copies stays."""
+    out: list[str] = []
+    known: list[set[str]] = []
+    size = lambda blocks: sum(map(len, blocks))
+    for page in pages:
+        blocks = set(extract(page).split("\n\n"))
+        if size(blocks) and all(2 * size(blocks & x) <= min(size(blocks), size(x)) for x in known):
+            out.append(page)
+            known.append(blocks)
+    return out
+
+
 def infer(pages: list[str]) -> list:
-    """The wrapper of same-host pages; a page of very many folded items adds nothing but time and is left out."""
+    """The wrapper of same-host pages; empty without two pages that differ. A page of very many folded items is left out."""
+    pages = unlike([p for p in pages if len(fold([list(t) for t in tokenise(p)])) <= LONGEST])
+    if len(pages) < 2:
+        return []
     wrapper: list | None = None
     for page in pages:
         folded = fold([list(t) for t in tokenise(page)])
-        if len(folded) <= LONGEST:
-            wrapper = folded if wrapper is None else flat(align(flat(wrapper), folded))
+        wrapper = folded if wrapper is None else flat(align(flat(wrapper), folded))
     return wrapper or []
 
 
@@ -229,15 +248,16 @@ def host(url: str = "url"):
 
 
 def _fit(group: pd.DataFrame) -> pd.DataFrame:
-    """At most FITTED pages, in a fixed order."""
-    pages = sorted(group["html"].dropna().unique())[:FITTED]
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(infer(pages))]})
+    """At most FITTED pages, in a fixed order; no row without a wrapper."""
+    wrapper = infer(sorted(group["html"].dropna().unique())[:FITTED])
+    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(wrapper)]}) if wrapper else pd.DataFrame({"host": [], "wrapper": []}, dtype=str)
 
 
 def wrappers(pages: DataFrame, fitted: int = FITTED) -> DataFrame:
-    """(host, wrapper) for hosts with two pages or more."""
+    """(host, wrapper) for hosts with two pages or more that differ. Of equal pages the one whose id hashes lowest counts."""
     order = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")
-    ids = pages.select(host().alias("host"), "page_id").where("host != ''").withColumn("r", F.row_number().over(order)).where(F.col("r") <= fitted)
+    single = pages.where("html is not null").groupBy(host().alias("host"), F.xxhash64("html").alias("copy")).agg(F.min_by("page_id", F.struct(F.xxhash64("page_id"), "page_id")).alias("page_id"))
+    ids = single.where("host != ''").withColumn("r", F.row_number().over(order)).where(F.col("r") <= fitted)
     many = ids.groupBy("host").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     chosen = staged(ids.join(many, "host").select("page_id").distinct(), "fitted")
     sample = pages.join(small(chosen, F.lit(64)), "page_id", "left_semi").select(host().alias("host"), "html")

@@ -267,6 +267,24 @@ def test_alignment_gives_slots_repeats_and_options():
     assert texts == [None, "k", None]
 
 
+def test_copies_make_no_wrapper(spark):
+    one = BARE.format(a="<h2>Head</h2>" + prose(9, 1), b=prose(9, 2), more="<ul><li>only</li></ul>")
+    near = [BARE.format(a=prose(9, 3), b=prose(90, 4), more=f"<p>{k}</p>") for k in range(12)]
+    rows = [(0, "http://a.example/x", one), (1, "http://a.example/y", one), (2, "http://b.example/x", one), (2, "http://b.example/x", one)]
+    rows += [(10 + k, "http://c.example/x", x) for k, x in enumerate(near)]
+    for r in html_extract.main_text(pages(spark, rows)).collect():
+        want = ("Head", prose(9, 1), prose(9, 2), "only") if r.page_id < 10 else (prose(9, 3), prose(90, 4))
+        assert all(x in r.text.split("\n\n") for x in want)
+    assert html_extract.infer([one, one]) == [] and html_extract.infer(near) == []
+
+
+def test_copies_take_no_place_of_other_pages(spark):
+    rows = [(k, "http://a.example/x", BARE.format(a=prose(9, 1), b=prose(9, 2), more="")) for k in range(400)]
+    rows += [(400 + k, "http://a.example/x", BARE.format(a=prose(9, 3 + k), b=prose(9, 30 + k), more="")) for k in range(2)]
+    got = {r.page_id: r.text for r in html_extract.main_text(pages(spark, rows)).collect()}
+    assert got[0] == f"{prose(9, 1)}\n\n{prose(9, 2)}" and got[400] == f"{prose(9, 3)}\n\n{prose(9, 30)}"
+
+
 def test_broken_markup():
     for bad in ("<", "<p", "<!--", "<script>", "</p></div>", "<p class='x>y", "a < b > c", "<" * 500, "<article>" * 200):
         html_extract.extract(bad)
