@@ -3,10 +3,11 @@
 A wrapper is a union-free regular expression over a page's token stream: tags, constant texts, text slots,
 optional groups and repeated groups. It is inferred by aligning pages of one host in turn: tandem repeats of
 a page fold into repeated groups, equal items stay, unequal texts become slots, and what only one side has
-becomes an optional group. A page is then matched with its host's wrapper, which tells the host's constant
-texts from the slots that its pages fill. Slots inside an article are its text; outside of one, a slot counts
-only where the page has no article. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments go by their element or class wherever they are.
+becomes an optional group. Every page is then matched with its host's wrapper, which tells the
+host's constant texts from the slots that its pages fill. A block of which every text is constant is the host's
+and goes, inside an article or not; a block with a slot stays whole. Where a page has an article, only what is
+inside counts. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
+go by their element or class wherever they are.
 
 A text is constant only by pages that differ: copies count once, and of pages that share more than half of
 their text one is fitted, so that what near copies share is not taken for the host's. Without two such pages a
@@ -207,21 +208,24 @@ def extract(page: str | None, wrapper: list | None = None) -> str:
     """The main text: blocks in page order, joined by an empty line."""
     tokens = tokenise(page or "")
     has_article = any(t[0] == "open" and (t[1] in ("article", "main") or "main" in t[2].split()) for t in tokens)
-    fixed = constants(wrapper, tokens) if wrapper and not has_article else set()
+    fixed = constants(wrapper, tokens) if wrapper else set()
     stack: list[tuple[str, bool, bool]] = []  # element, dropped here, inside an article
     blocks, line = [], []
-    drop = inside = False
+    drop = inside = slots = False
 
     def flush() -> None:
+        nonlocal slots
         text = _SPACE.sub(" ", html.unescape("".join(line))).strip()
-        if text:
+        if text and slots:
             blocks.append(text)
         line.clear()
+        slots = False
 
     for k, (kind, name, mark) in enumerate(tokens):
         if kind == "text":
-            if not drop and (inside or not has_article) and k not in fixed:
+            if not drop and (inside or not has_article):
                 line.append(name)
+                slots = slots or k not in fixed
             continue
         if name == "br":
             line.append(" ")

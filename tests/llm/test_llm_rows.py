@@ -285,6 +285,15 @@ def test_copies_take_no_place_of_other_pages(spark):
     assert got[0] == f"{prose(9, 1)}\n\n{prose(9, 2)}" and got[400] == f"{prose(9, 3)}\n\n{prose(9, 30)}"
 
 
+INSIDE = '<html><body><article><div class="zz9">All our stories, every day</div><h1>{a}</h1><p><b>Note:</b> {b}</p><div class="zz8"><i>Sent from</i> our office</div></article></body></html>'
+
+
+def test_wrapper_decides_inside_an_article(spark):
+    rows = [(k, "http://inside.example/x", INSIDE.format(a=prose(9, k), b=prose(9, 50 + k))) for k in range(6)]
+    for r in html_extract.main_text(pages(spark, rows)).collect():
+        assert r.text == f"{prose(9, r.page_id)}\n\nNote: {prose(9, 50 + r.page_id)}"
+
+
 def test_broken_markup():
     for bad in ("<", "<p", "<!--", "<script>", "</p></div>", "<p class='x>y", "a < b > c", "<" * 500, "<article>" * 200):
         html_extract.extract(bad)
