@@ -3,7 +3,7 @@
 A wrapper is a union-free regular expression over a page's token stream: tags, constant texts, text slots,
 optional groups and repeated groups. It is inferred by aligning pages of one host in turn: tandem repeats of
 a page fold into repeated groups, equal items stay, unequal texts become slots, and what only one side has
-becomes an optional group. Every page is then matched with its host's wrapper, which tells the
+becomes an optional group. Every page is then folded and matched with its host's wrapper, which tells the
 host's constant texts from the slots that its pages fill. A block of which every text is constant is the host's
 and goes, inside an article or not; a block with a slot stays whole. Where a page has an article, only what is
 inside counts. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
@@ -11,7 +11,10 @@ go by their element or class wherever they are.
 
 A text is constant only by pages that differ: copies count once, and of pages that share more than half of
 their text one is fitted, so that what near copies share is not taken for the host's. Without two such pages a
-host has no wrapper, and elements and classes alone decide.
+host has no wrapper, and elements and classes alone decide. Texts that differ within a repeated group are slots.
+
+Alignment takes n log n steps at any length: texts that are equal and single on both sides anchor it, between
+them single tags, between those the k-th of each shape.
 
 A wrapper is fitted on FITTED pages of a host at most, those whose ids hash lowest of its distinct ones; every page is extracted
 whole. Wrappers, and ids of pages to fit, go to every task where their measured size allows, so no page moves;
@@ -26,8 +29,9 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from mandrel.llm.common import small, staged
 
-FITTED, PERIOD, LONGEST = 8, 8, 4000
+FITTED, PERIOD = 8, 8
 
 #: Elements whose content is no text, that are never article text, and that break lines.
 RAW = frozenset("script style noscript template svg math iframe object textarea title select".split())
@@ -135,16 +139,70 @@ def merged(a, b):
     return list(a)
 
 
+def rising(a: dict, b: dict) -> list[tuple[int, int]]:
+    """The most pairs of places of common keys that rise on both sides. a is in the order of its places."""
+    pairs = [(i, b[k]) for k, i in a.items() if k in b]
+    ends: list[int] = []
+    at: list[int] = []
+    before = [-1] * len(pairs)
+    for n, (_, j) in enumerate(pairs):
+        k = bisect_left(ends, j)
+        before[n] = at[k - 1] if k else -1
+        ends[k : k + 1], at[k : k + 1] = [j], [n]
+    out, n = [], at[-1] if at else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
+
+
+def _keys(items: list, shapes: list[str], low: int, high: int, level: int) -> dict:
+    """Places by what anchors a level: single texts with what is before them, single shapes, the k-th of each shape."""
+    seen: Counter = Counter()
+    out = {}
+    for i in range(low, high):
+        key: object = shapes[i]
+        if level == 0:
+            if key != "#" or items[i][1] is None:
+                continue
+            key = (shapes[i - 1] if i else "", items[i][1])
+        seen[key] += 1
+        out[(key, seen[key]) if level == 2 else key] = i
+    return out if level == 2 else {k: i for k, i in out.items() if seen[k] == 1}
+
+
+def aligned(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of items of one shape, in order: three levels of anchors, each between those of the one before."""
+    sa, sb = [shape(x) for x in a], [shape(x) for x in b]
+    out: list[tuple[int, int]] = []
+    work = [(0, len(a), 0, len(b), 0)]
+    while work:
+        a0, a1, b0, b1, level = work.pop()
+        while level and a0 < a1 and b0 < b1 and sa[a0] == sb[b0]:
+            out.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
+        while level and a0 < a1 and b0 < b1 and sa[a1 - 1] == sb[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            out.append((a1, b1))
+        if level == 3 or a0 == a1 or b0 == b1:
+            continue
+        for i, j in [*rising(_keys(a, sa, a0, a1, level), _keys(b, sb, b0, b1, level)), (a1, b1)]:
+            work.append((a0, i, b0, j, level + 1))
+            if i < a1:
+                out.append((i, j))
+            a0, b0 = i + 1, j + 1
+    return sorted(out)
+
+
 def align(wrapper: list, page: list) -> list:
     """One step of inference: the least wrapper of both, without unions."""
-    a, b = [shape(x) for x in wrapper], [shape(x) for x in page]
     out: list = []
-    for op, a0, a1, b0, b1 in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-        if op == "equal":
-            out += [merged(x, y) for x, y in zip(wrapper[a0:a1], page[b0:b1], strict=True)]
-        else:
-            for side in (wrapper[a0:a1], page[b0:b1]):
-                out += [["?", [blank(x)]] for x in side]
+    a = b = 0
+    for i, j in [*aligned(wrapper, page), (len(wrapper), len(page))]:
+        out += [["?", [blank(x)]] for x in wrapper[a:i] + page[b:j]]
+        if i < len(wrapper):
+            out.append(merged(wrapper[i], page[j]))
+        a, b = i + 1, j + 1
     return out
 
 
@@ -169,8 +227,8 @@ def unlike(pages: list[str]) -> list[str]:
 
 
 def infer(pages: list[str]) -> list:
-    """The wrapper of same-host pages; empty without two pages that differ. A page of very many folded items is left out."""
-    pages = unlike([p for p in pages if len(fold([list(t) for t in tokenise(p)])) <= LONGEST])
+    """The wrapper of same-host pages; empty without two pages that differ."""
+    pages = unlike(pages)
     if len(pages) < 2:
         return []
     wrapper: list | None = None
@@ -192,15 +250,19 @@ def flat(wrapper: list) -> list:
 
 
 def constants(wrapper: list, tokens: list[Token]) -> set[int]:
-    """Positions of the page's text tokens that the wrapper holds as constant."""
-    if not wrapper or len(tokens) > LONGEST:
-        return set()
-    a, b = [shape(x) for x in wrapper], [shape(x) for x in tokens]
+    """Positions of the page's text tokens that the wrapper holds as constant, those of repeated groups too."""
+    folded = fold([list(t) for t in tokens])
+    starts, at = [], 0
+    for x in folded:
+        starts.append(at)
+        at += len(x[1]) * x[2] if x[0] == "*" else 1
     found = set()
-    for i, j, n in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
-        for k in range(n):
-            if b[j + k] == "#" and wrapper[i + k][1] is not None and wrapper[i + k][1] == tokens[j + k][1]:
-                found.add(j + k)
+    for i, j in aligned(wrapper, folded):
+        group, times = (wrapper[i][1], folded[j][2]) if folded[j][0] == "*" else ([wrapper[i]], 1)
+        for k in range(len(group) * times):
+            want, at = group[k % len(group)], starts[j] + k
+            if want[0] == "text" and want[1] is not None and want[1] == tokens[at][1]:
+                found.add(at)
     return found
 
 

@@ -294,6 +294,27 @@ def test_wrapper_decides_inside_an_article(spark):
         assert r.text == f"{prose(9, r.page_id)}\n\nNote: {prose(9, 50 + r.page_id)}"
 
 
+def test_long_pages_follow_the_same_rule(spark):
+    long = "".join(f"<p>{prose(2, 1000 + k)}</p><b>{k}</b>" for k in range(4000))
+    rows = [(k, "http://bare.example/x", BARE.format(a=prose(9, k), b=prose(9, 50 + k), more=long if k in (2, 5) else "")) for k in range(6)]
+    got = {r.page_id: r.text for r in html_extract.main_text(pages(spark, rows)).collect()}
+    assert got[5].startswith(prose(9, 5)) and prose(2, 4999) in got[5] and got[1] == f"{prose(9, 1)}\n\n{prose(9, 51)}"
+    assert not any("Welcome" in t or "rights" in t for t in got.values())
+
+
+def test_alignment_is_a_common_subsequence_and_repeats_hold_constants():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ([["open", rng.choice("pqr"), ""] if rng.random() < 0.7 else ["text", rng.choice("xyz"), ""] for _ in range(rng.randrange(12))] for _ in range(2))
+        got = html_extract.aligned(a, b)
+        assert all(html_extract.shape(a[i]) == html_extract.shape(b[j]) for i, j in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:], strict=False))
+        assert len(html_extract.aligned(a, a)) == len(a)
+    page = "<div>{}</div><ul><li>same</li><li>same</li></ul>"
+    w = html_extract.infer([page.format(prose(5, k)) for k in range(3)])
+    assert html_extract.extract(page.format("new"), html_extract.flat(w)) == "new"
+
+
 def test_broken_markup():
     for bad in ("<", "<p", "<!--", "<script>", "</p></div>", "<p class='x>y", "a < b > c", "<" * 500, "<article>" * 200):
         html_extract.extract(bad)
