@@ -80,6 +80,13 @@ def positive_pairs(key: DataFrame, identity: str = "LIFNR", group: str = "uei")
     return a.join(b, group).where(F.col(f"{identity}_A") < F.col(f"{identity}_B")).drop(group)
 
 
+def positives(key: DataFrame, identity: str = "LIFNR", group: str = "uei") -> int:
+    """How many rows positive_pairs has, from group sizes alone."""
+    n = F.col("n")
+    groups = key.where(F.col(group).isNotNull() & F.col(identity).isNotNull()).groupBy(group, identity).agg(F.count("*").alias("n")).groupBy(group)
+    return groups.agg(F.sum("n").alias("n"), F.sum(n * n).alias("same")).agg(F.sum((n * n - F.col("same")) / 2).cast("long")).first()[0] or 0
+
+
 def label_pairs(pairs: DataFrame, key: DataFrame) -> DataFrame:
     """match, related (one parent, or parent and child) or non_match."""
     df = _both(pairs, key, ["uei", "parent_uei"])

@@ -539,7 +539,8 @@ _CURVE = """SELECT {by} t::DOUBLE AS threshold, tp, fp, p AS precision, r AS rec
 
 @query(_CURVE.replace("{by}", "").replace("{rows}", "(SELECT label, name_one AS score FROM sc)"), "parties", _MATCH)
 def pr_curve(spark, sf_dir):
-    return matching.curve(Frames(spark, sf_dir).scored, "name_one", 1000)
+    frames = Frames(spark, sf_dir)
+    return matching.curve(frames.scored, "name_one", matching.positives(frames.parties))
 
 
 @query(
@@ -547,7 +548,8 @@ def pr_curve(spark, sf_dir):
     "parties", _MATCH,
 )
 def grid_curves(spark, sf_dir):
-    return matching.grid(Frames(spark, sf_dir).scored, 1000, scorers=("one",)).drop("scorer")
+    frames = Frames(spark, sf_dir)
+    return matching.grid(frames.scored, matching.positives(frames.parties), scorers=("one",)).drop("scorer")
 
 
 @query("SELECT label, count(*) FILTER (WHERE f = 0) AS dev, count(*) FILTER (WHERE f = 1) AS test FROM (SELECT *, concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2 AS f FROM lab) GROUP BY 1", "parties", "pv keys apairs lab")

@@ -34,5 +34,14 @@ def test_queries_equal_their_oracle(spark, name):
     assert sorted(map(key, ours.select(*columns).collect())) == sorted(map(key, theirs))
 
 
+@pytest.mark.parametrize("name", ["pr_curve", "grid_curves"])
+def test_recall_is_over_all_positives(spark, tmp_path, name):
+    # Parts k and k + 700 share a key, brand and size.
+    part = spark.range(1, 1401).selectExpr("id AS p_partkey", "concat('word', id % 700, ' name') AS p_name", "'kind' AS p_type", "concat('Brand#', id % 70) AS p_brand", "CAST(id % 5 AS INT) AS p_size")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    rows = catalog.queries()[name](spark, str(tmp_path)).where("threshold = 40").collect()
+    assert rows and all((r.tp, r.recall) == (700, 1.0) for r in rows)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1

@@ -58,6 +58,12 @@ def test_curve_counts_positives_that_blocking_missed(spark):
     assert (top.tp, top.fp, top.precision, top.recall, top.f1) == (0, 0, 1.0, 0.0, 0.0)
 
 
+def test_positives_counts_the_pairs(spark):
+    key = spark.createDataFrame([("1", "u"), ("2", "u"), ("3", "u"), ("3", "u"), ("4", "w"), ("5", None), ("6", None)], "LIFNR string, uei string")
+    assert m.positives(key) == m.positive_pairs(key).count() == 5
+    assert m.positives(key.where("false")) == 0
+
+
 def test_tune_prefers_the_first_choice_and_the_lowest_threshold(spark):
     s = spark.createDataFrame([(90.0, 90.0, 90.0, "match"), (40.0, 40.0, 40.0, "non_match")], "name_token_set_ratio double, name_WRatio double, address_score double, label string")
     assert m.tune(s, 1) == ("token_set_ratio", 1.0, 41)
