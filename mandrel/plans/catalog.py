@@ -224,7 +224,7 @@ class Frames:
     @property
     def scored(self) -> DataFrame:
         v = self.parties
-        pairs = matching.label_pairs(matching.candidate_pairs(v, passes=("area",)), v)
+        pairs = matching.label_pairs(matching.candidate_pairs(v), v)
         both = pairs
         for side in "AB":
             both = both.join(v.select(F.col("LIFNR").alias(f"LIFNR_{side}"), F.col("name_norm").alias(f"n{side}"), F.col("address_norm").alias(f"a{side}")), f"LIFNR_{side}")
@@ -510,7 +510,7 @@ def candidate_pairs(spark, sf_dir):
 @query("SELECT LIFNR_A, LIFNR_B, round(jaro_winkler_similarity(a.name_norm, b.name_norm), 6) AS jw FROM apairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B", "parties", "pv keys apairs")
 def jw_scores(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
-    df = matching.candidate_pairs(v, passes=("area",))
+    df = matching.candidate_pairs(v)
     for side in "AB":
         df = df.join(v.select(F.col("LIFNR").alias(f"LIFNR_{side}"), F.col("name_norm").alias(f"n{side}")), f"LIFNR_{side}")
     return df.select("LIFNR_A", "LIFNR_B", F.round(JARO_WINKLER("nA", "nB"), 6).alias("jw"))
@@ -519,7 +519,7 @@ def jw_scores(spark, sf_dir):
 @query()
 def wratio_scores(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
-    return matching.candidates(matching.score_pairs(matching.candidate_pairs(v, passes=("area",)), v), "WRatio", 0.9, 91)
+    return matching.candidates(matching.score_pairs(matching.candidate_pairs(v), v), "WRatio", 0.9, 91)
 
 
 @query("SELECT a.LIFNR AS LIFNR_A, b.LIFNR AS LIFNR_B FROM pv a JOIN pv b ON a.uei = b.uei AND a.LIFNR < b.LIFNR", "parties", "pv")
@@ -530,7 +530,7 @@ def positive_pairs(spark, sf_dir):
 @query("SELECT *, (concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2)::INT AS fold FROM lab", "parties", "pv keys apairs lab")
 def label_and_fold(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
-    return matching.label_pairs(matching.candidate_pairs(v, passes=("area",)), v).withColumn("fold", matching.fold())
+    return matching.label_pairs(matching.candidate_pairs(v), v).withColumn("fold", matching.fold())
 
 
 _CURVE = """SELECT {by} t::DOUBLE AS threshold, tp, fp, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 1 END::DOUBLE AS p, tp / 1000 AS r
@@ -555,7 +555,7 @@ def grid_curves(spark, sf_dir):
 @query("SELECT label, count(*) FILTER (WHERE f = 0) AS dev, count(*) FILTER (WHERE f = 1) AS test FROM (SELECT *, concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2 AS f FROM lab) GROUP BY 1", "parties", "pv keys apairs lab")
 def crosstab_labels(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
-    df = matching.label_pairs(matching.candidate_pairs(v, passes=("area",)), v).withColumn("f", F.when(matching.fold() == 0, "dev").otherwise("test"))
+    df = matching.label_pairs(matching.candidate_pairs(v), v).withColumn("f", F.when(matching.fold() == 0, "dev").otherwise("test"))
     return df.groupBy("label").pivot("f", ["dev", "test"]).count().na.fill(0)
 
 
@@ -573,13 +573,13 @@ def stratified_sample(spark, sf_dir):
 )
 def fs_gamma_counts(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
-    return matching.comparisons(matching.candidate_pairs(v, passes=("area",)), v).groupBy(*matching.GAMMAS).agg(F.count("*").alias("n"))
+    return matching.comparisons(matching.candidate_pairs(v), v).groupBy(*matching.GAMMAS).agg(F.count("*").alias("n"))
 
 
 @query()
 def fellegi_sunter(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
-    return matching.fellegi_sunter(v, matching.candidate_pairs(v, passes=("area",)))
+    return matching.fellegi_sunter(v, matching.candidate_pairs(v))
 
 
 @query(

@@ -8,6 +8,7 @@ import __spark_entry__
 from mandrel.plans import adapters, catalog
 
 SMALL = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
 WITHOUT_SQL = {"wratio_scores", "fellegi_sunter", "fingerprint"}
 
 
@@ -34,6 +35,35 @@ def test_queries_equal_their_oracle(spark, name):
     assert sorted(map(key, ours.select(*columns).collect())) == sorted(map(key, theirs))
 
 
+def test_scores_and_labels_cover_both_passes(spark):
+    q = {n: catalog.queries()[n](spark, SMALL) for n in ("candidate_pairs", "jw_scores", "label_and_fold", "fellegi_sunter", "fs_gamma_counts", "crosstab_labels", "wratio_scores")}
+    pairs = lambda n: {(r.LIFNR_A, r.LIFNR_B) for r in q[n].collect()}
+    want = pairs("candidate_pairs")
+    assert pairs("jw_scores") == pairs("label_and_fold") == pairs("fellegi_sunter") == want
+    assert q["fs_gamma_counts"].groupBy().sum("n").first()[0] == len(want) == sum(r.dev + r.test for r in q["crosstab_labels"].collect())
+    frames = catalog.Frames(spark, SMALL)
+    scored = catalog.matching.score_pairs(q["candidate_pairs"], frames.parties)
+    assert pairs("wratio_scores") == {(r.LIFNR_A, r.LIFNR_B) for r in catalog.matching.candidates(scored, "WRatio", 0.9, 91).collect()}
+    assert frames.scored.count() == len(want)
+
+
+@pytest.mark.parametrize("name", ["jw_scores", "label_and_fold", "crosstab_labels", "fs_gamma_counts", "pr_curve", "grid_curves"])
+def test_matching_queries_equal_sql_over_both_passes(spark, name):
+    """The registered SQL knows the area pass and 1000 positives alone; here it is told the rest."""
+    duckdb = pytest.importorskip("duckdb")
+    c = duckdb.connect()
+    c.execute(f"create view part as select * from '{LARGER}/part.parquet'")
+    both, every = catalog.oracle_sql()["candidate_pairs"], catalog.oracle_sql()["positive_pairs"]
+    sql = catalog.oracle_sql()[name].replace("tp / 1000", f"tp / {c.execute(f'select count(*) from ({every})').fetchone()[0]}")
+    assert catalog._SQL["apairs"] in sql
+    c.execute(f"create table every_pair as {both}")
+    ours = catalog.queries()[name](spark, LARGER)
+    columns = sorted(ours.columns)
+    theirs = c.execute(f"select {', '.join(columns)} from ({sql.replace(catalog._SQL['apairs'], 'SELECT * FROM every_pair')})").fetchall()
+    key = lambda r: tuple(f"{x:.9g}" if isinstance(x, float) else str(x) for x in r)
+    assert sorted(map(key, ours.select(*columns).collect())) == sorted(map(key, theirs))
+
+
 @pytest.mark.parametrize("name", ["pr_curve", "grid_curves"])
 def test_recall_is_over_all_positives(spark, tmp_path, name):
     # Parts k and k + 700 share a key, brand and size.
