@@ -46,8 +46,12 @@ CLASSES = (
     CharClass("alnum", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.7),
     CharClass("base64", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-", 3.7),
 )
-#: A candidate: WINDOW characters or more, three digits and a letter at least; words with a number are none.
-CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=(?:[A-Za-z+/_=-]*[0-9]){{3}})(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+#: A candidate: WINDOW characters or more, a letter at least; entropy and the allow list decide, no count of digits.
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+#: Words: capitalised, or runs of letters in one case that separators part or that have three letters or more.
+#: What has nothing else, but one number at most, is on the allow list; so letters of one case alone are no secret.
+WORDS = r"(?<![A-Za-z0-9])(?:[A-Z]?[a-z]+|[A-Z]+)(?![A-Za-z0-9])|[A-Z][a-z]+|[a-z]{3,}|[A-Z]{3,}"
+NUMBERED = r"^[.+/_=-]*[0-9]*[.+/_=-]*$"
 #: Strings that look random and are none: identifiers of public form, counting sequences, placeholders.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
@@ -114,7 +118,7 @@ def peak_entropy(value: Column, cls: CharClass, window: int = WINDOW) -> Column:
 
 def is_secret(value: Column) -> Column:
     """Whether a candidate's peak entropy reaches its class's threshold and no allowed form fits."""
-    allowed = F.lit(False)
+    allowed = F.regexp_replace(value, WORDS, ".").rlike(NUMBERED)
     for form in ALLOWED:
         allowed = allowed | value.rlike(form)
     high = F.lit(False)

@@ -177,6 +177,27 @@ def test_entropy_adds_spans_and_the_allow_list_suppresses(spark):
     assert got == [f"entropy:4:{4 + len(key)}", "", "", f"assign:0:{6 + len(key)}", ""]
 
 
+@pytest.mark.parametrize("size, least", [(20, 0.9), (24, 0.95), (32, 0.98), (40, 0.99)])
+def test_random_keys_are_found(spark, size, least):
+    rng = random.Random(size)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.choice(letters + letters.upper() + "0123456789") for _ in range(size)) for _ in range(1000)]
+    found = secret_scan.with_spans(docs(spark, [f"see {k} here" for k in keys])).where(F.size(f"{OWN}spans") > 0).count()
+    assert found >= least * len(keys)
+    mixed = ["".join(rng.choice(letters + letters.upper()) for _ in range(size)) for _ in range(1000)]
+    found = secret_scan.with_spans(docs(spark, mixed)).where(F.size(f"{OWN}spans") > 0).count()
+    assert found >= least * len(mixed)
+
+
+def test_words_with_a_number_are_no_secrets(spark):
+    words = [
+        "thisisaverylongplainword2024", "getElementsByClassNameAndTagName", "Donaudampfschifffahrtsgesellschaft", "to_be_or_not_to_be_is_a_question", "MAXIMUM_NUMBER_OF_RETRIES_3",
+        "docs/getting-started/installation-guide", "release-candidate-version-2024", "--------------------a", "=====Introduction=====",
+    ]
+    for r in secret_scan.with_spans(docs(spark, words)).collect():
+        assert r[f"{OWN}spans"] == [], r.text
+
+
 def test_redaction(spark):
     df = docs(spark, [None, "no secret", f"é token={HEXES} end {HEXES}", ""], extra=True).withColumn("n_chars", F.length("text").cast("long"))
     out = secret_scan.redacted(df)
