@@ -6,8 +6,9 @@ k(x, y) = |x & y| / sqrt(|x| |y|). Landmarks drawn from the training sample give
 ridge regression for each language over these separates it from the rest. Scoring is batched matrix
 products: presence rows times the landmark matrix, norms, then the weights.
 
-Training reads a bounded sample: PER_LANGUAGE documents of each language at most, those whose id hashes
-lowest, for MAX_LANGUAGES languages at most, the most frequent; each goes to the driver as its n-gram set.
+Training reads a bounded sample of every language: PER_LANGUAGE documents of each at most, those whose id hashes
+lowest, and fewer where there are more languages than SAMPLE holds at that number; each goes to the driver as
+its n-gram set. More than MOST languages are an error, as each has a landmark.
 
 Defined results: a null text or one without a letter is `und` with score 0; without any labelled row every
 text is `und`; ties go to the first language by name; repeated rows are scored each on its own; texts are
@@ -27,7 +28,11 @@ from pyspark.sql import functions as F
 ORDERS = (1, 2, 3)
 #: n-grams are hashed to this many places.
 PLACES = 1 << 16
-PER_LANGUAGE, MAX_LANGUAGES, LANDMARKS = 200, 64, 160
+PER_LANGUAGE, LANDMARKS = 200, 160
+#: Documents of all languages together, at most.
+SAMPLE = 64 * PER_LANGUAGE
+#: Languages at most: landmarks of so many are 134 MB.
+MOST = 512
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -93,7 +98,7 @@ def fit(sample: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge:
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
     keep = values > 1e-6 * values[-1]
     root = vectors[:, keep] / np.sqrt(values[keep])  # Nystroem: features = kernel @ root
-    x = bare.kernel([s for _, s in sample]).astype(float) @ root
+    x = np.vstack([bare.kernel([s for _, s in sample[k : k + 256]]).astype(float) for k in range(0, len(sample), 256)]) @ root
     y = np.array([[1.0 if lang == l else -1.0 for l in languages] for lang, _ in sample])
     # Languages weigh alike, however many rows each has.
     weight = np.array([1 / len(by[lang]) for lang, _ in sample])[:, None]
@@ -106,21 +111,23 @@ def fit(sample: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge:
 def train(docs: DataFrame, allowed: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """docs: doc_id, text, lang. Only rows where `allowed` holds and lang and text are not null are learned from."""
     rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    often = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    names = sorted(r["lang"] for r in often.collect())
+    names = sorted(r["lang"] for r in rows.select("lang").distinct().limit(MOST + 1).collect())
     if not names:
         return None
+    if len(names) > MOST:
+        raise ValueError(f"more than {MOST} languages")
+    per_language = min(per_language, SAMPLE // len(names))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = rows.where(F.col("lang").isin(names)).select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= per_language)
-    ids = F.broadcast(picked.select("doc_id").distinct())  # per_language * MAX_LANGUAGES ids at most
+    picked = rows.select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= per_language)
+    ids = F.broadcast(picked.select("doc_id").distinct())  # SAMPLE ids at most
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [(i, lang, t) for i, t, lang in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in keep], pa.int64()), pa.array([x[1] for x in keep], pa.string()), pa.array([grams(x[2]).tolist() for x in keep], pa.list_(pa.int32()))], names=["doc_id", "lang", "grams"])
 
-    chosen = rows.join(ids, "doc_id", "left_semi").where(F.col("lang").isin(names)).select(F.col("doc_id").cast("long"), "text", "lang")
-    got = chosen.mapInArrow(featurise, "doc_id long, lang string, grams array<int>").orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(per_language * MAX_LANGUAGES)
+    chosen = rows.join(ids, "doc_id", "left_semi").select(F.col("doc_id").cast("long"), "text", "lang")
+    got = chosen.mapInArrow(featurise, "doc_id long, lang string, grams array<int>").orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(SAMPLE)
     return fit([(r["lang"], np.array(r["grams"], dtype=np.int32)) for r in got.collect()])
 
 

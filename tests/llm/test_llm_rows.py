@@ -367,6 +367,19 @@ def test_language_without_labels(spark):
     assert language_id.predict(df.where("false"), None).count() == 0
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rows = [(k, f"{chr(0x4E00 + k % 70) * 3} {chr(0x5E00 + k % 70) * 4}", f"l{k % 70:02}") for k in range(210)] + [(210, chr(0x6E00) * 6, "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df, F.lit(True))
+    assert set(model.languages) == {r[2] for r in rows}
+    assert all(r.lang_pred == rows[r.doc_id][2] for r in language_id.predict(df, model).collect())
+    monkeypatch.setattr(language_id, "SAMPLE", 150)
+    assert set(language_id.train(df, F.lit(True)).languages) == {r[2] for r in rows}
+    monkeypatch.setattr(language_id, "MOST", 70)
+    with pytest.raises(ValueError):
+        language_id.train(df, F.lit(True))
+
+
 def test_kernel_by_hand():
     a, b = language_id.grams("abc"), language_id.grams("abd")
     m = language_id.fit([("x", a), ("y", b)])
