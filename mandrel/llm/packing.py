@@ -4,8 +4,9 @@
    company, and one tail shorter than a window. The table that is written holds lengths, checksums and
    the tail's ids.
 2. The histogram of tail lengths has one bin for each length below the window, whatever the corpus.
-   Shallow combinations of up to three lengths that fill a window are enumerated; non-negative least
-   squares finds how often to use each; counts are rounded, and lowered to what the histogram still has.
+   All combinations of two or three lengths that fill a window are enumerated and priced; non-negative
+   least squares finds how often to use each that lowers the error; counts are rounded, and lowered to
+   what the histogram still has.
 3. What the rounded counts leave is packed greedily, the longest first, cutting a tail where a window
    ends; only the last sequence of all is padded.
 4. Every tail finds its place from its length and its rank among the tails of that length. Ranks are
@@ -13,7 +14,7 @@
    of all documents share lands in as many tasks as it came from.
 
 Defined results: a null text is an empty one, whose only id is the end id; repeated rows are documents of
-their own; null ids stay null; an empty table gives no pieces; other columns are not looked at.
+their own; ties of length go by partition and place in it; null ids stay null; an empty table gives no pieces; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -29,14 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mandrel.llm.common import staged
+from mandrel.llm.common import small, staged
 
 WINDOW = 2048
 END_ID = 1
 #: Words that a worker remembers with their ids; beyond, it forgets all and starts again.
 CACHE_WORDS = 1_500_000
-#: Combinations in one least-squares problem at most.
-MAX_COMBINATIONS = 3000
+#: Rounds in which combinations enter the least-squares problem, the gain that one must promise, and how many of a round may share a length.
+ROUNDS, GAIN, SPREAD = 12, 0.5, 4
 #: Full windows of one partition are numbered in a range of their own of this size.
 RANGE = 1 << 36
 
@@ -88,8 +89,9 @@ class WordTokens:
         parts, whole, runs = [], [], set()
         for w in new:
             stem = w.rstrip(_PUNCTUATION)
-            if stem.isalpha() and max(stem) < "ɐ":
-                low, rest = stem.lower(), w[len(stem) :]
+            low, rest = stem.lower(), w[len(stem) :]
+            # Lower case of a capital dotted I ends in a mark that the tokenizer joins to what follows.
+            if stem.isalpha() and max(stem) < "ɐ" and low.isalpha():
                 parts.append((w, low, rest))
                 if low not in self.runs:
                     runs.add(low)
@@ -113,9 +115,6 @@ def _tokenised(path: str, window: int, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gc
-
-        gc.disable()  # the word tables hold no cycles
         if path not in _WORKER:
             _WORKER.clear()
             _WORKER[path] = WordTokens(path)
@@ -161,23 +160,56 @@ class Plan:
     padding: int
 
 
-def combinations(counts: np.ndarray, window: int) -> list[tuple[int, ...]]:
-    """Up to three lengths that fill a window exactly: all pairs, then triples of the most frequent lengths."""
-    have = [int(x) for x in np.flatnonzero(counts) if 0 < x < window]
-    present = set(have)
-    found = [(x, window - x) for x in have if x >= window - x and window - x in present]
-    often = sorted(have, key=lambda x: (-counts[x], x))[:400]
-    for i, a in enumerate(often):
-        for b in often[i:]:
-            if len(found) >= MAX_COMBINATIONS:
-                return found
-            c = window - a - b
-            if 0 < c <= b and c in present:
-                found.append((a, b, c))
-    return found
+def combinations(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every multiset of two or three present lengths that fills a window exactly: pairs (n, 2), triples (n, 3), the longest first."""
+    present = counts > 0
+    present[0] = False
+    have = np.flatnonzero(present[:window])
+    pairs = have[(2 * have >= window) & present[window - have]]
+    triples = []
+    for a in have[3 * have >= window]:
+        b = have[(have <= a) & (2 * have >= window - a) & (have < window - a)]
+        b = b[present[window - a - b]]
+        triples.append(np.column_stack([np.full(len(b), a), b, window - a - b]))
+    empty = np.zeros((0, 3), dtype=np.int64)
+    return np.column_stack([pairs, window - pairs]), np.concatenate([empty, *triples])
+
 
+def solved(counts: np.ndarray, window: int) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """The least-squares repeat count of every combination that has one.
 
-def nnls(patterns: list[tuple[int, ...]], counts: np.ndarray, steps: int = 400) -> np.ndarray:
+    All combinations are priced, but only those that can lower the error enter the problem: all pairs, then, round
+    by round, the triples whose lengths are most under-filled by the solution so far. It ends where none would gain.
+    """
+    pairs, triples = combinations(counts, window)
+    patterns: list[tuple[int, ...]] = [tuple(p) for p in pairs.tolist()]
+    open_ = np.ones(len(triples), dtype=bool)
+    x = nnls(patterns, counts)
+    for _ in range(ROUNDS):
+        left = counts.astype(float)
+        for_all = np.array([v for p in patterns for v in p], dtype=np.int64)
+        if len(for_all):
+            left -= np.bincount(for_all, weights=np.repeat(x, [len(p) for p in patterns]), minlength=len(counts))
+        price = np.where(open_, left[triples].sum(axis=1), 0.0) if len(triples) else np.zeros(0)
+        good = np.flatnonzero(price > GAIN)
+        if not len(good):
+            break
+        # Of equal lengths the best-priced triple first, so that the entering ones cover many lengths.
+        good = good[np.argsort(-price[good], kind="stable")]
+        used = np.zeros(len(counts), dtype=np.int64)
+        enter = []
+        for k in good:
+            t = triples[k]
+            if used[t].max() < SPREAD:
+                np.add.at(used, t, 1)
+                enter.append(k)
+        open_[enter] = False
+        patterns += [tuple(t) for t in triples[enter].tolist()]
+        x = nnls(patterns, counts, start=np.concatenate([x, np.zeros(len(enter))]))
+    return patterns, x
+
+
+def nnls(patterns: list[tuple[int, ...]], counts: np.ndarray, steps: int = 400, start: np.ndarray | None = None) -> np.ndarray:
     """x >= 0 that minimises |A x - counts|^2, A's columns being the patterns; accelerated projected gradient."""
     if not patterns:
         return np.zeros(0)
@@ -192,7 +224,7 @@ def nnls(patterns: list[tuple[int, ...]], counts: np.ndarray, steps: int = 400)
         v = back(times(v))
         v /= np.linalg.norm(v)
     rate = 1.0 / (np.linalg.norm(back(times(v))) * 1.02)
-    x = y = np.zeros(size)
+    x = y = np.zeros(size) if start is None else start
     t = 1.0
     for _ in range(steps):
         new = np.maximum(0.0, y - rate * back(times(y) - target))
@@ -207,8 +239,7 @@ def plan(counts: np.ndarray, window: int = WINDOW) -> Plan:
     left[0] = 0
     used = np.zeros(window, dtype=np.int64)
     slots, sequence = [], 0
-    patterns = combinations(left, window)
-    want = nnls(patterns, left)
+    patterns, want = solved(left, window)
     for k in np.argsort(-want, kind="stable"):
         need = np.bincount(np.array(patterns[k]), minlength=window)
         most = min(int(left[x] // need[x]) for x in set(patterns[k]))
@@ -240,8 +271,9 @@ def packed(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         counts[r["tail"]] = r["n"]
     p = plan(counts, window)
     # Ranks of a length run over its partitions in turn; one row for each (length, partition).
-    before = groups.select("tail", "pid", F.coalesce(F.sum("n").over(Window.partitionBy("tail").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    # The plan has at most three slots for each combination and one rest for each length: MAX_COMBINATIONS and window bound it.
+    before = groups.select(F.col("tail").cast("int").alias("tail"), F.col("pid").cast("int").alias("pid"), F.coalesce(F.sum("n").over(Window.partitionBy("tail").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    before = small(staged(before, "before"), F.lit(32))
+    # The plan has at most three slots for each combination that entered and one rest for each length: window, ROUNDS and SPREAD bound it.
     slots = spark.createDataFrame(p.slots or [(-1, 0, 0, 0, 0)], "tail long, low long, high long, seq long, at long")
     lists = slots.groupBy("tail").agg(F.sort_array(F.collect_list(F.struct("low", "high", "seq", "at"))).alias("slots"))
     rest = spark.createDataFrame(p.rest or [(-1, 0, 0)], "tail long, rest_low long, rest_at long")
