@@ -1,17 +1,24 @@
 """Chat formatting into budgeted windows, with DataFrame functions only.
 
-Prefix sums of turn tokens (a running window sum) choose turn-aligned spans: turns join a window while its
-tokens stay within the budget, and a turn that is larger than the budget has a window of its own. A later
-window begins with the conversation's system turn and a limited history, both repeated and masked: the
-loss mask covers each assistant text once, where it is new.
+Prefix sums of turn tokens (a running window sum) choose turn-aligned spans: a window that opens at a turn may
+reach up to a limit on the prefix sum, and the next one opens at the first turn whose prefix sum is beyond it. A
+later window begins with the conversation's system turn and a limited history, both repeated and masked: the loss
+mask covers each assistant text once, where it is new.
+
+No window exceeds the budget, but for one: a new turn that doesn't fit into it even without history has a window of
+its own, behind the system turn. History is as many of the last turns, `history` at most, as fit into a quarter of
+the budget and leave room for the system turn and the new one.
 
 The template is `<|im_start|>role\\ntext<|im_end|>\\n`. Control strings inside texts and roles get one
 backslash more behind their first character, so reading back is exact; roles write a line break as `\\n`
 and a backslash as `\\e`.
 
+A conversation is the unit: its turns meet in one task, as reading it back as one text asks for. Every turn is then
+held once, and once more for each window that repeats it.
+
 Defined results: null texts and roles are empty; rows go by turn, null turns first, ties by role and text,
-and repeated rows are turns of their own; a null conv_id is one conversation; an empty table gives no
-windows; other columns are not looked at.
+and repeated rows are turns of their own; a null conv_id is one conversation; very long texts are whole turns; an
+empty table gives no windows; other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +28,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mandrel.llm.common import scanned
+
 BUDGET, HISTORY = 1024, 2
 
 #: The marks of a turn, and the control strings that texts may not hold bare.
@@ -45,8 +54,8 @@ def unescape_role(role: Column) -> Column:
 
 
 def pieces(text: Column) -> Column:
-    """The default measure of tokens: words and single other characters."""
-    return F.size(F.regexp_extract_all(text, F.lit(r"\w+|[^\w\s]"), F.lit(0)))
+    """The default measure of tokens: words of any script, and single other characters."""
+    return F.size(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x20\x09-\x0D]"), F.lit(0)))
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Callable[[Column], Column] = pieces) -> DataFrame:
@@ -63,40 +72,40 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     sofar = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("i", F.row_number().over(order) - 1).withColumn("p", F.sum("tok").over(sofar)).withColumn("at", F.sum("len").over(sofar) - F.col("len"))
     rows = rows.withColumn("has_system", F.first("role").over(sofar) == "system")
-    # How much history a window that begins here repeats: up to `history` turns within a quarter of the budget.
+    system = F.when(F.col("has_system"), F.first("tok").over(sofar)).otherwise(F.lit(0).cast("long"))
+    # How much history a window that begins here repeats, and the prefix sum up to which it may reach.
     kept, cost = F.lit(0), F.lit(0).cast("long")
     for k in range(1, history + 1):
         spent = F.sum("tok").over(order.rowsBetween(-k, -1))
-        fits = (F.col("i") - k >= F.col("has_system").cast("int")) & (spent <= budget // 4)
+        fits = (F.col("i") - k >= F.col("has_system").cast("int")) & (spent <= budget // 4) & (F.col("system") + spent + F.col("tok") <= budget)
         kept, cost = F.when(fits, F.lit(k)).otherwise(kept), F.when(fits, spent).otherwise(cost)
-    rows = rows.withColumn("back", kept).withColumn("back_tok", cost)
+    rows = rows.withColumn("system", system).withColumns({"back": kept, "cost": cost})
+    fresh = F.when(F.col("i") > 0, F.col("system") + F.col("cost")).otherwise(F.lit(0))
+    rows = rows.withColumn("limit", F.col("p") - F.col("tok") + F.lit(budget) - fresh)
     turn = F.struct(
-        "i", "tok", "back", "back_tok", "at", (F.lit(len(START) + 1) + F.length("er")).cast("long").alias("head"),
+        "i", "p", "limit", "tok", "back", "at", (F.lit(len(START) + 1) + F.length("er")).cast("long").alias("head"),
         F.length("et").cast("long").alias("size"), (F.col("role") == "assistant").alias("target"), "block", "has_system",
     )
     convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
-    system = F.when(F.col("t")[0]["has_system"], F.col("t")[0]["tok"]).otherwise(F.lit(0).cast("long"))
-    convs = convs.withColumn("system", system)
-    none = F.array().cast("array<int>")
-    start = F.struct(none.alias("starts"), F.lit(0).cast("long").alias("total"))
 
     def step(acc: Column, t: Column) -> Column:
-        first = F.size(acc["starts"]) == 0
-        opens = first | (acc["total"] + t["tok"] > budget)
-        fresh = F.when(first, F.lit(0).cast("long")).otherwise(F.col("system") + t["back_tok"])
-        starts = F.when(opens, F.concat(acc["starts"], F.array(t["i"]))).otherwise(acc["starts"])
-        return F.struct(starts.alias("starts"), (F.when(opens, fresh).otherwise(acc["total"]) + t["tok"]).alias("total"))
-
-    convs = convs.withColumn("starts", F.aggregate("t", start, step, lambda a: a["starts"]))
-    spans = F.transform(
-        "starts",
-        lambda s, w: F.struct(w.alias("window"), s.alias("from"), F.coalesce(F.get("starts", w + 1), F.size("t")).alias("to")),
-    )
-    out = convs.select("conv_id", "t", F.explode(spans).alias("w"))
-    out = out.select("conv_id", "t", "w.*").withColumn("back", F.when(F.col("window") > 0, F.get("t", F.col("from"))["back"]).otherwise(F.lit(0)))
-    repeats = (F.col("window") > 0) & F.col("t")[0]["has_system"]
-    out = out.withColumn("context", F.concat(F.when(repeats, F.slice("t", 1, 1)).otherwise(F.slice("t", 1, 0)), F.slice("t", F.col("from") - F.col("back") + 1, F.col("back"))))
-    out = out.withColumn("new", F.slice("t", F.col("from") + 1, F.col("to") - F.col("from"))).drop("t")
+        opens = t["p"] > acc["limit"]
+        opened = F.when(opens, F.array(F.struct(t["i"].alias("from"), t["back"].alias("back")))).otherwise(F.array().cast("array<struct<from:int,back:int>>"))
+        return F.struct(F.struct(F.when(opens, t["limit"]).otherwise(acc["limit"]).alias("limit")).alias("state"), opened.alias("out"))
+
+    # The first turn opens a window whatever its size: every prefix sum is beyond the first limit.
+    bare = F.transform("t", lambda t: F.struct(t["i"].alias("i"), t["p"].alias("p"), t["limit"].alias("limit"), t["back"].alias("back")))
+    convs = convs.withColumn("starts", scanned(bare, F.struct(F.lit(-1).cast("long").alias("limit")), step, "struct<from:int,back:int>"))
+    none = F.slice("t", 1, 0)
+
+    def window(s: Column, w: Column) -> Column:
+        later = w > 0
+        end = F.coalesce(F.get("starts", w + 1)["from"], F.size("t"))
+        head = F.when(later & F.col("t")[0]["has_system"], F.slice("t", 1, 1)).otherwise(none)
+        again = F.when(later, F.slice("t", s["from"] - s["back"] + 1, s["back"])).otherwise(none)
+        return F.struct(w.alias("window"), F.concat(head, again).alias("context"), F.slice("t", s["from"] + 1, end - s["from"]).alias("new"))
+
+    out = convs.select("conv_id", F.explode(F.transform("starts", window)).alias("w")).select("conv_id", "w.*")
     chars = F.aggregate("context", F.lit(0).cast("long"), lambda a, t: a + F.length(t["block"]))
     out = out.withColumn("shift", chars - F.col("new")[0]["at"])
     whole = F.concat("context", "new")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,13 @@ OWN = "__mandrel_"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where it is unset, a local session gets one of its own; a cluster must name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        known = spark.sparkContext.getCheckpointDir()
-        folder = known or "file://" + tempfile.mkdtemp(prefix="mandrel-shared-")
-        if not known:
-            spark.sparkContext.setCheckpointDir(folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="mandrel-shared-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -52,6 +53,29 @@ def small(df: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def scanned(items: Column, state: Column, step: Callable[[Column, Column], Column], out: str, block: int = 64) -> Column:
+    """What a running state gives out over an array. state: a struct; step(state, item) -> struct(state, out: array).
+
+    Arrays can't grow in place, so what is given out is gathered block by block: a block's own, then the blocks'.
+    Copies are so n * block and (n / block) ** 2 / 2 references, never n ** 2 / 2.
+    """
+    n = F.size(items)
+    firsts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(block)))
+    blocks = F.transform(firsts, lambda at: F.slice(items, at, F.lit(block)))
+
+    def one(acc: Column, x: Column) -> Column:
+        both = step(acc["state"], x)
+        return F.transform(F.array(both), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))[0]
+
+    def many(acc: Column, xs: Column) -> Column:
+        inner = F.aggregate(xs, F.struct(acc["state"].alias("state"), F.array().cast(f"array<{out}>").alias("out")), one)
+        return F.transform(F.array(inner), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], F.array(r["out"])).alias("out")))[0]
+
+    begin = F.struct(state.alias("state"), F.array().cast(f"array<array<{out}>>").alias("out"))
+    whole = F.aggregate(blocks, begin, many, lambda acc: F.flatten(acc["out"]))
+    return F.coalesce(whole, F.array().cast(f"array<{out}>"))
+
+
 def crc_fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo modulus; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

@@ -31,13 +31,13 @@ esc AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, r, x) -
   regexp_replace(replace(replace(r, '\', '\e'), chr(10), '\n'), '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS er,
   regexp_replace(x, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS et FROM e),
 b AS (SELECT *, '<|im_start|>' || er || chr(10) || et || '<|im_end|>' || chr(10) AS block FROM esc),
-t AS (SELECT *, len(regexp_extract_all(block, '\w+|[^\w\s]')) AS tok, length(block) AS size FROM b),
+t AS (SELECT *, len(regexp_extract_all(block, '[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x20\x09-\x0D]')) AS tok, length(block) AS size FROM b),
 w AS (SELECT *, CASE WHEN first_value(r) OVER o = 'system' THEN 1 ELSE 0 END AS hs, first_value(tok) OVER o AS t0, first_value(size) OVER o AS z0,
   sum(tok) OVER (o ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS t1, sum(tok) OVER (o ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS t2,
   sum(size) OVER (o ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS z1, sum(size) OVER (o ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS z2
   FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
-h AS (SELECT *, CASE WHEN i - 2 >= hs AND t2 <= 256 THEN t2 WHEN i - 1 >= hs AND t1 <= 256 THEN t1 ELSE 0 END AS bt,
-  CASE WHEN i - 2 >= hs AND t2 <= 256 THEN z2 WHEN i - 1 >= hs AND t1 <= 256 THEN z1 ELSE 0 END AS bz FROM w),
+f AS (SELECT *, i - 2 >= hs AND t2 <= 256 AND hs * t0 + t2 + tok <= 1024 AS two, i - 1 >= hs AND t1 <= 256 AND hs * t0 + t1 + tok <= 1024 AS one FROM w),
+h AS (SELECT *, CASE WHEN two THEN t2 WHEN one THEN t1 ELSE 0 END AS bt, CASE WHEN two THEN z2 WHEN one THEN z1 ELSE 0 END AS bz FROM f),
 g AS (SELECT conv_id, i, 0::BIGINT AS start, tok::BIGINT AS total FROM h WHERE i = 0
   UNION ALL SELECT h.conv_id, h.i, CASE WHEN g.total + h.tok <= 1024 THEN g.start ELSE h.i END, CASE WHEN g.total + h.tok <= 1024 THEN g.total + h.tok ELSE h.hs * h.t0 + h.bt + h.tok END
   FROM g JOIN h ON h.conv_id = g.conv_id AND h.i = g.i + 1),
