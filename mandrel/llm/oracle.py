@@ -76,4 +76,21 @@ SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_
 FROM dw LEFT JOIN words ON words.doc_id = dw.doc_id LEFT JOIN items ON items.doc_id = dw.doc_id
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9}
+#: Text pieces between matches give positions: a match begins behind all pieces and matches before it.
+_SPANS = """SELECT doc_id, {k} AS k, '{kind}' AS kind, m[i] AS m, (list_sum(list_transform(p[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0))::BIGINT AS a
+  FROM (SELECT doc_id, p, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, string_split_regex(t, {pattern}) AS p, regexp_extract_all(t, {pattern}) AS m FROM d))"""
+_ASSIGN = r"""'(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'"""
+_VALUE = r"""'[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$'"""
+OP3 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({_SPANS.format(k=0, kind="assign", pattern=_ASSIGN)} UNION ALL {_SPANS.format(k=1, kind="access", pattern="'AKIA[A-Z0-9]+'")} UNION ALL {_SPANS.format(k=2, kind="hex", pattern="'[0-9a-f]+'")}),
+kept AS (SELECT * FROM s WHERE CASE k WHEN 0 THEN length(regexp_extract(m, {_VALUE}, 1)) >= 6 WHEN 1 THEN length(m) >= 20 ELSE length(m) >= 24 END)
+SELECT d.doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+       sha256(coalesce(string_agg(kind || ':' || a || ':' || (a + length(m)), ',' ORDER BY a, k), '')) AS base_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+OP4 = "SELECT doc_id, true AS covered, true AS sequences_fit, true AS one_padded FROM documents"
+OP6 = "SELECT s AS shard, (n * (s + 1) // 40 - n * s // 40)::BIGINT AS n_rows, true AS gapless FROM (SELECT count(*) AS n FROM documents), range(40) x(s)"
+
+ORACLES = {"op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}

@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from mandrel.llm import chat_format, decontaminate, html_extract, language_id, near_dup, packing, quality_classifier, quality_rules, secret_scan, sharding
-from mandrel.llm.common import OWN, crc_fold, table
+from mandrel.llm.common import OWN, crc_fold, staged, table
 from mandrel.llm.oracle import ORACLES
 
 
@@ -51,12 +50,27 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op3_secret_scan that SQL can state."""
+    return op3_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laws of the packing: every document's pieces follow each other to its last id, and every sequence's fill it from 0 without a gap."""
+    pieces = staged(op4_packing(spark, sf_dir), "pieces")
+    whole = lambda at: (F.min(at) == 0) & (F.max(F.col(at) + F.col("length")) == F.sum("length")) & (F.count_distinct(at) == F.count("*"))
+    docs = pieces.groupBy("doc_id").agg((whole("start") & (F.sum("length") == F.max("doc_tokens"))).alias("covered"))
+    sequences = pieces.groupBy("sequence_id").agg((whole("offset") & (F.sum("length") <= packing.WINDOW)).alias("fits"), F.sum("length").alias("n"))
+    sums = sequences.agg(F.bool_and("fits").alias("sequences_fit"), (F.count_if(F.col("n") < packing.WINDOW) <= 1).alias("one_padded"))
+    return docs.crossJoin(F.broadcast(sums))  # one row
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_fold(F.col("doc_id"), 3) == 1
@@ -69,6 +83,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laws of the sharding, by shard: its rows, and that slots run from 0 without a gap; bytes and checksums of all rows in one."""
+    rows = staged(op6_sharding(spark, sf_dir), "sharded")
+    slots = (F.min("slot") == 0) & (F.max("slot") == F.count("*") - 1) & (F.count_distinct("slot") == F.count("*"))
+    return rows.groupBy("shard").agg(F.count("*").alias("n_rows"), slots.alias("gapless"))
+
+
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = html_extract.main_text(table(spark, sf_dir, "pages"))
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -93,7 +114,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate, op10_quality_classifier)} | {"pipeline": corpus_pipeline.run}
+    ten = (op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate, op10_quality_classifier)
+    return {f.__name__: f for f in (*ten, op3_base_columns, op4_coverage, op6_laws)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mandrel.llm.common import OWN
+from mandrel.llm.common import OWN, scanned
 
 #: The base patterns. A match of `assign` whose value is shorter than six is dropped after
 #: matching, so it still uses up its characters; the other two can state their lengths.
@@ -63,18 +63,18 @@ ALLOWED = (
 
 def _spans(text: Column, pattern: str, kind: int, keep: Column | None = None) -> Column:
     """Array of (start, kind, end, value) of a pattern's matches."""
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    span = "struct<start:int,kind:int,end:int,value:string>"
+    empty = F.array().cast(f"array<{span}>")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     sizes = F.zip_with(F.split(text, pattern, -1), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         a = acc["at"] + x["gap"]
         b = a + F.coalesce(F.length(x["m"]), F.lit(0))
         one = F.struct(a.alias("start"), F.lit(kind).alias("kind"), b.alias("end"), x["m"].alias("value"))
-        return F.struct(b.alias("at"), F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
+        return F.struct(F.struct(b.alias("at")).alias("state"), F.when(x["m"].isNull(), empty).otherwise(F.array(one)).alias("out"))
 
-    spans = F.aggregate(sizes, start, step, lambda acc: acc["out"])
+    spans = scanned(sizes, F.struct(F.lit(0).alias("at")), step, span)
     if keep is not None:
         spans = F.filter(spans, lambda s: keep(s))
     return F.when(text.rlike(pattern), spans).otherwise(empty)
@@ -151,13 +151,15 @@ def listed(spans: Column) -> Column:
 def redacted(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataFrame:
     """docs with every span replaced; overlapping spans count as one. A column n_chars, if any, follows the text."""
     spans, t = f"{OWN}spans", F.col(text)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.concat(acc["out"], F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.lit(by))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], gap).otherwise(acc["out"]).alias("out"))
+        gap = F.array(F.struct((acc["at"] + 1).alias("from"), (s["start"] - acc["at"]).alias("n")))
+        none = F.array().cast("array<struct<from:int,n:int>>")
+        return F.struct(F.struct(F.greatest(acc["at"], s["end"]).alias("at")).alias("state"), F.when(s["start"] >= acc["at"], gap).otherwise(none).alias("out"))
 
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
+    gaps = scanned(F.col(spans), F.struct(F.lit(0).alias("at")), step, "struct<from:int,n:int>")
+    behind = F.substring(t, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(t))
+    whole = F.array_join(F.concat(F.transform(gaps, lambda g: F.substring(t, g["from"], g["n"])), F.array(behind)), by)
     df = with_spans(docs, text, spans)
     found = F.size(spans) > 0
     df = df.withColumn(f"{OWN}text", F.when(found, whole).otherwise(t))
