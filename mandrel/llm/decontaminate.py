@@ -1,15 +1,19 @@
 """Benchmark decontamination with one Aho-Corasick automaton over normalised benchmark text.
 
-The pattern set is every window of `span` words of every item (a shorter item is one window). A text is
-normalised once (ASCII lower case, every run of other characters than word characters one space) and
-scanned once; an occurrence is mapped to word positions and, for `matches`, to offsets of the original.
-
-The automaton is bounded: `MAX_WINDOWS` windows go into one; a benchmark with more is cut into several,
-and a text is scanned by each in turn, so memory stays bounded and no window is lost. Items and windows
-grow with the benchmark, never with the documents.
-
-Defined results: a null or empty text, or one without words, has no hits; a null item or one without words
-gives no window; the same item twice counts once for its item_id; null item ids are named ''.
+The pattern set is every window of `span` words of every item (a shorter item is one window). Texts and items are
+normalised alike (ASCII lower case, every run of other characters than word characters parts words) and a word of the
+benchmark becomes one character, so a window is a string of `span` characters and an occurrence has its word
+positions; `ranges` maps them to offsets of the original. A text is scanned once.
+
+An automaton holds MAX_WINDOWS windows or so, some 100 MB, whatever the benchmark's size. A benchmark with more is dealt over
+several by hash, and documents pass one after another, with what was found so far beside them, in a table written
+between: a Python worker holds one automaton at a time, the driver one part of the benchmark, and no window is lost.
+Long items are dealt in slices that overlap by a window.
+
+Defined results: a null or empty text, or one without words, has no hits; a null item or one without words gives
+no window; the same item twice counts once for its item_id; null item ids are named ''; repeated rows are scanned each
+on its own and very long texts whole; an empty benchmark hits nothing and an empty table gives no rows; other columns
+pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,14 +24,17 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mandrel.llm.common import OWN
+from mandrel.llm.common import OWN, staged
 
 SPAN = 13
-#: Windows in one automaton at most: some 100 MB.
-MAX_WINDOWS = 50_000
+#: Windows in one automaton, as an average over the parts of a benchmark.
+MAX_WINDOWS = 100_000
+#: Words of an item that are dealt together.
+SLICE = 4096
 
 #: Bytes that are no part of a word become a space, A-Z become a-z.
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if b <= 0x2F or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
@@ -40,57 +47,59 @@ def normalised(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
-def windows(items: list[tuple[str, str | None]], span: int = SPAN) -> dict[bytes, tuple[int, list[str]]]:
-    """Window -> its number of words, and the items that have it."""
-    found: dict[bytes, tuple[int, list[str]]] = {}
-    for item, text in items:
-        words = normalised(text)
-        n = min(span, len(words))
-        for at in range(len(words) - n + 1 if n else 0):
-            key = b" " + b" ".join(words[at : at + n]) + b" "
-            has = found.setdefault(key, (n, []))[1]
-            if item not in has:
-                has.append(item)
-    return found
+def slices(text: str | None, span: int = SPAN, size: int = SLICE) -> list[list[bytes]]:
+    """The words of an item in slices, of which each window of `span` words lies in one; all of them if they are fewer."""
+    words = normalised(text)
+    return [words[at : at + size + span - 1] for at in range(0, max(len(words) - span + 1, 1), size)] if words else []
 
 
 class Automaton:
-    """Aho-Corasick automata over the windows of benchmark items, each of bounded size."""
-
-    def __init__(self, items: list[tuple[str, str | None]], span: int = SPAN, limit: int = MAX_WINDOWS):
-        self.parts = []
-        entries = sorted(windows(items, span).items())
-        for low in range(0, len(entries), limit):
-            part = ahocorasick.Automaton()
-            for key, (n, names) in entries[low : low + limit]:
-                part.add_word(key.decode("latin-1"), (n, len(key), tuple(names)))
-            part.make_automaton()
-            self.parts.append(part)
+    """An Aho-Corasick automaton over the windows of benchmark items."""
+
+    def __init__(self, items: list[tuple[str, list[bytes]]], span: int = SPAN):
+        """items: name, and words of the item or of a slice of it."""
+        self.letters: dict[bytes, str] = {}
+        entries: dict[str, set[str]] = {}
+        for name, words in items:
+            line = "".join([self._letter(w) for w in words])
+            n = min(span, len(words))
+            for at in range(len(words) - n + 1 if n else 0):
+                entries.setdefault(line[at : at + n], set()).add(name)
+        self.names = [tuple(x) for x in entries.values()]
+        self.trie = ahocorasick.Automaton()
+        for k, window in enumerate(entries):
+            self.trie.add_word(window, (len(window), k))
+        if entries:
+            self.trie.make_automaton()
+
+    def _letter(self, word: bytes) -> str:
+        """A character of its own for each word of the benchmark; surrogates are left out, and 0 is any other word."""
+        k = len(self.letters) + 1
+        return self.letters.setdefault(word, chr(k if k < 0xD800 else k + 0x800))
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Words of the text, merged word ranges that are hit (end exclusive), items that occur."""
         words = normalised(text)
-        if not words:
-            return 0, [], set()
-        line = (b" " + b" ".join(words) + b" ").decode("latin-1")
+        if not words or not self.names:
+            return len(words), [], set()
+        get = self.letters.get
         found: list[tuple[int, int]] = []
-        names: set[str] = set()
-        at, word = 0, 0  # spaces before position `at`
-        for part in self.parts:
-            at = word = 0
-            for end, (n, size, items) in part.iter(line):
-                start = end - size + 1
-                word += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
-                at = start
-                found.append((word, word + n))
-                names.update(items)
-        merged: list[tuple[int, int]] = []
-        for low, high in sorted(found):
-            if merged and low <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(merged[-1][1], high))
-            else:
-                merged.append((low, high))
-        return len(words), merged, names
+        seen: set[int] = set()
+        for end, (n, k) in self.trie.iter("".join([get(w, "\0") for w in words])):
+            found.append((end - n + 1, end + 1))
+            seen.add(k)
+        return len(words), merged(found), {x for k in seen for x in self.names[k]}
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges without overlap, in order."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
 
 
 def original_ranges(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -99,42 +108,68 @@ def original_ranges(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(spots[a][0], spots[b - 1][1]) for a, b in ranges]
 
 
-_CACHE: dict[tuple, Automaton] = {}
+_CACHE: dict[str, Automaton] = {}
 
 
-def _automaton(items: tuple[tuple[str, str | None], ...], span: int) -> Automaton:
-    """Built once for each Python worker."""
-    key = (hashlib.sha256(repr((items, span)).encode("utf-8", "surrogatepass")).hexdigest(),)
+def _automaton(items: tuple[str, tuple[tuple[str, bytes], ...]], span: int) -> Automaton:
+    """Built once for each Python worker, which holds one at a time."""
+    key = f"{items[0]} {span}"
     if key not in _CACHE:
         _CACHE.clear()
-        _CACHE[key] = Automaton(list(items), span)
+        _CACHE[key] = Automaton([(name, words.split(b" ")) for name, words in items[1]], span)
     return _CACHE[key]
 
 
-SCHEMA = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, ranges array<struct<start:long,end:long>>"
+SCHEMA = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, words array<struct<start:long,end:long>>, ranges array<struct<start:long,end:long>>"
+_FIELDS = [x.split()[0] for x in SCHEMA.split(", ")]
 
 
-def scanner(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", span: int = SPAN, max_mb: int = 256):
-    """A column function that scans a text column. The benchmark goes to the driver and from there to every task, so its size is checked first."""
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t is not null")
-    size = rows.agg(F.sum(F.octet_length("t") + F.octet_length("i"))).first()[0] or 0
-    if size > max_mb << 20:
-        raise ValueError(f"the benchmark has {size} bytes; split it and scan for each part, or raise max_mb")
-    items = rows.sparkSession.sparkContext.broadcast(tuple(sorted((r["i"], r["t"]) for r in rows.collect())))
+def _found(auto: Automaton, text: str | None, words: object = None, items: object = None) -> tuple:
+    """A row of SCHEMA, with what earlier parts of the benchmark found."""
+    n, ranges, names = auto.scan(text)
+    if words is not None and len(words):
+        ranges = merged([*ranges, *((x["start"], x["end"]) for x in words)])
+    listed = sorted(names if items is None else names.union(items))
+    digest = hashlib.sha256(",".join(listed).encode("utf-8", "surrogatepass")).hexdigest()
+    told = lambda spans: [{"start": a, "end": b} for a, b in spans]
+    return n, sum(b - a for a, b in ranges), len(listed), digest, listed, told(ranges), told(original_ranges(text or "", ranges))
+
+
+def scanner(items: list[tuple[str, bytes]], spark, span: int = SPAN):
+    """Column functions that scan a text column for one part of a benchmark: alone, and with an earlier part's words and items."""
+    items = tuple(sorted(items))
+    held = spark.sparkContext.broadcast((hashlib.sha256(repr(items).encode("utf-8", "surrogatepass")).hexdigest(), items))
 
     @F.pandas_udf(SCHEMA)
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        auto = _automaton(items.value, span)
+    def first(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        auto = _automaton(held.value, span)
         for texts in batches:
-            out = []
-            for x in texts:
-                n, ranges, names = auto.scan(x)
-                listed = sorted(names)
-                digest = hashlib.sha256(",".join(listed).encode("utf-8", "surrogatepass")).hexdigest()
-                out.append((n, sum(b - a for a, b in ranges), len(listed), digest, listed, [{"start": a, "end": b} for a, b in original_ranges(x or "", ranges)]))
-            yield pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items_sha256", "items", "ranges"])
+            yield pd.DataFrame([_found(auto, x) for x in texts], columns=_FIELDS)
 
-    return scan
+    @F.pandas_udf(SCHEMA)
+    def further(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        auto = _automaton(held.value, span)
+        for texts, words, names in batches:
+            yield pd.DataFrame([_found(auto, *x) for x in zip(texts, words, names, strict=True)], columns=_FIELDS)
+
+    return first, further
+
+
+def _sliced(span: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, b" ".join(x), max(len(x) - span + 1, 1)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in slices(t, span)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.binary(), pa.int64()))], names=["item", "words", "n"])
+
+    return run
+
+
+def dealt(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", span: int = SPAN, most: int = MAX_WINDOWS) -> list[DataFrame]:
+    """Slices of items (item, words), dealt by hash into parts of about `most` windows; one part at least."""
+    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t is not null")
+    rows = staged(rows.mapInArrow(_sliced(span), "item string, words binary, n long"), "slices")
+    parts = max(1, -(-(rows.agg(F.sum("n")).first()[0] or 0) // most))
+    return [rows.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k).select("item", "words").distinct() for k in range(parts)]
 
 
 def is_contaminated(found: Column) -> Column:
@@ -142,9 +177,17 @@ def is_contaminated(found: Column) -> Column:
     return (found["n_hit"] > 0) & (20 * found["n_hit"] >= found["n_words"])
 
 
-def with_matches(docs: DataFrame, benchmark: DataFrame, into: str = f"{OWN}found", text: str = "text") -> DataFrame:
-    """docs and one struct column: words, hits, items and code point ranges in the original text. No shuffle."""
-    return docs.withColumn(into, scanner(benchmark)(F.col(text)))
+def with_matches(docs: DataFrame, benchmark: DataFrame, into: str = f"{OWN}found", text: str = "text", most: int = MAX_WINDOWS) -> DataFrame:
+    """docs and one struct column: words, hits, items, word ranges and code point ranges in the original text. No shuffle."""
+    parts = dealt(benchmark, most=most)
+    for k, part in enumerate(parts):
+        items = [(r["item"], bytes(r["words"])) for r in part.collect()]  # one part of the benchmark
+        first, further = scanner(items, docs.sparkSession)
+        found = further(F.col(text), F.col(f"{into}.words"), F.col(f"{into}.items")) if k else first(F.col(text))
+        docs = docs.withColumn(into, found)
+        if k + 1 < len(parts):
+            docs = staged(docs, "scanned")
+    return docs
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

@@ -99,16 +99,26 @@ def test_hits_by_hand(spark):
         assert r.items_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
 
 
-def test_many_automata_find_the_same():
-    whole, parts = decontaminate.Automaton(ITEMS), decontaminate.Automaton(ITEMS, limit=3)
-    assert len(parts.parts) > 3
-    for t in TEXTS:
-        assert whole.scan(t) == parts.scan(t)
+def test_many_automata_find_the_same(spark):
+    bench = spark.createDataFrame(ITEMS, "item_id string, text string")
+    df = docs(spark, TEXTS * 2, extra=True)
+    assert len(decontaminate.dealt(bench, most=12)) > 3
+    whole, parts = (decontaminate.with_matches(df, bench, most=m).orderBy("doc_id").collect() for m in (10_000, 12))
+    assert whole == parts
+
+
+@pytest.mark.parametrize("n", [1, 12, 13, 14, 99, 100, 112, 113, 500])
+def test_slices_hold_every_window_once(n):
+    words = [b"%d" % k for k in range(n)]
+    got = decontaminate.slices(" ".join(map(str, range(n))), 13, 100)
+    have = [tuple(x[k : k + 13]) for x in got for k in range(max(len(x) - 12, 1))]
+    assert have == [tuple(words[k : k + 13]) for k in range(max(n - 12, 1))]
+    assert decontaminate.slices("", 13) == decontaminate.slices(None) == []
 
 
 def test_offsets_are_those_of_the_original():
     text = "x -- SHORT, Élan; item! y"
-    _, ranges, _ = decontaminate.Automaton(ITEMS).scan(text)
+    _, ranges, _ = decontaminate.Automaton([(name, x) for name, t in ITEMS for x in decontaminate.slices(t)]).scan(text)
     assert [text[a:b] for a, b in decontaminate.original_ranges(text, ranges)] == ["SHORT, Élan; item"]
 
 
@@ -118,8 +128,7 @@ def test_clean_documents_stay(spark):
     out = decontaminate.clean(df, bench)
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {0, 2}
     assert decontaminate.clean(df, bench.where("false")).count() == 3
-    with pytest.raises(ValueError, match="split it"):
-        decontaminate.scanner(bench, max_mb=-1)
+    assert decontaminate.clean(df.where("false"), bench).count() == 0
 
 
 # Secrets
