@@ -1,17 +1,20 @@
 """Quality scores from random-indexing word vectors and a two-layer network.
 
 Every token has a sparse ternary index vector that its hash alone determines. A token's word vector is the
-sum of the index vectors of its neighbours over the training sample. A document is the mean of its tokens'
-word vectors, beside three shares that a mean cannot show: tokens without a vector, tokens that equal the
-one before, and windows of three tokens that came before in the text. A two-layer network over this gives a logit; a
-temperature, fitted on a part of the sample that the network did not see, calibrates it.
+sum of the index vectors of its neighbours over the training sample, beside its own; a token that the sample lacks
+has its own alone. A document is pooled from vectors and nothing else: the mean of the word vectors, and the mean
+inner product of index vectors one to FAR places apart, which shows what a mean can't: words that come again soon. A
+two-layer network over this gives a logit; a temperature, fitted on a part of the sample that the network did not see,
+calibrates it.
 
-The sample is bounded: MAX_ROWS labelled rows whose ids hash lowest, of texts of MAX_CHARS at most; all
-other documents are scored whole. The vocabulary is the MAX_TOKENS most frequent tokens of the sample.
+The sample is bounded: MAX_ROWS labelled rows whose ids hash lowest (ties by id, label and text), of texts of MAX_CHARS
+at most; all other documents are scored whole, in batches of matrix operations over TOKENS tokens, through which a
+longer text goes in turn. The vocabulary is the MAX_TOKENS most frequent tokens of the sample.
 
 Defined results: a null or empty text has no tokens and gets the score of an empty document; without labels
 or with labels of one kind only, every score is the share of label 1 (0.5 without any); a document with
-several labels counts for each; repeated rows are scored each on its own; other columns are not looked at.
+several labels counts for each; repeated rows are scored each on its own; an empty table gives no rows; other columns
+are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +32,12 @@ from pyspark.sql import functions as F
 
 MAX_ROWS, MAX_CHARS, MAX_TOKENS = 4000, 32_768, 20_000
 DIMENSION, NONZERO, NEIGHBOURS = 96, 6, 2
+#: How far apart vectors are compared; tokens whose vectors are held at a time.
+FAR, TOKENS = 4, 1 << 15
 HIDDEN, STEPS, SEED = 16, 400, 11
 
+_FACTOR = np.uint64(0xD1342543DE82EF95)
+
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
 
@@ -39,26 +46,31 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text or "")
 
 
-def shares(words: list[str]) -> tuple[float, float]:
-    """Share of tokens that equal the one before, and of three-token windows that are not new."""
-    n = max(len(words), 1)
-    doubled = sum(map(str.__eq__, words, words[1:]))
-    windows = max(len(words) - 2, 0)
-    return doubled / n, (windows - len(set(zip(words, words[1:], words[2:], strict=False)))) / n
-
-
 def index_entries(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of each token's sparse ternary index vector, from its hash."""
-    h = np.array([[xxhash.xxh3_64_intdigest(x, k) for k in range(NONZERO)] for x in names], dtype=np.uint64).reshape(len(names), NONZERO)
-    return ((h >> np.uint64(1)) % np.uint64(DIMENSION)).astype(np.int64), np.where(h & np.uint64(1), 1.0, -1.0)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, names), dtype=np.uint64, count=len(names))[:, None]
+    with np.errstate(over="ignore"):  # a multiplicative generator, started by the hash, then its high bits
+        h = (h | np.uint64(1)) * (_FACTOR ** np.arange(1, NONZERO + 1, dtype=np.uint64)) + h
+    return ((h >> np.uint64(40)) % np.uint64(DIMENSION)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
+
+
+def index_vectors(names: list[str]) -> np.ndarray:
+    places, signs = index_entries(names)
+    out = np.zeros((len(names), DIMENSION), dtype=np.float32)
+    np.add.at(out, (np.arange(len(names))[:, None], places), signs)
+    return _unit(out)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def word_vectors(docs: list[np.ndarray], names: list[str]) -> np.ndarray:
     """From documents as numbers of tokens, len(names) for unknown ones: the neighbours' index vectors added up
-    and normed, beside the token's own, which keeps tokens apart that share their neighbours. Unknown tokens have none."""
+    and normed, beside the token's own, which keeps tokens apart that share their neighbours."""
     size = len(names)
     places, signs = index_entries(names)
-    flat = np.zeros((size + 1) * DIMENSION)
+    flat = np.zeros(size * DIMENSION)
     gap = np.full(NEIGHBOURS, size)
     ids = np.concatenate([x for d in docs for x in (d, gap)]) if docs else gap
     for d in range(1, NEIGHBOURS + 1):
@@ -67,35 +79,55 @@ def word_vectors(docs: list[np.ndarray], names: list[str]) -> np.ndarray:
             at, by = at[known], by[known]
             for k in range(NONZERO):
                 flat += np.bincount(at * DIMENSION + places[by, k], weights=signs[by, k], minlength=len(flat))
-    total = flat.reshape(size + 1, DIMENSION)
-    total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
-    np.add.at(total, (np.arange(size)[:, None], places), signs / np.sqrt(NONZERO))
-    return total.astype(np.float32)
+    return _unit(_unit(flat.reshape(size, DIMENSION)) + index_vectors(names))
+
+
+def pooled(table: np.ndarray, own: np.ndarray, docs: list[np.ndarray]) -> np.ndarray:
+    """One row for each document of token numbers: mean word vector, mean inner product of index vectors 1 to FAR places apart."""
+    out = np.zeros((len(docs), DIMENSION + FAR))
+    for row, ids in zip(out, docs, strict=True):
+        for at in range(0, len(ids), TOKENS):
+            before = min(at, FAR)
+            row[:DIMENSION] += np.ones(len(ids[at : at + TOKENS]), dtype=np.float32) @ table[ids[at : at + TOKENS]]
+            v = own[ids[at - before : at + TOKENS]]  # behind the FAR tokens before it
+            for d in range(1, min(FAR, len(v) - 1) + 1):
+                right = v[max(before, d) :]
+                row[DIMENSION + d - 1] += np.vdot(right, v[len(v) - d - len(right) : len(v) - d])
+        row /= max(len(ids), 1)
+    return out
 
 
 @dataclass(frozen=True)
 class Network:
-    """vocabulary and its vectors already times the first layer; the rest of the network; the temperature."""
+    """vocabulary, its word and index vectors, the layers, and the temperature."""
 
     vocabulary: dict[str, int]
-    projected: np.ndarray
-    extra: np.ndarray
+    vectors: np.ndarray
+    own: np.ndarray
+    first: np.ndarray
     bias: np.ndarray
     out: np.ndarray
     constant: float
     temperature: float
 
-    def score(self, text: str | None) -> float:
-        words = tokens(text)
-        unknown = len(self.vocabulary)
-        get = self.vocabulary.get
-        ids = np.fromiter([get(w, unknown) for w in words], dtype=np.int64, count=len(words))
-        n = max(len(words), 1)
-        known = ids[ids < unknown]
-        pooled = self.projected[known].sum(0) / n
-        hidden = np.tanh(pooled + np.array([(len(words) - len(known)) / n, *shares(words)]) @ self.extra + self.bias)
-        logit = float(hidden @ self.out) + self.constant
-        return float(1 / (1 + np.exp(-np.clip(logit / self.temperature, -40, 40))))
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        hidden = np.tanh(pooled(*numbered([tokens(t) for t in texts], self.vocabulary, self.vectors, self.own)) @ self.first + self.bias)
+        logits = hidden @ self.out + self.constant
+        return 1 / (1 + np.exp(-np.clip(logits / self.temperature, -40, 40)))
+
+
+def numbered(docs: list[list[str]], vocabulary: dict[str, int], vectors: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Tables of word and index vectors, known tokens' and then these documents' others', and the documents as rows of them."""
+    others: dict[str, int] = {}
+    get, add, size = vocabulary.get, others.setdefault, len(vocabulary)
+    out = []
+    for words in docs:
+        ids = [get(w, -1) for w in words]
+        if -1 in ids:
+            ids = [k if k >= 0 else add(w, size + len(others)) for k, w in zip(ids, words, strict=True)]
+        out.append(np.array(ids, dtype=np.int64))
+    more = index_vectors(list(others))
+    return np.concatenate([vectors, more]), np.concatenate([own, more]), out
 
 
 def _adam(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -137,11 +169,8 @@ def fit(sample: list[tuple[str | None, int]]) -> Network | float:
     unknown = len(names)
     numbers = [np.fromiter((vocabulary.get(w, unknown) for w in words), dtype=np.int64, count=len(words)) for words in docs]
     vectors = word_vectors(numbers, names)
-    x = np.zeros((len(docs), DIMENSION + 3))
-    for row, words, ids in zip(x, docs, numbers, strict=True):
-        n = max(len(ids), 1)
-        row[:DIMENSION] = vectors[ids].sum(0) / n
-        row[DIMENSION:] = (ids == unknown).sum() / n, *shares(words)
+    own = index_vectors(names)
+    x = pooled(*numbered(docs, vocabulary, vectors, own))
     held = np.arange(len(y)) % 5 == 0  # rows are in hash order
     fitted = ~held if len(set(y[~held].tolist())) == 2 else np.ones(len(y), dtype=bool)
     mean, scale = x[fitted].mean(0), x[fitted].std(0) + 1e-3
@@ -150,7 +179,7 @@ def fit(sample: list[tuple[str | None, int]]) -> Network | float:
     w1 = w1 / scale[:, None]
     b1 = b1 - mean @ w1
     logits = np.tanh(x[held] @ w1 + b1) @ w2 + b2
-    return Network(vocabulary, (vectors @ w1[:DIMENSION]).astype(np.float32), w1[DIMENSION:], b1, w2, b2, _temperature(logits, y[held]))
+    return Network(vocabulary, vectors, own, w1, b1, w2, b2, _temperature(logits, y[held]))
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, max_rows: int = MAX_ROWS) -> Network | float:
@@ -168,9 +197,9 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                values = [m if isinstance(m, float) else m.score(t) for t in part.column(1).to_pylist()]
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                values = np.full(part.num_rows, m) if isinstance(m, float) else m.scores(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.float64())], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
