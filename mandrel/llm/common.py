@@ -53,6 +53,23 @@ def small(df: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+#: Keys that a split join sends to every task at most: those with more than this part of all rows.
+HOT_KEYS = 1024
+
+
+def split_join(rows: DataFrame, info: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """An inner join on a key that few rows, or a third of all rows, may share. info: one row for each key, with n rows of it.
+
+    Keys with more than 1/HOT_KEYS of the rows, of which there are HOT_KEYS at most, go to every task, so that their rows
+    stay where they are; the others meet by a shuffle, none of them in a task of their own.
+    """
+    total = info.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) > total // HOT_KEYS
+    names = F.broadcast(info.where(hot).select(key))  # HOT_KEYS rows at most
+    cool = rows.join(names, key, "left_anti").join(info.where(~hot), key)
+    return cool.unionByName(rows.join(F.broadcast(info.where(hot)), key))
+
+
 def scanned(items: Column, state: Column, step: Callable[[Column, Column], Column], out: str, block: int = 64) -> Column:
     """What a running state gives out over an array. state: a struct; step(state, item) -> struct(state, out: array).
 

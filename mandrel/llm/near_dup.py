@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mandrel.llm.common import OWN, release, small, staged
+from mandrel.llm.common import OWN, release, small, split_join, staged
 
 SHINGLE, THRESHOLD = 5, 75
 BUCKET_BITS, MANTISSA_BITS = 8, 10
@@ -44,7 +44,7 @@ BANDS, ROWS = 51, 5
 COLLISION = 0.5 / (1 << MANTISSA_BITS)
 
 #: Bands of up to PAIRED members are compared pair by pair, larger ones in blocks of BLOCK.
-PAIRED, BLOCK = 16, 1024
+PAIRED, BLOCK, BLOCK_SHINGLES = 16, 1024, 1 << 20
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,13 +163,16 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := mark(edges)) != before and now[0]:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct()
+        # The hub of a star may have a third of all edges: hubs go to the edges, not edges to their hubs.
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = split_join(both, least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct()
+        large = staged(large, "large")
         # Small star: every edge (u, v), u < v, hangs from v; v's least neighbour takes v and v's other neighbours.
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v").select(F.col("m").alias("x"), F.explode(F.array("u", "v")).alias("y")).where("x != y")
+        least_v = staged(large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "least")
+        small = split_join(large, least_v, "v").select(F.col("m").alias("x"), F.explode(F.array("u", "v")).alias("y")).where("x != y")
         after = staged(small.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct(), "edges")
-        release(edges)
+        for done in (edges, least, large, least_v):
+            release(done)
         edges = after
     stars = edges.select(F.col("v").alias("node"), F.col("u").alias("label"))
     return stars.unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
@@ -220,26 +223,32 @@ def _joins(group: pd.DataFrame, threshold: int = THRESHOLD) -> pd.DataFrame:
 def _over_components(members: DataFrame, labels: DataFrame, first: DataFrame, reps: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b) between members of a band that lie in different components so far."""
     named = members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
-    named = staged(named.join(mixed, "band"), "mixed")
+    mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.first("n").alias("n")).where("x != y").select("band", "n")
+    mixed = staged(mixed, "bands")
+    named = staged(split_join(named.drop("n"), mixed, "band"), "mixed")
     few = named.where(F.col("n") <= PAIRED).select("band", "key", "label")
     meets = (F.col("l.band") == F.col("r.band")) & (F.col("l.key") < F.col("r.key")) & (F.col("l.label") != F.col("r.label"))
     more = few.alias("l").join(few.alias("r"), meets).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
     more = staged(more.join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
     paired = _verified(more, reps, sets, threshold).where("linked").select("a", "b")
     many = named.where(F.col("n") > PAIRED)
-    each = many.groupBy("band", "label").agg(F.count("*").alias("c")).groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("c"))
-    many = many.join(each, "band").withColumn("probe", F.col("label") != F.col("main"))
-    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    each = many.groupBy("band", "label").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("w"), F.first("n").alias("n"))
+    each = each.groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("c"), F.first("n").alias("n"), F.sum("w").alias("w"), F.max_by("w", F.struct("c", "label")).alias("main_w"))
+    many = split_join(many.drop("n"), staged(each, "main"), "band").withColumn("probe", F.col("label") != F.col("main"))
+    # A block has BLOCK members and BLOCK_SHINGLES shingles on either side, as an average over a band's blocks.
+    blocks = lambda n, w: F.greatest(F.ceil(n / F.lit(BLOCK)), F.ceil(w / F.lit(BLOCK_SHINGLES))).cast("int")
     at = F.xxhash64("key")
-    rows, probes = blocks(F.col("n")), blocks(F.col("n") - F.col("c"))
+    rows, probes = blocks(F.col("n"), F.col("w")), blocks(F.col("n") - F.col("c"), F.col("w") - F.col("main_w"))
     task = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     as_row = many.select("band", "key", "label", F.lit(False).alias("probe"), F.explode(F.transform(upto(probes), lambda i: task(i, F.pmod(at, rows)))).alias("t"))
     as_probe = many.where("probe").select("band", "key", "label", "probe", F.explode(F.transform(upto(rows), lambda j: task(F.pmod(at, probes), j))).alias("t"))
     tasks = as_row.unionByName(as_probe).select("band", "t.i", "t.j", "key", "label", "probe").join(sets, "key")
     blocked = tasks.groupBy("band", "i", "j").applyInPandas(lambda g: _joins(g, threshold), "a binary, b binary")
-    return staged(paired.unionByName(blocked).distinct(), "second")
+    second = staged(paired.unionByName(blocked).distinct(), "second")
+    for done in (mixed, named, more):
+        release(done)
+    return second
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -251,15 +260,16 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFra
     """The same with `key` (of the words) and `raw` (hash of the text as it is)."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("raw"))
     rows = staged(docs.mapInArrow(_sketched, SKETCHED), "sketched")
-    copies = staged(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep")), "copies")
-    reps = rows.where("key is not null").join(copies.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    copies = staged(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "copies")
+    reps = rows.where("key is not null").join(copies.select(F.col("key").alias("k"), "rep"), F.col("key").eqNullSafe(F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     reps = staged(reps.select("key", "rep", "n_shingles", "sketch").dropDuplicates(["key"]), "reps")
-    bands = reps.select("key", F.explode(F.array(*[F.xxhash64(F.lit(j), F.substring("sketch", 2 * ROWS * j + 1, 2 * ROWS)) for j in range(BANDS)])).alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = staged(bands.join(shared, "band"), "members")
+    bands = reps.select("key", "n_shingles", F.explode(F.array(*[F.xxhash64(F.lit(j), F.substring("sketch", 2 * ROWS * j + 1, 2 * ROWS)) for j in range(BANDS)])).alias("band"))
+    shared = staged(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    members = staged(split_join(bands, shared, "band"), "members")
     company = members.groupBy("key").agg(F.sum("n").alias("company"))
-    centres = members.join(company, "key").groupBy("band").agg(F.max_by("key", F.struct("company", "key")).alias("best"), F.min("key").alias("low"))
-    pairs = members.join(centres, "band").select(F.col("key").alias("b"), F.explode(F.array("best", "low")).alias("a")).where("a != b")
+    centres = members.join(company, "key").groupBy("band").agg(F.max_by("key", F.struct("company", "key")).alias("best"), F.min("key").alias("low"), F.first("n").alias("n"))
+    centres = staged(centres, "centres")
+    pairs = split_join(members.select("band", "key"), centres, "band").select(F.col("key").alias("b"), F.explode(F.array("best", "low")).alias("a")).where("a != b")
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # Full sets of the representatives that any pair needs; only ids and keys move, then their texts.
     asked = members.select(F.col("key").alias("k")).distinct().join(reps.select(F.col("key").alias("k"), "rep"), "k").select(F.col("rep").alias("doc_id"))
@@ -272,10 +282,15 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFra
     second = _over_components(members, labels, first, reps, sets, threshold)
     # Components of the whole: links of both rounds; the first round's are stars already.
     labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(second))
-    named = copies.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("label", "key").alias("label"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_key = named.join(least, "label").select("key", "component_id")
-    out = rows.select("doc_id", "n_shingles", "key", "raw").join(of_key, "key", "left")
+    for done in (reps, shared, members, centres, pairs, ids, sets, first, second):
+        release(done)
+    named = copies.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", "n", F.coalesce("label", "key").alias("label"))
+    least = staged(named.groupBy("label").agg(F.min("rep").alias("component_id"), F.count("*").alias("m")), "least")
+    of_key = staged(split_join(named, least, "label", "m").select("key", "n", "component_id"), "of_key")
+    # A text that a third of all documents copy is one row here, and goes to its documents.
+    columns = ["doc_id", "n_shingles", "key", "raw"]
+    out = split_join(rows.select(*columns), of_key, "key").select(*columns, "component_id")
+    out = out.unionByName(rows.where("key is null").select(*columns, F.lit(None).cast("long").alias("component_id")))
     out = out.select("doc_id", "n_shingles", "key", "raw", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("key").isNull().alias("empty"))
     return out.withColumn("kept", F.col("empty") | F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("empty")
 
