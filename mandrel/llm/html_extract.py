@@ -5,9 +5,13 @@ optional groups and repeated groups. It is inferred by aligning pages of one hos
 a page fold into repeated groups, equal items stay, unequal texts become slots, and what only one side has
 becomes an optional group. Every page is then folded and matched with its host's wrapper, which tells the
 host's constant texts from the slots that its pages fill. A block of which every text is constant is the host's
-and goes, inside an article or not; a block with a slot stays whole. Where a page has an article, only what is
-inside counts. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-go by their element or class wherever they are.
+and goes, inside an article or not; a block with a slot stays whole.
+
+The wrapper also tells where a host's articles are: its content path is found from the body down, into the one
+container that has four fifths of the characters that fill slots and loses no heading, and ends at an article. What a
+page has outside of it is no article text. A host without a wrapper is left with the article element, if any.
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments inside go by their
+element or class.
 
 A text is constant only by pages that differ: copies count once, and of pages that share more than half of
 their text one is fitted, so that what near copies share is not taken for the host's. Without two such pages a
@@ -21,7 +25,9 @@ whole. Wrappers, and ids of pages to fit, go to every task where their measured
 beyond that they are joined by a shuffle, in which a host that a third of all pages share is split as skewed.
 
 Defined results: a null or empty html has the text ''; a null or hostless url has no wrapper, and elements
-and classes alone decide; repeated rows are extracted each on its own; other columns are not looked at.
+and classes alone decide; pages whose ids hash alike are chosen by id; repeated rows are extracted each on its own, and
+repeated ids with different html are different pages; very long pages are read whole; an empty table gives no rows and
+no wrappers; other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,6 +55,9 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Elements that can hold an article, and those that name one.
+CONTAINER = frozenset("body main article section div td center".split())
+HEADING = frozenset("h1 h2".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class, id and role that mark what is no article; those of the second row only outside of one.
 MARKED = frozenset(
@@ -131,9 +140,9 @@ def shape(item) -> str:
 
 
 def merged(a, b):
-    """Two items of one shape: equal texts stay constant, others become a slot (None)."""
+    """Two items of one shape: equal texts stay constant, others become a slot (None), with the characters of both."""
     if a[0] == "text":
-        return ["text", a[1] if a[1] == b[1] else None, ""]
+        return ["text", a[1] if a[1] == b[1] else None, a[2] + b[2]]
     if a[0] in ("*", "?"):
         return [a[0], [merged(x, y) for x, y in zip(a[1], b[1], strict=True)], *a[2:]]
     return list(a)
@@ -209,7 +218,7 @@ def align(wrapper: list, page: list) -> list:
 def blank(item):
     """An item with slots for its texts: what not every page has is no constant of the host."""
     if item[0] == "text":
-        return ["text", None, ""]
+        return ["text", None, item[2]]
     return [item[0], [blank(x) for x in item[1]], *item[2:]] if item[0] in ("*", "?") else item
 
 
@@ -233,7 +242,7 @@ def infer(pages: list[str]) -> list:
         return []
     wrapper: list | None = None
     for page in pages:
-        folded = fold([list(t) for t in tokenise(page)])
+        folded = fold([[*t[:2], len(t[1].strip())] if t[0] == "text" else list(t) for t in tokenise(page)])
         wrapper = folded if wrapper is None else flat(align(flat(wrapper), folded))
     return wrapper or []
 
@@ -266,11 +275,70 @@ def constants(wrapper: list, tokens: list[Token]) -> set[int]:
     return found
 
 
-def extract(page: str | None, wrapper: list | None = None) -> str:
-    """The main text: blocks in page order, joined by an empty line."""
+def unfolded(items: list, many: bool = False) -> Iterator[tuple]:
+    """(item, whether it is one of many) for every plain item, groups opened."""
+    for x in items:
+        if x[0] in ("*", "?"):
+            yield from unfolded(x[1], many or x[0] == "*")
+        else:
+            yield x, many
+
+
+def step(path: list[str], kind: str, name: str, mark: str) -> bool:
+    """Follow the containers of a token stream; whether one opened. Other elements, often left open, are no part of a path."""
+    if name not in CONTAINER:
+        return False
+    if kind == "open":
+        path.append(f"{name} {mark}".rstrip())
+        return True
+    for up in range(len(path) - 1, -1, -1):
+        if path[up].split(" ", 1)[0] == name:
+            del path[up:]
+            break
+    return False
+
+
+def is_article(step: str) -> bool:
+    name, _, mark = step.partition(" ")
+    return name in ("article", "main") or "main" in mark.split()
+
+
+def content_path(wrapper: list) -> list[str]:
+    """The containers down to the one where slots are; empty if that is the whole page."""
+    path: list[str] = []
+    size: Counter = Counter()  # characters in slots, and of them in headings
+    heads: Counter = Counter()
+    opened: Counter = Counter()
+    heading = False
+    for (kind, name, mark), many in unfolded(wrapper):
+        if kind == "text":
+            if name is None:
+                for n in range(len(path) + 1):
+                    size[tuple(path[:n])] += mark
+                    heads[tuple(path[:n])] += mark if heading else 0
+        elif name in HEADING:
+            heading = kind == "open"
+        elif step(path, kind, name, mark):
+            opened[tuple(path)] += 2 if many else 1
+    at: tuple = ()
+    while not (at and is_article(at[-1])):
+        below = [x for x in size if len(x) == len(at) + 1 and x[: len(at)] == at]
+        best = max(below, key=lambda x: (size[x], x), default=None)
+        if best is None or opened[best] > 1 or 5 * size[best] < 4 * size[at] or heads[best] < heads[at]:
+            break
+        at = best
+    return list(at) if len(at) > 1 or (at and is_article(at[-1])) else []
+
+
+def extract(page: str | None, wrapper: list | None = None, root: list[str] | None = None) -> str:
+    """The main text: blocks in page order, joined by an empty line. root: the wrapper's content path, if it is known already."""
     tokens = tokenise(page or "")
-    has_article = any(t[0] == "open" and (t[1] in ("article", "main") or "main" in t[2].split()) for t in tokens)
     fixed = constants(wrapper, tokens) if wrapper else set()
+    root = content_path(wrapper) if wrapper and root is None else root or []
+    path: list[str] = []
+    steps = [tuple(path) if step(path, *t) else None for t in tokens]
+    starts = {k for k, (t, at) in enumerate(zip(tokens, steps, strict=True)) if (at and list(at) == root) or (t[0] == "open" and is_article(f"{t[1]} {t[2]}"))}
+    has_article = bool(starts)
     stack: list[tuple[str, bool, bool]] = []  # element, dropped here, inside an article
     blocks, line = [], []
     drop = inside = slots = False
@@ -296,7 +364,7 @@ def extract(page: str | None, wrapper: list | None = None) -> str:
         if kind == "open" and name not in VOID:
             words = set(mark.split())
             stack.append((name, drop, inside))
-            inside = inside or name in ("article", "main") or "main" in words
+            inside = inside or k in starts
             away = name in NEVER or bool(words & MARKED) or "hidden" in words
             drop = drop or away or (not inside and (name == "header" or bool(words & OUTSIDE)))
         elif kind == "close":
@@ -321,17 +389,20 @@ def _fit(group: pd.DataFrame) -> pd.DataFrame:
 
 def wrappers(pages: DataFrame, fitted: int = FITTED) -> DataFrame:
     """(host, wrapper) for hosts with two pages or more that differ. Of equal pages the one whose id hashes lowest counts."""
+    pages = pages.select("page_id", "url", "html")
     order = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")
     single = pages.where("html is not null").groupBy(host().alias("host"), F.xxhash64("html").alias("copy")).agg(F.min_by("page_id", F.struct(F.xxhash64("page_id"), "page_id")).alias("page_id"))
     ids = single.where("host != ''").withColumn("r", F.row_number().over(order)).where(F.col("r") <= fitted)
     many = ids.groupBy("host").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    chosen = staged(ids.join(many, "host").select("page_id").distinct(), "fitted")
-    sample = pages.join(small(chosen, F.lit(64)), "page_id", "left_semi").select(host().alias("host"), "html")
+    chosen = staged(ids.join(many, "host").select("page_id", "copy").distinct(), "fitted")
+    sample = pages.withColumn("copy", F.xxhash64("html")).join(small(chosen, F.lit(64)), ["page_id", "copy"], "left_semi")
+    # Rows that repeat a page are one; so a host has `fitted` pages in its group, and no more.
+    sample = sample.select(host().alias("host"), "html", "copy").dropDuplicates(["host", "copy"]).select("host", "html")
     return sample.groupBy("host").applyInPandas(_fit, "host string, wrapper string")
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, list] = {}
+    known: dict[str, tuple[list, list[str]]] = {}
     for batch in batches:
         for low in range(0, batch.num_rows, 256):
             part = batch.slice(low, 256)
@@ -340,8 +411,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if text is not None and text not in known:
                     if len(known) >= 64:
                         known.clear()
-                    known[text] = flat(json.loads(text))
-                texts.append(extract(page, known.get(text)))
+                    wrapper = flat(json.loads(text))
+                    known[text] = (wrapper, content_path(wrapper))
+                texts.append(extract(page, *known.get(text, ())))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
