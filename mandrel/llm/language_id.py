@@ -11,8 +11,8 @@ lowest, and fewer where there are more languages than SAMPLE holds at that numbe
 its n-gram set. More than MOST languages are an error, as each has a landmark.
 
 Defined results: a null text or one without a letter is `und` with score 0; without any labelled row every
-text is `und`; ties go to the first language by name; repeated rows are scored each on its own; texts are
-read whole; other columns are not looked at.
+text is `und`; ties go to the first language by name; repeated rows are scored each on its own, and learned from
+once; texts are read whole; an empty table gives no rows; other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -110,23 +110,25 @@ def fit(sample: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge:
 
 def train(docs: DataFrame, allowed: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """docs: doc_id, text, lang. Only rows where `allowed` holds and lang and text are not null are learned from."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = docs.select("doc_id", "text", "lang").where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
     names = sorted(r["lang"] for r in rows.select("lang").distinct().limit(MOST + 1).collect())
     if not names:
         return None
     if len(names) > MOST:
         raise ValueError(f"more than {MOST} languages")
     per_language = min(per_language, SAMPLE // len(names))
+    # Of rows that repeat an id and language, the text that hashes lowest counts, so that they crowd nobody out.
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    single = rows.groupBy("doc_id", "lang").agg(F.min("hash").alias("hash"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = rows.select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= per_language)
-    ids = F.broadcast(picked.select("doc_id").distinct())  # SAMPLE ids at most
+    picked = F.broadcast(single.withColumn("r", rank).where(F.col("r") <= per_language).drop("r"))  # SAMPLE rows at most
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [(i, lang, t) for i, t, lang in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in keep], pa.int64()), pa.array([x[1] for x in keep], pa.string()), pa.array([grams(x[2]).tolist() for x in keep], pa.list_(pa.int32()))], names=["doc_id", "lang", "grams"])
 
-    chosen = rows.join(ids, "doc_id", "left_semi").select(F.col("doc_id").cast("long"), "text", "lang")
+    chosen = rows.join(picked, ["doc_id", "lang", "hash"], "left_semi").dropDuplicates(["doc_id", "lang"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     got = chosen.mapInArrow(featurise, "doc_id long, lang string, grams array<int>").orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(SAMPLE)
     return fit([(r["lang"], np.array(r["grams"], dtype=np.int32)) for r in got.collect()])
 
