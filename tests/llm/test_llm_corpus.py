@@ -119,6 +119,34 @@ def test_ids_equal_the_tokenizer():
                 assert np.frombuffer(got, "<u4").tolist() == t.encode(x or "", add_special_tokens=False).ids
 
 
+def test_ids_equal_the_tokenizer_on_odd_strings():
+    from tokenizers import Tokenizer
+
+    t, w, rng = Tokenizer.from_file(PATH), packing.WordTokens(PATH), random.Random(1)
+    odd = ["İ", "I", "ı", "a", "B", "é", "ß", "ſ", "K", "ǅ", "ŉ", "ǰ", "ẞ", "Σ", ".", ",", "!", "-", "'", " ", "\n", "1", "½", "ª", "ɐ", "\u0301", "\u0307", "你", "😀", "#", "&", "\u00ad", "\u200d", "ﬁ", "Ⅷ"]
+    texts = ["İ.", "GİBİ, EVET", "TÜRKİYELİ!"] + ["".join(rng.choice(odd) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    for x, got in zip(texts, w.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
+def test_combinations_by_brute_force():
+    rng = random.Random(2)
+    counts = np.array([0] + [rng.randrange(0, 3) for _ in range(39)])
+    pairs, triples = packing.combinations(counts, 40)
+    have = [k for k in range(1, 40) if counts[k]]
+    assert sorted(map(tuple, pairs.tolist())) == sorted({(a, b) for a in have for b in have if a >= b and a + b == 40})
+    assert sorted(map(tuple, triples.tolist())) == sorted({(a, b, c) for a in have for b in have for c in have if a >= b >= c and a + b + c == 40})
+
+
+def test_least_squares_places_most_tails():
+    rng = np.random.default_rng(3)
+    counts = np.bincount(np.minimum(rng.lognormal(5.5, 1.2, 4000).astype(int), 2047), minlength=2048)
+    counts[0] = 0
+    p = packing.plan(counts)
+    placed = sum(high - low for _, low, high, _, _ in p.slots)
+    assert placed >= 0.75 * counts.sum() and p.padding < 2048
+
+
 def check_packed(rows, ids, window):
     by = {}
     for r in rows:
@@ -197,6 +225,40 @@ def test_shards_are_even_and_copies_together(spark, hot):
         assert len(where["hot text"]) <= 40
 
 
+def slow_cut(rows, texts):
+    out = 0
+    by = {}
+    for r in rows:
+        by.setdefault(texts[r.doc_id], []).append(r.shard)
+    for t, shards in by.items():
+        if t is not None:
+            out += sum(a != b for k, a in enumerate(shards) for b in shards[:k])
+    return out
+
+
+@pytest.mark.parametrize("group, most", [(2, 0.02), (12, 0.25), (45, 0.35)])
+def test_rounds_cut_fewer_links(spark, group, most):
+    """Every row is linked, so no shard has room but for what leaves: the hardest case."""
+    texts = [f"text {k // group}" for k in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    none, some = sharding.assign(df, shards=20, rounds=0).collect(), sharding.assign(df, shards=20).collect()
+    for rows in (none, some):
+        sizes = [sum(r.shard == s for r in rows) for s in range(20)]
+        assert sum(sizes) == len(texts) and max(sizes) - min(sizes) <= 1
+    assert sum(a.shard != b.shard for a, b in zip(sorted(none), sorted(some), strict=True)) > 500
+    assert slow_cut(some, texts) <= most * slow_cut(none, texts)
+
+
+def test_cut_links_of_every_round(spark):
+    texts = [f"text {k // 5}" for k in range(400)] + [f"alone {k}" for k in range(1600)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS).select("doc_id", F.xxhash64("text").alias("hash"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"), F.length("text").cast("long").alias("size"), F.pmod(F.xxhash64("doc_id"), F.lit(160)).cast("int").alias("place"))
+    state, cuts = sharding.propagate(df, 2000)
+    assert cuts[0] > 600 and cuts[-1] == 0 and cuts == sorted(cuts, reverse=True)
+    assert state.agg(F.sum("n")).first()[0] == 400  # links of 80 groups of five, all in one shard each
+    assert sharding.admitted({(0, 1): 10, (1, 0): 10}, [0, 0]) == [1.0, 1.0]
+    assert sharding.admitted({(0, 1): 10}, [0, 4]) == [1.0, 0.4]
+
+
 def test_sharding_is_native_and_repeatable(spark):
     df = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 170).alias("text"))
     one, two = sharding.assign(df), sharding.assign(df.repartition(5))
@@ -204,6 +266,17 @@ def test_sharding_is_native_and_repeatable(spark):
     assert "Python" not in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_split_join_is_the_plain_join(spark):
+    from mandrel.llm.common import scanned, split_join
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000).alias("k"), "id")
+    info = rows.groupBy("k").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, split_join(rows, info, "k").select("k", "id", "n").collect())) == sorted(map(tuple, rows.join(info, "k").select("k", "id", "n").collect()))
+    assert split_join(rows.where("false"), info.where("false"), "k").count() == 0
+    sums = scanned(F.sequence(F.lit(1), F.lit(1000)), F.struct(F.lit(0).alias("s")), lambda a, x: F.struct(F.struct((a["s"] + x).alias("s")).alias("state"), F.array(a["s"] + x).alias("out")), "int")
+    assert spark.range(1).select(sums.alias("x")).first().x == np.cumsum(range(1, 1001)).tolist()
+
+
 # Pipeline
 
 

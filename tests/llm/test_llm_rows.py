@@ -252,6 +252,40 @@ def test_large_turns_have_their_own_window(spark):
     assert chat_format.windows(talk(spark, [])).count() == 0
 
 
+def slow_windows(rows, budget, history, size):
+    """(first turn, end, repeated history) of each window, by the definition."""
+    out, at, has = [], 0, rows[0][0] == "system"
+    system = size(rows[0]) if has else 0
+    while at < len(rows):
+        back = 0
+        if at:
+            for k in range(1, history + 1):
+                spent = sum(map(size, rows[at - k : at])) if at - k >= has else None
+                if spent is not None and spent <= budget // 4 and system + spent + size(rows[at]) <= budget:
+                    back = k
+        total = (system if at else 0) + sum(map(size, rows[at - back : at + 1]))
+        end = at + 1
+        while end < len(rows) and total + size(rows[end]) <= budget:
+            total += size(rows[end])
+            end += 1
+        out.append((at, end, back + (1 if at and has else 0), total))
+        at = end
+    return out
+
+
+@pytest.mark.parametrize("sizes, system, budget", [((500, 180, 600), 300, 1024), ((10,) * 300, 20, 64), ((5, 90, 5, 200, 3, 3, 3, 90), 40, 128), ((30, 20, 25, 60, 1, 1, 45) * 30, 0, 100)])
+def test_windows_by_brute_force_keep_the_budget(spark, sizes, system, budget):
+    rows = [("system", "s " * system)] * bool(system) + [("user" if k % 2 else "assistant", f"é{k} " * n) for k, n in enumerate(sizes)]
+    df = talk(spark, [(1, k, *r) for k, r in enumerate(rows)]).withColumns({c: F.lit(1) for c in ("t", "p", "i", "limit", "back", "starts", "window")})
+    got = chat_format.windows(df, budget=budget, history=2).orderBy("window").collect()
+    one = lambda r: len(re.findall(r"\w+|[^\w\s]", f"<|im_start|>{r[0]}\n{r[1]}<|im_end|>\n"))
+    want = slow_windows(rows, budget, 2, one)
+    assert [(w.n_context, w.n_tokens) for w in got] == [(c, n) for _, _, c, n in want]
+    assert all(w.n_tokens <= budget or (w.n_context <= 1 and end - at == 1) for w, (at, end, _, _) in zip(got, want, strict=True))
+    back = chat_format.read_back(chat_format.windows(df, budget=budget, history=2)).orderBy("window").collect()
+    assert [(t.role, t.text) for w in back for t in w.turns] == rows
+
+
 def test_chat_plan_is_native(spark):
     plan = chat_format.windows(talk(spark, []).where("conv_id > 0"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -345,6 +379,53 @@ def test_alignment_is_a_common_subsequence_and_repeats_hold_constants():
     assert html_extract.extract(page.format("new"), html_extract.flat(w)) == "new"
 
 
+def opaque(page):
+    """The page with nothing left that says what its parts are."""
+    for name in ("article", "nav", "header", "footer", "aside", "section"):
+        page = re.sub(rf"<{name}[^>]*>", f'<div class="z{len(name)}{name[0]}">', page).replace(f"</{name}>", "</div>")
+    return page
+
+
+SITE = '<html><body><nav><a href="/{a}">{m}</a></nav><aside><p>{m}</p></aside><article><h1>{a}</h1><p>{b}</p><p>{c}</p></article><footer>By {m}</footer></body></html>'
+
+
+def test_content_path_finds_articles_without_their_element(spark):
+    rows = []
+    for k in range(12):
+        page = SITE.format(a=prose(4, k), b=prose(40, 50 + k), c=prose(30, 90 + k), m=prose(2, 200 + k))
+        rows += [(k, "http://plain.example/x", page), (100 + k, "http://opaque.example/x", opaque(page))]
+    df = pages(spark, rows).withColumns({c: F.lit("mine") for c in ("host", "copy", "wrapper", "text", "n")})
+    got = {r.page_id: r.text for r in html_extract.main_text(df).collect()}
+    for k in range(12):
+        assert got[k] == got[100 + k] == f"{prose(4, k)}\n\n{prose(40, 50 + k)}\n\n{prose(30, 90 + k)}"
+        assert html_extract.extract(rows[2 * k + 1][2]) != got[k]  # without the wrapper
+
+
+def test_content_path_of_given_pages():
+    """Article text of a given table's pages, from pages whose elements and classes say nothing."""
+    duckdb = pytest.importorskip("duckdb")
+    try:
+        rows = duckdb.connect().execute("SELECT url, html FROM '/root/testdata/sf0.01/pages.parquet' WHERE html IS NOT NULL").fetchall()
+    except duckdb.IOException:
+        pytest.skip("no test data")
+    by = {}
+    for url, page in rows:
+        by.setdefault(re.sub(r"^\w+://([^/?#]*).*", r"\1", url or "", flags=re.DOTALL), []).append(page)
+    tried = right = 0
+    for those in by.values():
+        wrapper = html_extract.flat(html_extract.infer([opaque(x) for x in sorted(set(those))[:8]]))
+        for page in those if wrapper else []:
+            tried, right = tried + 1, right + (html_extract.extract(opaque(page), wrapper) == html_extract.extract(page))
+    assert right >= 0.95 * tried
+
+
+def test_repeated_ids_and_no_pages(spark):
+    rows = [(1, "http://h.example/x", SITE.format(a=prose(4, k), b=prose(40, 50 + k), c=prose(30, 90 + k), m=prose(2, 200 + k))) for k in range(5)] * 3
+    got = html_extract.main_text(pages(spark, rows)).collect()
+    assert len(got) == 15 and {r.text.split("\n\n")[0] for r in got} == {prose(4, k) for k in range(5)}
+    assert html_extract.wrappers(pages(spark, [])).count() == 0
+
+
 def test_broken_markup():
     for bad in ("<", "<p", "<!--", "<script>", "</p></div>", "<p class='x>y", "a < b > c", "<" * 500, "<article>" * 200):
         html_extract.extract(bad)
@@ -413,6 +494,76 @@ def test_classifier_held_out(spark):
     assert got[300] == got[301] and all(0 <= v <= 1 for v in got.values())
 
 
+def test_repeated_ids_do_not_crowd_the_sample(spark):
+    rows = [(1, "aaa bbb", "x")] * 500 + [(k, f"ccc ddd {k}", "y") for k in range(2, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({c: F.lit(1) for c in ("r", "hash", "grams")})
+    model = language_id.train(df, F.lit(True), per_language=20)
+    assert model.languages == ("x", "y") and language_id.predict(df, model).where("lang_pred = lang_pred AND doc_id = 1 AND lang_pred = 'x'").count() == 500
+
+
+def test_kernel_regression_by_brute_force():
+    """With every text a landmark, the scores are those of kernel ridge regression over whole n-grams, unhashed."""
+    import numpy as np
+
+    rng = random.Random(4)
+    sound = {"en": "the th ing er on".split(), "fr": "eau oi ent le".split(), "de": "sch ung ge er".split()}
+    texts = [(lang, " ".join("".join(rng.choice(s) for _ in range(3)) for _ in range(6))) for lang, s in sound.items() for _ in range(8)]
+    new = [" ".join("".join(rng.choice(s) for _ in range(3)) for _ in range(6)) for s in sound.values()]
+
+    def whole(t):
+        t = f" {t} "
+        return {t[k : k + n] for n in (1, 2, 3) for k in range(len(t) - n + 1)}
+
+    kernel = lambda a, b: np.array([[len(x & y) / (len(x) * len(y)) ** 0.5 for y in map(whole, b)] for x in map(whole, a)])
+    train = [t for _, t in texts]
+    k, ridge, langs = kernel(train, train), 1e-2, sorted(sound)
+    y = np.array([[1.0 if lang == x else -1.0 for x in langs] for lang, _ in texts])
+    centre = np.eye(len(train)) - 1 / len(train)
+    # Weights of 1/8 for each row; the dual form of the centred weighted problem.
+    alpha = np.linalg.solve(centre @ k @ centre / 8 + ridge * np.eye(len(train)), centre @ y / 8)
+    kn = kernel(new, train)
+    want = (kn - k.mean(0)) @ centre @ alpha + y.mean(0)
+    model = language_id.fit([(lang, language_id.grams(t)) for lang, t in texts], landmarks=len(train))
+    got = model.scores([language_id.grams(t) for t in new])
+    assert np.abs(got - want).max() < 0.05 and (got.argmax(1) == want.argmax(1)).all()
+
+
+def test_pieces_of_a_long_text_pool_alike(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    table, own = rng.normal(size=(2, 50, quality_classifier.DIMENSION)).astype(np.float32)
+    texts = [rng.integers(0, 50, n) for n in (0, 1, 2, 3, 4, 5, 6, 500)]
+    whole = quality_classifier.pooled(table, own, texts)
+    for ids, row in zip(texts, whole, strict=True):
+        want = [table[ids].sum(0), [sum(float(own[a] @ own[b]) for a, b in zip(ids, ids[d:], strict=False)) for d in range(1, quality_classifier.FAR + 1)]]
+        assert row == pytest.approx(np.concatenate(want) / max(len(ids), 1), abs=1e-3)
+    monkeypatch.setattr(quality_classifier, "TOKENS", 5)
+    assert quality_classifier.pooled(table, own, texts) == pytest.approx(whole, abs=1e-4)
+
+
+def test_repeats_show_in_vectors_alone():
+    """Texts of one word distribution, of which some say every word three times: no mean tells them apart."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(400):
+        said = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(30)]
+        rows.append((" ".join(w for w in said for _ in range(3 if k % 2 else 1)), 1 - k % 2))
+    model = quality_classifier.fit(rows[:300])
+    got = model.scores([t for t, _ in rows[300:]])
+    assert sum((s >= 0.5) == bool(q) for s, (_, q) in zip(got, rows[300:], strict=True)) >= 98
+
+
+def test_classifier_rows(spark):
+    rows = [(k, prose(30, k) if k % 2 else "## $$ " * 30) for k in range(60)] + [(None, None), (7, prose(30, 7)), (7, "x" * 200_000)]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("score", "quality", "label")})
+    marks = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(None, 1)], "doc_id long, quality int")
+    model = quality_classifier.train(df, marks, F.lit(True))
+    got = quality_classifier.score(df, model)
+    assert got.count() == len(rows) and got.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+    assert quality_classifier.score(df.where("false"), model).count() == 0
+
+
 def test_classifier_without_two_labels(spark):
     df = docs(spark, ["a b", None])
     none = spark.createDataFrame([], "doc_id long, quality int")
