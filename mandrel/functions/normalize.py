@@ -39,7 +39,8 @@ def _shortened(c: Column, forms: dict[str, str]) -> Column:
 
 def normalize_name(c: str | Column) -> Column:
     spaced = _squeezed(F.replace(_shortened(cleaned(c), NAME_FORMS), F.lit("&"), F.lit(" & ")))
-    return F.trim(F.regexp_replace(spaced, "^THE | THE$", " "))
+    # Both ends lose the article, also where they share a space.
+    return F.trim(F.regexp_replace(spaced, "^THE |(?<= )THE$", ""))
 
 
 def normalize_address(c: str | Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def dats(c: str) -> Column:
     """YYYYMMDD as a date; blank and 00000000 are the initial value, null."""
-    return F.when(~F.col(c).isin("", "00000000"), F.to_date(c, "yyyyMMdd"))
+    return F.to_date(F.nullif(F.nullif(F.col(c), F.lit("")), F.lit("00000000")), "yyyyMMdd")
 
 
 def stamp(c: str | Column) -> Column:

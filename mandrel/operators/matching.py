@@ -15,6 +15,8 @@ from mandrel.functions.similarity import JARO_WINKLER, SCORERS, token_set_ratio,
 LARGEST = 1000
 WEIGHTS = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5)
 THRESHOLDS = range(40, 101)
+#: Match weights, in log2 odds, at which a curve is read.
+WEIGHT_THRESHOLDS = tuple(-10 + k / 4 for k in range(201))
 #: Pairs this far below the threshold are kept for review.
 NEAR_MISS = 10
 ADDRESS_SCORE = vectorised(token_set_ratio)
@@ -125,10 +127,16 @@ def grid(scored: DataFrame, positives: int, scorers: Sequence[str] = tuple(SCORE
     return curve(rows, "score", positives, by=("choice", "scorer", "weight"))
 
 
+def best(curves: DataFrame) -> DataFrame:
+    """The row of the greatest F1; ties, to twelve digits, go to the first choice and then the lowest threshold."""
+    order = F.struct(-F.round("f1", 12), "choice", "threshold")
+    return curves.agg(F.min_by(F.struct(*curves.columns), order).alias("b")).select("b.*")
+
+
 def tune(scored: DataFrame, positives: int, **kw) -> tuple[str, float, int]:
     """Scorer, weight and threshold of the greatest F1; ties go to the first choice and then the lowest threshold."""
-    best = grid(scored, positives, **kw).orderBy(F.desc("f1"), "choice", "threshold").first()
-    return best["scorer"], best["weight"], int(best["threshold"])
+    row = best(grid(scored, positives, **kw)).first()
+    return row["scorer"], row["weight"], int(row["threshold"])
 
 
 def candidates(scored: DataFrame, scorer: str, weight: float, threshold: int) -> DataFrame:
@@ -165,6 +173,50 @@ def stratified(rows: DataFrame, stratum: str, sizes: dict[str, int], key: Sequen
     return rows.where(F.col(stratum).isin(list(sizes))).withColumn("__r", r).where(F.col("__r") <= F.try_element_at(want, F.col(stratum))).drop("__r")
 
 
+#: How many hard pairs of each kind are put before a person.
+STRATA = {"same_name": 45, "near_threshold": 45, "missed": 35, "related": 25}
+
+
+def strata(scored: DataFrame, v: DataFrame, score: str, threshold: float, near: float = 6) -> DataFrame:
+    """Pairs that are hard to tell, each with the first of the kinds that it is of: same name but no match, close to the threshold, missed, related above it."""
+    same = F.col("name_norm_A") == F.col("name_norm_B")
+    value, label = F.col(score), F.col("label")
+    kind = F.when(same & (label != "match"), "same_name").when(~same & value.between(threshold - near, threshold + near), "near_threshold")
+    kind = kind.when((label == "match") & (value < threshold), "missed").when((label == "related") & (value >= threshold), "related")
+    return _both(scored, v, ["name_norm"]).withColumn("stratum", kind).where("stratum IS NOT NULL").drop("name_norm_A", "name_norm_B")
+
+
+def hard_cases(scored: DataFrame, v: DataFrame, score: str, threshold: float, sizes: dict[str, int] | None = None, seed: int = 7) -> DataFrame:
+    """The sheet of pairs to be labelled by hand: both sides' names and places, the score, and room for a label."""
+    picked = stratified(strata(scored, v, score, threshold), "stratum", sizes or STRATA, ["LIFNR_A", "LIFNR_B"], seed)
+    order = Window.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed + 1)), "LIFNR_A", "LIFNR_B")), "LIFNR_A", "LIFNR_B")  # sum(sizes) rows
+    picked = picked.withColumn("pair_id", F.format_string("H%03d", F.row_number().over(order)))
+    shown = [c for c in ("name", "address", "city", "state", "zip5") if c in v.columns]
+    sides = [f"{c}_{side}" for side in "AB" for c in shown]
+    return _both(picked, v, shown).select("pair_id", "LIFNR_A", "LIFNR_B", *sides, F.round(score, 1).alias("score"), F.lit("").alias("label"), F.lit("").alias("notes"), "stratum")
+
+
+def read_labels(spark, path: str) -> DataFrame:
+    """Hand-labelled pairs from CSV, all text; pairs without a label are left out."""
+    df = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]).where("label != ''")
+
+
+def labelled_scores(labelled: DataFrame, key: DataFrame, scored: DataFrame, scores: Sequence[str]) -> DataFrame:
+    """Labelled pairs with what the answer key and the scorers say of them."""
+    pair = ["LIFNR_A", "LIFNR_B"]
+    return labelled.select("pair_id", *pair, "label").join(key.select("pair_id", *pair, "stratum", "uei_label"), ["pair_id", *pair]).join(scored.select(*pair, *scores), pair)
+
+
+def write_outputs(folder: str, candidates: DataFrame, curves: DataFrame, wrong: dict[str, DataFrame], metrics: DataFrame) -> None:
+    """Candidates as Parquet, metrics as JSON, the curve and the error samples as CSV."""
+    candidates.write.mode("overwrite").parquet(f"{folder}/candidates")
+    metrics.coalesce(1).write.mode("overwrite").json(f"{folder}/metrics")  # one row
+    curves.coalesce(1).write.mode("overwrite").csv(f"{folder}/curve", header=True)  # one row for each threshold
+    for name, df in wrong.items():
+        df.coalesce(1).write.mode("overwrite").csv(f"{folder}/errors_{name}", header=True)  # ten rows at most
+
+
 def judge(decided: DataFrame, score: str, threshold: float) -> DataFrame:
     """Hits and errors against decided labels (duplicate or not); what has no score counts as far below."""
     hit = F.coalesce(score, F.lit(-99.0)) >= threshold

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,9 +14,14 @@ def counted(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if not c.startswith("_") or c.startswith("__")]
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
+def md5_of(*columns: str) -> Column:
+    """A 48-bit number from the text of a row's columns: a row hash that other engines have as well."""
+    return F.conv(F.left(F.md5(F.concat_ws("|", *columns)), F.lit(12)), 16, 10).cast("long")
+
+
+def fingerprint(df: DataFrame, row_hash: Callable[..., Column] = F.xxhash64) -> DataFrame:
     """Row count and an order-independent hash: partial sums, one row."""
-    h = F.xxhash64(*counted(df.columns)).cast("decimal(38,0)")
+    h = row_hash(*counted(df.columns)).cast("decimal(38,0)")
     return df.select(h.alias("h")).agg(F.count("*").alias("n"), F.sum("h").alias("h"))
 
 
@@ -23,6 +29,16 @@ def fingerprints(tables: Mapping[str, DataFrame]) -> dict[str, tuple[int, str]]:
     return {name: (r["n"], str(r["h"])) for name, df in tables.items() for r in fingerprint(df).collect()}
 
 
+def listed(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Names of the catalog's tables and views that begin with a prefix."""
+    return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(prefix))
+
+
+def deliveries(tables: Mapping[str, DataFrame], date: str = "extract_date") -> DataFrame:
+    """Rows of each table on each date."""
+    return reduce(DataFrame.unionByName, [df.groupBy(date).agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), date, "n") for name, df in tables.items()])
+
+
 def compare(before: Mapping[str, tuple], after: Mapping[str, tuple]) -> list[str]:
     """Names whose fingerprints differ or that only one side has."""
     return sorted(n for n in {*before, *after} if before.get(n) != after.get(n))

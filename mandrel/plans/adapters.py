@@ -65,6 +65,23 @@ SHAPES = {
     "b_matches": """SELECT lpad(CAST(a.user_id AS STRING), 10, '0') AS LIFNR_A, lpad(CAST(b.user_id AS STRING), 10, '0') AS LIFNR_B, CAST(85.3 AS DOUBLE) + a.user_id % 13 AS score,
         CAST(80.0 AS DOUBLE) + a.user_id % 20 AS name_score, CAST(70.0 AS DOUBLE) + b.user_id % 30 AS address_score, a.user_id % 13 >= 6 AS above_threshold
         FROM users a JOIN users b ON a.user_id % 50 = b.user_id % 50 AND a.user_id < b.user_id""",
+    # Change documents: headers, some of them delivered twice, and items, some of them without a header.
+    "b_cdhdr": """SELECT 'KRED' AS OBJECTCLAS, lpad(CAST(user_id AS STRING), 10, '0') AS OBJECTID, lpad(CAST(event_id AS STRING), 10, '0') AS CHANGENR, concat('U', CAST(event_id % 7 AS STRING)) AS USERNAME,
+        replace(CAST(CAST(ts AS DATE) AS STRING), '-', '') AS UDATE, concat(lpad(CAST(hour(ts) AS STRING), 2, '0'), lpad(CAST(minute(ts) AS STRING), 2, '0'), lpad(CAST(event_id % 60 AS STRING), 2, '0')) AS UTIME
+        FROM {events} CROSS JOIN (SELECT 1 AS again UNION ALL SELECT 2 AS again) a WHERE event_type IN ('signup', 'click', 'view') AND event_id % 17 <> 3 AND (a.again = 1 OR event_id % 5 = 0)""",
+    "b_cdpos": """SELECT CASE WHEN event_id % 23 = 0 THEN 'BUPA' ELSE 'KRED' END AS OBJECTCLAS, lpad(CAST(user_id AS STRING), 10, '0') AS OBJECTID, lpad(CAST(event_id AS STRING), 10, '0') AS CHANGENR,
+        CASE event_type WHEN 'signup' THEN 'LFBK' WHEN 'click' THEN 'LFA1' ELSE 'LFB1' END AS TABNAME,
+        concat('100', lpad(CAST(user_id AS STRING), 10, '0'), CASE event_type WHEN 'signup' THEN concat(rpad('US', 3, ' '), rpad('121000358', 15, ' '), rpad(concat('ACC ', CAST(event_id % 9 + h.half AS STRING)), 18, ' '))
+          WHEN 'view' THEN CASE WHEN event_id % 3 = 0 THEN '1000' WHEN event_id % 3 = 1 THEN '2000' ELSE '3000' END ELSE '' END) AS TABKEY,
+        CASE event_type WHEN 'signup' THEN 'KEY' WHEN 'click' THEN CASE event_id % 6 WHEN 0 THEN 'SPERR' WHEN 1 THEN 'SPERZ' WHEN 2 THEN 'SPERM' WHEN 3 THEN 'LOEVM' WHEN 4 THEN 'CONFS' ELSE 'NAME1' END
+          ELSE CASE event_id % 6 WHEN 0 THEN 'SPERR' WHEN 1 THEN 'LOEVM' WHEN 2 THEN 'ZAHLS' WHEN 3 THEN 'REPRF' WHEN 4 THEN 'CONFS' ELSE 'ZTERM' END END AS FNAME,
+        CASE WHEN event_type <> 'signup' THEN CASE WHEN event_id % 29 = 5 THEN 'J' ELSE 'U' END WHEN h.half = 0 THEN 'D' ELSE 'I' END AS CHNGIND, CASE WHEN user_id % 2 = event_id % 4 THEN '' ELSE 'X' END AS VALUE_NEW
+        FROM {events} CROSS JOIN (SELECT 0 AS half UNION ALL SELECT 1 AS half) h WHERE event_type = 'signup' OR (event_type IN ('click', 'view') AND h.half = 1)""",
+    # Pay runs on two weekdays, invoices, and changes of fields that hold payments back.
+    "p_runs": "SELECT extract_date AS run FROM spine WHERE day(extract_date) % 7 IN (2, 5)",
+    "p_invoices": "SELECT event_id AS doc, lpad(CAST(user_id AS STRING), 10, '0') AS LIFNR, CASE WHEN event_id % 3 = 0 THEN '1000' ELSE '2000' END AS BUKRS, CAST(ts AS DATE) AS budat, CAST(ts AS DATE) + CAST(event_id % 12 AS INT) AS netdt, CAST(value AS DECIMAL(23,2)) AS amount FROM {events} WHERE event_type = 'view'",
+    "p_base": "SELECT lpad(CAST(user_id AS STRING), 10, '0') AS LIFNR, CASE WHEN user_id % 9 = 1 THEN '1' ELSE '' END AS CONFS, '' AS SPERZ, CASE WHEN user_id % 31 = 4 THEN 'X' ELSE '' END AS SPERR, '' AS LOEVM FROM users",
+    "p_changes": "SELECT lpad(CAST(user_id AS STRING), 10, '0') AS LIFNR, ts, event_id, CASE event_id % 4 WHEN 0 THEN 'CONFS' WHEN 1 THEN 'SPERZ' WHEN 2 THEN 'SPERR' ELSE 'NAME1' END AS FNAME, CASE WHEN event_id % 5 < 3 THEN '' ELSE 'X' END AS VALUE_NEW FROM {events} WHERE event_type = 'click' AND user_id % 3 = 0",
     # Parts as the parties to match; brands and sizes make the blocks.
     "parties": """SELECT lpad(CAST(p_partkey AS STRING), 10, '0') AS LIFNR, concat('The ', p_name, CASE WHEN p_partkey % 3 = 0 THEN ', Inc.' WHEN p_partkey % 3 = 1 THEN ' Incorporated' ELSE ' L.L.C.' END) AS name,
         concat(CAST(p_partkey % 40 AS STRING), ' North ', p_type, ' Street & Road') AS address, p_brand AS state, lpad(CAST(p_size AS STRING), 3, '0') || '-' || lpad(CAST(p_partkey % 100 AS STRING), 2, '0') AS zip,

@@ -14,8 +14,9 @@ from mandrel.operators import conform, matching, rules, temporal, verify
 from mandrel.operators.expectations import guarded, violations
 from mandrel.operators.scd2 import END, START, scd2
 from mandrel.plans.adapters import shape, stated
-from mandrel.session import shared_folder
+from mandrel.session import shared_folder, written
 from mandrel.sources import archives
+from mandrel.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -59,7 +60,7 @@ def _short(c: str, forms: dict[str, str]) -> str:
 
 def _name(c: str) -> str:
     spaced = f"trim(regexp_replace(replace({_short(_clean(c), NAME_FORMS)}, '&', ' & '), '\\s+', ' ', 'g'))"
-    return f"trim(regexp_replace({spaced}, '^THE | THE$', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace({spaced}, ' THE$', ' '), '^THE ', ''))"
 
 
 def _address(c: str) -> str:
@@ -137,8 +138,10 @@ _SQL = {
     "pv": f"SELECT LIFNR, name, address, state, {_name('name')} AS name_norm, {_address('address')} AS address_norm, CASE WHEN length({_digits}) >= 5 THEN left({_digits}, 5) ELSE '' END AS zip5, uei, parent_uei FROM parties",
     "keys": "SELECT *, CASE WHEN state <> '' AND length(left(zip5, 3)) = 3 THEN state || '|' || left(zip5, 3) ELSE '' END AS area, split_part(name_norm, ' ', 1) AS first_token FROM pv",
     "apairs": "SELECT a.LIFNR AS LIFNR_A, b.LIFNR AS LIFNR_B FROM keys a JOIN keys b ON a.area = b.area AND a.LIFNR < b.LIFNR WHERE a.area <> '' AND a.area IN (SELECT area FROM keys GROUP BY 1 HAVING count(*) <= 1000)",
+    "pairs": """SELECT * FROM apairs UNION SELECT a.LIFNR, b.LIFNR FROM keys a JOIN keys b ON a.first_token = b.first_token AND a.LIFNR < b.LIFNR WHERE a.first_token <> '' AND a.first_token IN (SELECT first_token FROM keys GROUP BY 1 HAVING count(*) <= 1000)""",
+    "truth": "SELECT a.LIFNR AS LIFNR_A, b.LIFNR AS LIFNR_B FROM pv a JOIN pv b ON a.uei = b.uei AND a.LIFNR < b.LIFNR",
     "lab": """SELECT LIFNR_A, LIFNR_B, CASE WHEN a.uei = b.uei THEN 'match' WHEN (a.parent_uei <> '' AND a.parent_uei = b.parent_uei) OR a.parent_uei = b.uei OR b.parent_uei = a.uei THEN 'related' ELSE 'non_match' END AS label
-        FROM apairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B""",
+        FROM pairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B""",
     "sc": """SELECT l.*, 100.0::DOUBLE * (1 - levenshtein(a.name_norm, b.name_norm)::DOUBLE / greatest(length(a.name_norm), length(b.name_norm), 1)) AS name_one, 100.0::DOUBLE * (1 - levenshtein(a.address_norm, b.address_norm)::DOUBLE / greatest(length(a.address_norm), length(b.address_norm), 1)) AS address_score
         FROM lab l JOIN pv a ON a.LIFNR = l.LIFNR_A JOIN pv b ON b.LIFNR = l.LIFNR_B""",
 }
@@ -147,7 +150,7 @@ _RAW = "b_lfa1 b_link b_but000 b_adrc b_lfb1 b_lfbk b_acdoca bank_feed b_matches
 _VENDOR = "s_vendor s_code s_bank"
 _LINES = "s_lines_all s_lines dates s_open s_pay"
 _ALL = f"{_VENDOR} {_LINES} hist chg active r01 r02 r03g r03 lastp r04x r04 r05 r06 r07 r08x r08 exc expo risk runs wq"
-_MATCH = "pv keys apairs lab sc"
+_MATCH = "pv keys apairs pairs truth lab sc"
 
 
 class Frames:
@@ -177,9 +180,16 @@ class Frames:
         return self.known["history"]
 
     def hold(self, *names: str) -> None:
-        """Keep tables that one query reads many times, in memory or on executors' disks; a lost one is computed again. The graph writes them instead."""
+        """Write tables that one query reads many times to the shared folder, as the graph does; a lost executor costs nothing."""
         for n in names:
-            self.known[n] = (self.history if n == "history" else self.read(n)).persist()
+            self.known[n] = written({"history": lambda: self.history, "changes": lambda: self.changes}.get(n, lambda: self.read(n))(), n)  # noqa: B023
+
+    @property
+    def changes(self) -> DataFrame:
+        """Bank changes beside their neighbours, which two rules read."""
+        if "changes" not in self.known:
+            self.known["changes"] = rules.bank_changes(self.history)
+        return self.known["changes"]
 
     def rule(self, k: int) -> DataFrame:
         r, d = self.read, self.dates
@@ -187,7 +197,7 @@ class Frames:
             active = rules.active_vendors(r("silver_vendor"), r("silver_open_items"), r("silver_payments"), d)
             return rules.r01_duplicate(r("b_matches"), active)
         if k == 2:
-            return rules.r02_change_pay_change(self.history, r("silver_payments"), d, W)
+            return rules.r02_change_pay_change(self.changes, r("silver_payments"), d, W)
         if k == 3:
             return rules.r03_shared_bank(r("silver_vendor_bank"), r("silver_vendor_company_code"))
         if k == 4:
@@ -198,13 +208,13 @@ class Frames:
             return rules.r06_payee(r("silver_vendor"), r("silver_vendor_company_code"), r("silver_payments"), d)
         if k == 7:
             return rules.r07_held(r("silver_vendor"), r("silver_vendor_company_code"), r("silver_open_items"))
-        return rules.r08_paid_after_change(self.history, r("silver_payments"), d, W)
+        return rules.r08_paid_after_change(self.changes, r("silver_payments"), d, W)
 
     @property
     def exceptions(self) -> DataFrame:
         if "exc" not in self.known:
-            self.hold("silver_vendor", "silver_vendor_company_code", "silver_vendor_bank", "silver_journal_lines", "silver_open_items", "silver_payments", "history")
-            self.known["exc"] = rules.exceptions([self.rule(k) for k in range(1, 9)]).persist()
+            self.hold("silver_vendor", "silver_vendor_company_code", "silver_vendor_bank", "silver_journal_lines", "silver_open_items", "silver_payments", "changes")
+            self.known["exc"] = written(rules.exceptions([self.rule(k) for k in range(1, 9)]), "exceptions")
         return self.known["exc"]
 
     @property
@@ -336,7 +346,7 @@ def scd2_controls_ignore_null(spark, sf_dir):
 
 @query("SELECT LIFNR, BANKN, CHANGENR, changed_by, prev, nbank AS next_BANKN, nnr AS next_CHANGENR, nby AS next_changed_by, strftime(nts, '%Y-%m-%d %H:%M:%S') AS next_at FROM chg", "bank_feed", "hist chg")
 def lag_lead_versions(spark, sf_dir):
-    df = rules.bank_changes(Frames(spark, sf_dir).history)
+    df = Frames(spark, sf_dir).changes
     return df.select("LIFNR", "BANKN", "CHANGENR", "changed_by", "prev", "next_BANKN", "next_CHANGENR", "next_changed_by", F.date_format("next_ts", _TS).alias("next_at"))
 
 
@@ -350,7 +360,7 @@ def spine_recent_payments(spark, sf_dir):
 def interval_join_payments(spark, sf_dir):
     f = Frames(spark, sf_dir)
     day = F.to_date("ts")
-    return temporal.within(rules.bank_changes(f.history), f.read("silver_payments"), "LIFNR", F.col("BUDAT"), day, F.date_add(day, 3)).select("LIFNR", "CHANGENR", "BELNR", "BUDAT")
+    return temporal.within(f.changes, f.read("silver_payments"), "LIFNR", F.col("BUDAT"), day, F.date_add(day, 3)).select("LIFNR", "CHANGENR", "BELNR", "BUDAT")
 
 
 @query("SELECT * FROM lastp", _RAW, f"{_LINES} lastp")
@@ -419,9 +429,12 @@ def vendor_risk(spark, sf_dir):
 @query("SELECT extract_date, LIFNR, risk, risk_rank FROM risk WHERE extract_date = (SELECT max(extract_date) FROM risk) AND risk_rank <= 100", _RAW, _ALL, money="risk")
 def top100_risk(spark, sf_dir):
     """A report of fixed length: the hundred vendors with the greatest risk on the last date."""
-    r = Frames(spark, sf_dir).risk
-    last = r.agg(F.max("extract_date").alias("extract_date"))
-    return r.join(F.broadcast(last), "extract_date").where("risk_rank <= 100").select("extract_date", "LIFNR", "risk", "risk_rank")  # one row
+    f = Frames(spark, sf_dir)
+    last = F.broadcast(f.exceptions.agg(F.max("extract_date").alias("extract_date")))  # one row
+    on_last = lambda df: df.join(last, "extract_date")
+    # Only the last date is ranked, and a rank with a limit is a top-k.
+    r = rules.vendor_risk(on_last(f.exceptions), on_last(f.read("silver_open_items")), on_last(f.read("silver_vendor")))
+    return r.where("risk_rank <= 100").select("extract_date", "LIFNR", "risk", "risk_rank")
 
 
 @query("SELECT * FROM runs", _RAW, _ALL, money="exposure_flagged")
@@ -502,12 +515,12 @@ def block_stats(spark, sf_dir):
     return matching.blocks(Frames(spark, sf_dir).parties)
 
 
-@query("SELECT * FROM apairs UNION SELECT a.LIFNR, b.LIFNR FROM keys a JOIN keys b ON a.first_token = b.first_token AND a.LIFNR < b.LIFNR WHERE a.first_token <> '' AND a.first_token IN (SELECT first_token FROM keys GROUP BY 1 HAVING count(*) <= 1000)", "parties", "pv keys apairs")
+@query("SELECT * FROM pairs", "parties", "pv keys apairs pairs")
 def candidate_pairs(spark, sf_dir):
     return matching.candidate_pairs(Frames(spark, sf_dir).parties)
 
 
-@query("SELECT LIFNR_A, LIFNR_B, round(jaro_winkler_similarity(a.name_norm, b.name_norm), 6) AS jw FROM apairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B", "parties", "pv keys apairs")
+@query("SELECT LIFNR_A, LIFNR_B, round(jaro_winkler_similarity(a.name_norm, b.name_norm), 6) AS jw FROM pairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B", "parties", "pv keys apairs pairs")
 def jw_scores(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
     df = matching.candidate_pairs(v)
@@ -522,18 +535,18 @@ def wratio_scores(spark, sf_dir):
     return matching.candidates(matching.score_pairs(matching.candidate_pairs(v), v), "WRatio", 0.9, 91)
 
 
-@query("SELECT a.LIFNR AS LIFNR_A, b.LIFNR AS LIFNR_B FROM pv a JOIN pv b ON a.uei = b.uei AND a.LIFNR < b.LIFNR", "parties", "pv")
+@query("SELECT * FROM truth", "parties", "pv truth")
 def positive_pairs(spark, sf_dir):
     return matching.positive_pairs(Frames(spark, sf_dir).parties)
 
 
-@query("SELECT *, (concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2)::INT AS fold FROM lab", "parties", "pv keys apairs lab")
+@query("SELECT *, (concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2)::INT AS fold FROM lab", "parties", "pv keys apairs pairs lab")
 def label_and_fold(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
     return matching.label_pairs(matching.candidate_pairs(v), v).withColumn("fold", matching.fold())
 
 
-_CURVE = """SELECT {by} t::DOUBLE AS threshold, tp, fp, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 1 END::DOUBLE AS p, tp / 1000 AS r
+_CURVE = """SELECT {by} t::DOUBLE AS threshold, tp, fp, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 1 END::DOUBLE AS p, coalesce(tp / nullif((SELECT count(*) FROM truth), 0), 0)::DOUBLE AS r
     FROM (SELECT {by} t, count(*) FILTER (WHERE label = 'match' AND score >= t) AS tp, count(*) FILTER (WHERE label = 'non_match' AND score >= t) AS fp FROM {rows}, range(40, 101) x(t) GROUP BY ALL))"""
 
 
@@ -552,7 +565,7 @@ def grid_curves(spark, sf_dir):
     return matching.grid(frames.scored, matching.positives(frames.parties), scorers=("one",)).drop("scorer")
 
 
-@query("SELECT label, count(*) FILTER (WHERE f = 0) AS dev, count(*) FILTER (WHERE f = 1) AS test FROM (SELECT *, concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2 AS f FROM lab) GROUP BY 1", "parties", "pv keys apairs lab")
+@query("SELECT label, count(*) FILTER (WHERE f = 0) AS dev, count(*) FILTER (WHERE f = 1) AS test FROM (SELECT *, concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2 AS f FROM lab) GROUP BY 1", "parties", "pv keys apairs pairs lab")
 def crosstab_labels(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
     df = matching.label_pairs(matching.candidate_pairs(v), v).withColumn("f", F.when(matching.fold() == 0, "dev").otherwise("test"))
@@ -568,8 +581,8 @@ def stratified_sample(spark, sf_dir):
 @query(
     """SELECT g_name, g_address, g_zip, count(*) AS n FROM (SELECT CASE WHEN a.name_norm = '' OR b.name_norm = '' THEN -1 WHEN a.name_norm = b.name_norm THEN 4 WHEN jn >= 0.95 THEN 3 WHEN jn >= 0.88 THEN 2 WHEN jn >= 0.8 THEN 1 ELSE 0 END AS g_name,
     CASE WHEN a.address_norm = '' OR b.address_norm = '' THEN -1 WHEN a.address_norm = b.address_norm THEN 3 WHEN ja >= 0.95 THEN 2 WHEN ja >= 0.85 THEN 1 ELSE 0 END AS g_address, CASE WHEN a.zip5 = '' OR b.zip5 = '' THEN -1 WHEN a.zip5 = b.zip5 THEN 1 ELSE 0 END AS g_zip
-    FROM apairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B, LATERAL (SELECT jaro_winkler_similarity(a.name_norm, b.name_norm) AS jn, jaro_winkler_similarity(a.address_norm, b.address_norm) AS ja)) GROUP BY 1, 2, 3""",
-    "parties", "pv keys apairs",
+    FROM pairs JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B, LATERAL (SELECT jaro_winkler_similarity(a.name_norm, b.name_norm) AS jn, jaro_winkler_similarity(a.address_norm, b.address_norm) AS ja)) GROUP BY 1, 2, 3""",
+    "parties", "pv keys apairs pairs",
 )
 def fs_gamma_counts(spark, sf_dir):
     v = Frames(spark, sf_dir).parties
@@ -604,8 +617,7 @@ def stream_ingest(spark, sf_dir):
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     for _ in range(2):
         rows = spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet").parquet(sf_dir)
-        out = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
-        out.trigger(availableNow=True).start().awaitTermination()
+        ingest.run(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -614,9 +626,16 @@ def fingerprint(spark, sf_dir):
     return verify.fingerprint(Frames(spark, sf_dir).history)
 
 
+def _all() -> None:
+    """Load the modules that register more."""
+    from mandrel.plans import catalog_more  # noqa: F401
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_ORACLES)

@@ -126,15 +126,19 @@ def monitoring(spark: SparkSession, inbox: str, root: str, initial: str, matches
     def _(read):
         return rules.active_vendors(read("silver_vendor"), read("silver_open_items"), read("silver_payments"), dates(read), windows)
 
+    @g.dataset("bank_changes")
+    def _(read):
+        return rules.bank_changes(read("dim_vendor_bank_scd2"))
+
     build = {
         "r01": lambda r: rules.r01_duplicate(r("gold_duplicate_candidates"), r("active_vendor")),
-        "r02": lambda r: rules.r02_change_pay_change(r("dim_vendor_bank_scd2"), r("silver_payments"), dates(r), windows),
+        "r02": lambda r: rules.r02_change_pay_change(r("bank_changes"), r("silver_payments"), dates(r), windows),
         "r03": lambda r: rules.r03_shared_bank(r("silver_vendor_bank"), r("silver_vendor_company_code")),
         "r04": lambda r: rules.r04_dormant(r("silver_vendor"), r("silver_journal_lines"), dates(r), windows),
         "r05": lambda r: rules.r05_check_off(r("silver_vendor_company_code")),
         "r06": lambda r: rules.r06_payee(r("silver_vendor"), r("silver_vendor_company_code"), r("silver_payments"), dates(r), windows),
         "r07": lambda r: rules.r07_held(r("silver_vendor"), r("silver_vendor_company_code"), r("silver_open_items"), windows),
-        "r08": lambda r: rules.r08_paid_after_change(r("dim_vendor_bank_scd2"), r("silver_payments"), dates(r), windows),
+        "r08": lambda r: rules.r08_paid_after_change(r("bank_changes"), r("silver_payments"), dates(r), windows),
     }
     for name, f in build.items():
         g.dataset(f"rule_{name}", VIEW)(f)

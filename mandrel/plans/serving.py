@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EXPORTS = {
-    "vendor_risk": "SELECT * FROM gold_vendor_risk",
-    "exceptions": "SELECT * FROM gold_exceptions",
-    "run_history": "SELECT * FROM gold_run_history",
-    "duplicate_candidates": "SELECT * FROM gold_duplicate_candidates",
-    "bank_history": "SELECT LIFNR, BANKS, BANKL, BANKN, source, changed_by, CHANGENR, __START_AT.change_ts AS valid_from, __END_AT.change_ts AS valid_to FROM dim_vendor_bank_scd2",
-    "controls_history": "SELECT * EXCEPT (__START_AT, __END_AT), __START_AT.change_ts AS valid_from, __END_AT.change_ts AS valid_to FROM dim_vendor_controls_scd2",
-    "open_items": "SELECT * FROM silver_open_items",
-    "vendors": "SELECT * FROM silver_vendor WHERE extract_date = (SELECT max(extract_date) FROM silver_vendor)",
+#: An export by name: its table, what is selected of it, and whether the last date alone is.
+_ALL = "*"
+_VERSION = ["__START_AT.change_ts AS valid_from", "__END_AT.change_ts AS valid_to"]
+_EXPORTED = {
+    "vendor_risk": ("gold_vendor_risk", [_ALL], False),
+    "exceptions": ("gold_exceptions", [_ALL], False),
+    "run_history": ("gold_run_history", [_ALL], False),
+    "duplicate_candidates": ("gold_duplicate_candidates", [_ALL], False),
+    "bank_history": ("dim_vendor_bank_scd2", ["LIFNR", "BANKS", "BANKL", "BANKN", "source", "changed_by", "CHANGENR", *_VERSION], False),
+    "controls_history": ("dim_vendor_controls_scd2", ["* EXCEPT (__START_AT, __END_AT)", *_VERSION], False),
+    "open_items": ("silver_open_items", [_ALL], False),
+    "vendors": ("silver_vendor", [_ALL], True),
 }
+EXPORTS = {name: f"SELECT {', '.join(columns)} FROM {table}" + (f" WHERE extract_date = (SELECT max(extract_date) FROM {table})" if last else "") for name, (table, columns, last) in _EXPORTED.items()}
 
 #: Parameterised queries over the exports, by name.
 QUERIES = {
@@ -50,9 +56,9 @@ def export(spark: SparkSession, name: str) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
-def write_exports(spark: SparkSession, folder: str) -> None:
+def write_exports(spark: SparkSession, folder: str, names: Iterable[str] = tuple(EXPORTS)) -> None:
     """One file for each export: small result tables for a reader without Spark."""
-    for name in EXPORTS:
+    for name in names:
         export(spark, name).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
 
 

@@ -1,8 +1,9 @@
 """Session settings the engine relies on."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +20,18 @@ def session(master: str | None = None, name: str = "mandrel", **more: str) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all of a cluster shares, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all of a cluster shares, from spark.checkpoint.dir. A local session without it gets one of its own; a cluster must name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or "file://" + tempfile.mkdtemp(prefix="mandrel-")).rstrip("/")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="mandrel-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder: computed once, read by whatever follows, safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

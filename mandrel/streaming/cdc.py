@@ -2,57 +2,67 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mandrel.operators.scd2 import scd2
+from mandrel.streaming.ingest import delete, names, read_text, write_text
 
 
 class History:
-    """Feed and history as Parquet in a shared folder, with a pointer to the current version of each.
+    """Feed and history as Parquet in a shared folder, in buckets of keys.
 
-    A batch writes a new version and then moves the pointer, so a batch that fails or comes again changes nothing.
+    A batch adds its events to the feed, rewrites the history of the buckets that it touches, and then writes a marker that
+    lists the batch at which each bucket was last written. Markers are never changed: the greatest one counts, and what a batch
+    without a marker wrote is written again when it comes again. So a crash at any point, or a batch that comes twice,
+    loses and repeats nothing. Versions that neither of the last two markers lists are deleted.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence: Sequence[str], track: Sequence[str], ignore_null: bool = False):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence: Sequence[str], track: Sequence[str], ignore_null: bool = False, buckets: int = 64):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.how = (list(keys), list(sequence), list(track), ignore_null)
 
-    def _pointer(self) -> DataFrame:
-        return self.spark.read.text(f"{self.root}/current")
+    def _markers(self) -> list[int]:
+        """Batches that are complete, in order."""
+        return sorted(int(n.removesuffix(".json")) for n in names(self.spark, f"{self.root}/done") if n.endswith(".json") and not n.startswith("."))
 
-    def _current(self) -> tuple[str, int] | None:
-        from mandrel.streaming.ingest import exists
-
-        if not exists(self.spark, f"{self.root}/current"):
-            return None
-        name, batch = self._pointer().first()[0].split(" ")
-        return name, int(batch)
+    def _marker(self, batch: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.root}/done/{batch:020d}.json"))
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{self._current()[0]}/history")
+        done = self._markers()
+        marker = self._marker(done[-1])
+        paths = [f"{self.root}/history/batch={b}/bucket={k}" for k, b in marker["buckets"].items()]
+        schema = T.StructType.fromJson(marker["schema"])
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def apply(self, rows: DataFrame, batch: int) -> None:
-        now = self._current()
-        if now and batch <= now[1]:
+        done = self._markers()
+        if done and batch <= done[-1]:
             return
-        feed = rows
-        if now:
-            feed = self.spark.read.parquet(f"{self.root}/{now[0]}/feed").unionByName(rows)
-        name = uuid.uuid4().hex
-        feed.write.parquet(f"{self.root}/{name}/feed")
-        feed = self.spark.read.schema(feed.schema).parquet(f"{self.root}/{name}/feed")
-        keys = self.how[0]
-        if now:
-            touched = rows.select(*keys).distinct()
-            new = scd2(feed.join(touched, keys, "left_semi"), *self.how)
-            new = self.read().join(touched, keys, "left_anti").unionByName(new)
-        else:
-            new = scd2(feed, *self.how)
-        new.write.parquet(f"{self.root}/{name}/history")
-        self.spark.range(1).selectExpr(f"'{name} {batch}' AS value").coalesce(1).write.mode("overwrite").text(f"{self.root}/current")
+        known = self._marker(done[-1]) if done else {"batches": [], "buckets": {}}
+        bucket = F.pmod(F.xxhash64(*self.how[0]), F.lit(self.buckets)).cast("int")
+        feed = f"{self.root}/feed/batch={batch}"
+        rows.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(feed)
+        there = {b: set(names(self.spark, f"{self.root}/feed/batch={b}")) for b in [*known["batches"], batch]}
+        touched = sorted(int(n.split("=")[1]) for n in there[batch] if n.startswith("bucket="))
+        paths = [f"{self.root}/feed/batch={b}/bucket={k}" for b, has in there.items() for k in touched if f"bucket={k}" in has]
+        schema = None
+        if paths:
+            new = scd2(self.spark.read.schema(rows.schema).parquet(*paths), *self.how)
+            schema = new.schema
+            new.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/history/batch={batch}")
+        schema = schema or scd2(rows, *self.how).schema
+        now = {"batches": [*known["batches"], batch], "buckets": known["buckets"] | {str(k): batch for k in touched}, "schema": json.loads(schema.json())}
+        write_text(self.spark, f"{self.root}/done/{batch:020d}.json", json.dumps(now))
+        listed = {*known["buckets"].values(), *now["buckets"].values()}
+        for name in names(self.spark, f"{self.root}/history"):
+            if name.startswith("batch=") and int(name.split("=")[1]) not in listed:
+                delete(self.spark, f"{self.root}/history/{name}")
 
     def follow(self, feed: DataFrame, checkpoint: str):
         """Run a streaming feed to its end."""

@@ -22,6 +22,33 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no folder."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    with_open = fs.open(p)
+    try:
+        return bytes(with_open.readAllBytes()).decode()
+    finally:
+        with_open.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside its place, then renamed."""
+    fs, p = _fs(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.part")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.rename(beside, p)
+
+
 def place(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/bronze/{table}"
 
@@ -30,10 +57,14 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(place(root, name))
 
 
+def run(rows: DataFrame, out: str, checkpoint: str):
+    """A stream into Parquet that ends by itself. Its checkpoint knows every file it has taken, so landing one again adds nothing."""
+    return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def start(spark: SparkSession, inbox: str, root: str, name: str):
-    """A stream that ends by itself. Its checkpoint knows every file it has taken, so landing one again adds nothing."""
-    rows = bronze.stream(spark, inbox, name)
-    return rows.writeStream.format("parquet").option("path", place(root, name)).option("checkpointLocation", f"{root.rstrip('/')}/checkpoints/{name}").trigger(availableNow=True).start()
+    """The stream of one delivered table."""
+    return run(bronze.stream(spark, inbox, name), place(root, name), f"{root.rstrip('/')}/checkpoints/{name}")
 
 
 def update(spark: SparkSession, inbox: str, root: str, full_refresh: bool = False, tables: tuple[str, ...] = bronze.TABLES) -> None:

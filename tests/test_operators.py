@@ -101,11 +101,11 @@ def test_change_pay_change_within_one_day(spark):
 
     h = hist(spark, [("v", "US", "1", "A", t(1), "0", "initial_load", None), ("v", "US", "1", "B", t(5, 8, 15), "7", "CDPOS", "u"), ("v", "US", "1", "A", t(5, 16, 45), "9", "CDPOS", "w")])
     p = pays(spark, [("v", "1000", "2024", "P2", D(2024, 1, 5), Decimal("10.00"), D(2024, 1, 5)), ("v", "1000", "2024", "P1", D(2024, 1, 5), Decimal("5.50"), D(2024, 1, 6))])
-    rows = rules.r02_change_pay_change(h, p, dates(spark, 4, 5, 6)).collect()
+    rows = rules.r02_change_pay_change(rules.bank_changes(h), p, dates(spark, 4, 5, 6)).collect()
     assert sorted(r.extract_date.day for r in rows) == [5, 6]
     assert rows[0].detail == "Bank changed 2024-01-05 08:15 by u, paid 15.50 on 2024-01-05, changed again 2024-01-05 16:45 by w"
     assert '"reverted_to_original":true' in rows[0].evidence and rows[0].severity == "High"
-    none = rules.r02_change_pay_change(h, p.where("BUDAT < '2024-01-01'"), dates(spark, 5))
+    none = rules.r02_change_pay_change(rules.bank_changes(h), p.where("BUDAT < '2024-01-01'"), dates(spark, 5))
     assert none.count() == 0
 
 
@@ -114,7 +114,7 @@ def test_payment_after_change_takes_the_earliest_change(spark):
 
     h = hist(spark, [("v", "US", "1", "A", t(1), "0", "initial_load", None), ("v", "US", "1", "B", t(3, 9), "1", "CDPOS", "u"), ("v", "US", "1", "C", t(6, 9), "2", "CDPOS", "u")])
     p = pays(spark, [("v", "1000", "2024", "P1", D(2024, 1, 7), Decimal("1"), D(2024, 1, 7)), ("v", "2000", "2024", "P0", D(2024, 1, 7), Decimal("2"), D(2024, 1, 7))])
-    rows = rules.r08_paid_after_change(h, p, dates(spark, 6, 7, 8)).orderBy("extract_date").collect()
+    rows = rules.r08_paid_after_change(rules.bank_changes(h), p, dates(spark, 6, 7, 8)).orderBy("extract_date").collect()
     assert [(r.extract_date.day, r.BUKRS) for r in rows] == [(7, "2000"), (8, "2000")]
     assert rows[0].detail == "Bank changed 2024-01-03 09:00 by u, then 2 payment(s) totalling 3.00 from 2024-01-07"
 
