@@ -108,7 +108,7 @@ def curve(scored: DataFrame, score: str, positives: int | Column, thresholds: Se
     steps = F.array(*[F.lit(float(t)) for t in thresholds])
     level = F.size(F.filter(steps, lambda t: t <= F.col(score)))
     sums = scored.groupBy(*by, level.alias("level")).agg(F.count_if(F.col("label") == "match").alias("m"), F.count_if(F.col("label") == "non_match").alias("x"))
-    grid = sums.select(*by).distinct() if by else sums.agg(F.lit(1).alias("one")).drop("one")
+    grid = sums.select(*by).distinct() if by else scored.sparkSession.range(1).drop("id")
     grid = grid.withColumn("s", F.explode(F.transform(steps, lambda t, i: F.struct(t.alias("threshold"), (i + 1).alias("level"))))).select(*by, "s.*")
     rows = grid.join(sums.where("level > 0"), [*by, "level"], "left")
     above = Window.partitionBy(*by).orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
