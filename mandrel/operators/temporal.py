@@ -1,12 +1,15 @@
 """As-of operators over extract dates.
 
 Facts carry the interval of dates on which they count. Instead of a join of every date with every fact, an
-interval is exploded to its own days and these meet the dates by equality, so the work follows the result.
+interval is exploded to the extract dates that lie in it, so the work follows the result: dates are few (one for each
+extract), known to the driver, and found by position, not by search.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,16 +21,32 @@ def latest_version(rows: DataFrame, keys: Sequence[str], order: str | Column, va
     return rows.groupBy(*keys).agg(*[F.max_by(c, by).alias(c) for c in values], *extra)
 
 
+def spine(rows: DataFrame, date: str = "extract_date") -> DataFrame:
+    """The distinct dates of a table, one row for each extract, as a table that costs nothing to read again."""
+    days = sorted(r[0] for r in rows.select(date).where(F.col(date).isNotNull()).distinct().collect())
+    return rows.sparkSession.createDataFrame([(d,) for d in days], f"{date} date")
+
+
+def _listed(values: Sequence, kind: str) -> Column:
+    """An array literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def on_dates(facts: DataFrame, dates: DataFrame, since: Column, until: Column, date: str = "extract_date") -> DataFrame:
     """facts on every date of `dates` in [since, until], both inclusive; an empty interval gives nothing.
 
-    `dates` has one row for each extract date, so its bounds are found first and clip open intervals.
+    A null `since` or `until` is open. For each day between the first and the last date it is known how many dates
+    come before it, so an interval is a slice of the dates: sparse dates make no more rows than they have.
     """
-    bounds = dates.agg(F.min(date).alias("__first"), F.max(date).alias("__last"))
-    known = facts.crossJoin(F.broadcast(bounds))  # one row
-    known = known.withColumns({"__a": F.greatest(since, F.col("__first")), "__b": F.least(F.coalesce(until, F.col("__last")), F.col("__last"))})
-    days = known.where("__a <= __b").withColumn(date, F.explode(F.sequence("__a", "__b"))).drop("__first", "__last", "__a", "__b")
-    return days.join(dates.select(date).distinct(), date)
+    days = sorted(r[0] for r in dates.select(date).distinct().collect())
+    if not days:
+        return facts.where("false").withColumn(date, F.lit(None).cast("date"))
+    span = (days[-1] - days[0]).days
+    before = [bisect_left(days, days[0] + timedelta(days=k)) for k in range(span + 2)]
+    day = lambda c: F.datediff(c, F.lit(days[0]))
+    a, b = F.greatest(day(since), F.lit(0)), F.least(day(until), F.lit(span))
+    low, high = F.get(_listed(before, "int"), a), F.get(_listed(before, "int"), b + 1)
+    return facts.where(a <= b).withColumn(date, F.explode(F.slice(_listed(days, "date"), low + 1, high - low)))
 
 
 def open_on(lines: DataFrame, dates: DataFrame) -> DataFrame:

@@ -171,7 +171,9 @@ class Frames:
 
     @property
     def dates(self) -> DataFrame:
-        return self.read("bronze_lfa1").select("extract_date").distinct()
+        if "dates" not in self.known:
+            self.known["dates"] = temporal.spine(self.read("bronze_lfa1"))
+        return self.known["dates"]
 
     @property
     def history(self) -> DataFrame:

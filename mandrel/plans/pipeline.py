@@ -8,7 +8,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mandrel.operators import conform, feeds, rules
+from mandrel.operators import conform, feeds, rules, temporal
 from mandrel.operators.expectations import Expectation, guarded
 from mandrel.operators.matching import named
 from mandrel.operators.scd2 import scd2
@@ -120,7 +120,7 @@ def monitoring(spark: SparkSession, inbox: str, root: str, initial: str, matches
         pairs = spark.read.parquet(matches) if matches else spark.createDataFrame([], columns)
         return named(pairs, read("silver_vendor"))
 
-    dates = lambda read: read("silver_vendor").select("extract_date").distinct()
+    dates = lambda read: temporal.spine(read("silver_vendor"))
 
     @g.dataset("active_vendor", VIEW)
     def _(read):

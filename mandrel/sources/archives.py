@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Mapping
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mandrel.functions.normalize import normalize_address, normalize_name, zip5
+from mandrel.session import written
 
 #: Our column, then the headers it may have; the first that is there counts.
 HEADERS: Mapping[str, tuple[str, ...]] = {
@@ -106,18 +108,45 @@ def pair_stats(rows: DataFrame) -> DataFrame:
     return out.withColumns({"positive_pairs_diff_name": F.col("positive_pairs_all") - F.col("sn"), "positive_pairs_diff_norm_name": F.col("positive_pairs_all") - F.col("so")}).drop("sn", "so")
 
 
+def _running(groups: DataFrame) -> DataFrame:
+    """groups with the running sum of n by (h, uei): hash ranges are summed first and then run through side by side."""
+    ranged = groups.withColumn("r", F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(1 << 63))), 56).cast("int"))
+    before = ranged.groupBy("r").agg(F.sum("n").alias("s")).select("r", F.coalesce(F.sum("s").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"))  # 256 rows
+    inside = Window.partitionBy("r").orderBy("h", "uei").rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.withColumn("sofar", F.sum("n").over(inside)).join(F.broadcast(before), "r").withColumn("sofar", F.col("sofar") + F.col("b")).drop("r", "b")
+
+
+def fitting(groups: DataFrame, target: int) -> DataFrame:
+    """Groups (uei, n, h) in the order of h that fit into target, one after another; what doesn't fit is passed over.
+
+    Each round takes all groups up to the first that doesn't fit, and drops those larger than what is left; sizes of
+    passed-over groups fall from round to round, so there are at most as many rounds as sizes.
+    """
+    taken, left, rest = [], target, groups
+    while True:
+        order = written(_running(rest), "order")
+        wall = order.where(F.col("sofar") > left).agg(F.min(F.struct("h", "uei"))).first()[0]
+        at = F.struct("h", "uei")
+        stop = F.struct(F.lit(wall["h"]).alias("h"), F.lit(wall["uei"]).alias("uei")) if wall else None
+        part = order.where(at < stop) if wall else order
+        taken.append(part.select("uei"))
+        left -= part.agg(F.sum("n")).first()[0] or 0
+        if not wall or left <= 0:
+            return reduce(DataFrame.unionByName, taken)
+        rest = order.where((at > stop) & (F.col("n") <= left)).select("uei", "n", "h")
+
+
 def sample(rows: DataFrame, target: int, seed: int = 42) -> DataFrame:
-    """Whole groups of several spellings first, in hash order while they fit; then single-spelling rows by hash."""
-    spellings = rows.groupBy("uei").agg(F.countDistinct("name_raw").alias("names"), F.count("*").alias("n"))
-    order = spellings.withColumn("h", F.xxhash64(F.lit(seed), "uei")).withColumn("rest", F.col("names") < 2)
-    running = Window.partitionBy("rest").orderBy("h", "uei").rowsBetween(Window.unboundedPreceding, 0)
-    order = order.withColumn("sofar", F.sum("n").over(running))
-    whole = order.where(~F.col("rest") & (F.col("sofar") <= target))
-    used = whole.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("used"))
-    single = order.where("rest").crossJoin(F.broadcast(used))  # one row
-    single = single.where(F.col("sofar") - F.col("n") < target - F.col("used"))
-    keep = whole.select("uei", "rest", "h").unionByName(single.select("uei", "rest", "h"))
-    return rows.join(keep, "uei").orderBy("rest", "h", "uei", "name_raw", "address_norm").limit(target).drop("rest", "h")
+    """target rows at most, in key order: whole groups of several spellings first, in hash order while they fit; then rows of other groups, drawn by hash."""
+    groups = rows.groupBy("uei").agg(F.countDistinct("name_raw").alias("names"), F.count("*").alias("n")).withColumn("h", F.xxhash64(F.lit(seed), "uei"))
+    groups = written(groups, "groups")
+    many = fitting(groups.where("names >= 2").select("uei", "n", "h"), target)
+    whole = rows.join(many, "uei", "left_semi")
+    fill = target - whole.count()
+    if fill <= 0:
+        return whole.orderBy(*KEY)
+    drawn = groups.where("names < 2").orderBy("h", "uei").limit(fill).select("uei")
+    return whole.unionByName(rows.join(drawn, "uei", "left_semi").orderBy(*KEY).limit(fill)).orderBy(*KEY)
 
 
 def numbered(rows: DataFrame) -> DataFrame:

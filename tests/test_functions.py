@@ -60,6 +60,12 @@ def test_lookup(spark):
     assert [r[0] for r in df.select(sap.lookup({"a": 1}, "k")).collect()] == [1, None, None]
 
 
+def test_articles_at_both_ends(spark):
+    names = ["The The", "THE", "The Group Inc The", "Theatre", "a the", "The  A", "Bathe", "the the the"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r[0] for r in df.select(normalize_name("n")).collect()] == ["", "THE", "GROUP INC", "THEATRE", "A", "A", "BATHE", "THE"]
+
+
 # Scores that the literature's library gives for these strings.
 @pytest.mark.parametrize(
     ("a", "b", "score"),

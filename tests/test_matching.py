@@ -140,6 +140,62 @@ def test_sample_keeps_groups_of_spellings(master):
     assert archives.sample(master, 3).count() == 3
 
 
+def slow_sample(groups, target):
+    left, out = target, set()
+    for u, n in groups:
+        if n <= left:
+            out.add(u)
+            left -= n
+    return out
+
+
+@pytest.mark.parametrize("target", [0, 1, 7, 30, 55, 500])
+def test_groups_that_do_not_fit_are_passed_over(spark, target):
+    sizes = [("a", 9), ("b", 14), ("c", 2), ("d", 40), ("e", 3), ("f", 5), ("g", 1), ("h", 22), ("i", 2), ("j", 8)]
+    df = spark.createDataFrame(sizes, "uei string, n long").withColumn("h", F.xxhash64(F.lit(42), "uei"))
+    order = [(r.uei, r.n) for r in df.orderBy("h", "uei").collect()]
+    assert {r.uei for r in archives.fitting(df, target).collect()} == slow_sample(order, target)
+
+
+def test_sample_of_many_groups(spark):
+    rows = [(f"m{k}", f"name {j % 2}", f"{j} ST") for k in range(12) for j in range(2 + k)] + [(f"s{k}", "one name", "1 ST") for k in range(40)]
+    df = spark.createDataFrame(rows, "uei string, name_raw string, address_norm string")
+    for target in (5, 40, 120):
+        got = [tuple(r) for r in archives.sample(df, target).collect()]
+        assert got == sorted(got) and len(got) <= target
+        many = {u for u, *_ in got if u.startswith("m")}
+        assert all(sum(u == x for u, *_ in got) == 2 + int(x[1:]) for x in many)  # whole groups
+    assert archives.sample(df, 120).count() == 120 and archives.sample(df, 10_000).count() == len(rows)
+
+
+def test_hard_cases_and_their_labels(spark, tmp_path):
+    v = spark.createDataFrame([(str(k), f"N{k % 3}", f"N{k % 3}", "1 ST", "T", "VA", "22101") for k in range(12)], "LIFNR string, name string, name_norm string, address string, city string, state string, zip5 string")
+    rows = [(str(a), str(b), float(60 + (a * b) % 40), ("match", "non_match", "related")[(a + b) % 3]) for a in range(12) for b in range(a + 1, 12)]
+    scored = spark.createDataFrame(rows, "LIFNR_A string, LIFNR_B string, score double, label string")
+    kinds = {}
+    for a, b, s, label in rows:
+        same = int(a) % 3 == int(b) % 3
+        kind = "same_name" if same and label != "match" else "near_threshold" if not same and 74 <= s <= 86 else "missed" if label == "match" and s < 80 else "related" if label == "related" and s >= 80 else None
+        if kind:
+            kinds[a, b] = kind
+    got = m.strata(scored, v, "score", 80)
+    assert {(r.LIFNR_A, r.LIFNR_B): r.stratum for r in got.collect()} == kinds
+    sheet = m.hard_cases(scored, v, "score", 80, {"same_name": 3, "near_threshold": 2}).cache()
+    assert sheet.groupBy("stratum").count().collect() and sheet.count() == min(3, list(kinds.values()).count("same_name")) + min(2, list(kinds.values()).count("near_threshold"))
+    labelled = sheet.withColumn("label", F.when(F.col("pair_id") == "H001", "").otherwise("duplicate"))
+    labelled.drop("stratum").coalesce(1).write.csv(str(tmp_path / "sheet"), header=True)
+    read = m.read_labels(spark, str(tmp_path / "sheet"))
+    assert read.count() == sheet.count() - 1 and dict(read.dtypes)["score"] == "string"
+    key = sheet.select("pair_id", "LIFNR_A", "LIFNR_B", "stratum", F.lit("match").alias("uei_label"))
+    assert m.labelled_scores(read, key, scored, ["score"]).count() == read.count()
+
+
+def test_outputs_are_written(spark, tmp_path):
+    one = spark.createDataFrame([(1, 0.5)], "threshold int, f1 double")
+    m.write_outputs(str(tmp_path), one, one, {"missed": one}, one)
+    assert spark.read.parquet(f"{tmp_path}/candidates").count() == spark.read.json(f"{tmp_path}/metrics").count() == spark.read.csv(f"{tmp_path}/errors_missed", header=True).count() == 1
+
+
 def test_vendor_file_has_no_key(spark, master, tmp_path):
     archives.write(master, str(tmp_path / "v"), str(tmp_path / "l"))
     v, k = spark.read.parquet(str(tmp_path / "v")), spark.read.parquet(str(tmp_path / "l"))

@@ -143,3 +143,42 @@ def test_reconcile_counts(spark):
     assert (r.expected, r.detected, r.matched, r.missed, r.extra, r.decoys_hit, r.first_day_ok) == (2, 2, 1, 1, 1, 1, 1)
     with pytest.raises(ValueError, match="R02"):
         verify.require(verify.reconcile(hits, key))
+
+
+def test_sparse_dates_by_brute_force(spark):
+    days = [D(2024, 1, 31), D(2024, 2, 29), D(2024, 3, 1), D(2024, 6, 30)]
+    facts = [(k, D(2024, 1 + k % 6, 1 + k % 28), D(2024, 1 + (k * 7) % 6, 1 + (k * 5) % 28) if k % 5 else None) for k in range(60)] + [(99, D(2023, 1, 1), None), (98, D(2025, 1, 1), None)]
+    df = spark.createDataFrame(facts, "k int, a date, b date")
+    spine = spark.createDataFrame([(d,) for d in days * 2], "extract_date date")
+    got = sorted((r.k, r.extract_date) for r in temporal.on_dates(df, spine, F.col("a"), F.col("b")).collect())
+    assert got == sorted((k, d) for k, a, b in facts for d in days if a <= d and (b is None or d <= b))
+    assert temporal.on_dates(df, spine.where("false"), F.col("a"), F.col("b")).count() == 0
+    assert [r[0] for r in temporal.spine(spine).collect()] == days
+
+
+def test_history_survives_a_crash(spark, tmp_path, monkeypatch):
+    """A batch that dies before its marker changes nothing that is read, and comes again whole."""
+    from mandrel.streaming import cdc
+
+    feed = spark.createDataFrame([(f"v{k % 5}", str(k // 7), t(1 + k % 20), str(k)) for k in range(60)], "k string, v string, at timestamp, nr string")
+    part = lambda n: feed.where(F.col("nr").cast("int") % 3 == n)
+    h = History(spark, str(tmp_path / "h"), ["k"], ["at", "nr"], ["v"], buckets=4)
+    h.apply(part(0), 0)
+    before = sorted(map(str, h.read().collect()))
+    real = cdc.write_text
+    monkeypatch.setattr(cdc, "write_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        h.apply(part(1), 1)
+    assert sorted(map(str, h.read().collect())) == before
+    monkeypatch.setattr(cdc, "write_text", real)
+    for batch in (1, 1, 2):
+        h.apply(part(batch), batch)
+    assert sorted(map(str, h.read().collect())) == sorted(map(str, scd2(feed, ["k"], ["at", "nr"], ["v"]).collect()))
+
+
+def test_catalog_listing(spark):
+    for name in ("silver_x", "silver_y", "gold_z"):
+        spark.range(1).createOrReplaceTempView(name)
+    assert verify.listed(spark, "silver_") == ["silver_x", "silver_y"]
+    for name in ("silver_x", "silver_y", "gold_z"):
+        spark.catalog.dropTempView(name)
