@@ -53,21 +53,23 @@ def small(df: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
-#: Keys that a split join sends to every task at most: those with more than this part of all rows.
-HOT_KEYS = 1024
+#: A key with more than this part of all rows is split, so HOT_KEYS keys are at most; and into how many parts.
+HOT_KEYS, PARTS = 1024, 64
 
 
 def split_join(rows: DataFrame, info: DataFrame, key: str, n: str = "n") -> DataFrame:
     """An inner join on a key that few rows, or a third of all rows, may share. info: one row for each key, with n rows of it.
 
-    Keys with more than 1/HOT_KEYS of the rows, of which there are HOT_KEYS at most, go to every task, so that their rows
-    stay where they are; the others meet by a shuffle, none of them in a task of their own.
+    The rows of a key with more than 1/HOT_KEYS of all are dealt over PARTS parts by their content, and its one row of info
+    goes to each; the list of these keys, HOT_KEYS rows at most, goes to every task. No key has a task of its own.
     """
-    total = info.agg(F.sum(n)).first()[0] or 0
-    hot = F.col(n) > total // HOT_KEYS
-    names = F.broadcast(info.where(hot).select(key))  # HOT_KEYS rows at most
-    cool = rows.join(names, key, "left_anti").join(info.where(~hot), key)
-    return cool.unionByName(rows.join(F.broadcast(info.where(hot)), key))
+    limit = (info.agg(F.sum(n)).first()[0] or 0) // HOT_KEYS
+    part = f"{OWN}part"
+    hot = F.broadcast(info.where(F.col(n) > limit).select(key, F.lit(True).alias(f"{OWN}hot")))  # HOT_KEYS rows at most
+    dealt = F.when(F.col(f"{OWN}hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS))).otherwise(F.lit(0)).cast("int")
+    parts = F.when(F.col(n) > limit, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    split = rows.join(hot, key, "left").withColumn(part, dealt).drop(f"{OWN}hot")
+    return split.join(info.withColumn(part, F.explode(parts)), [key, part]).drop(part)
 
 
 def scanned(items: Column, state: Column, step: Callable[[Column, Column], Column], out: str, block: int = 64) -> Column:

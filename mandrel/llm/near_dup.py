@@ -46,6 +46,9 @@ COLLISION = 0.5 / (1 << MANTISSA_BITS)
 #: Bands of up to PAIRED members are compared pair by pair, larger ones in blocks of BLOCK.
 PAIRED, BLOCK, BLOCK_SHINGLES = 16, 1024, 1 << 20
 
+#: Edges of one node that a task may read.
+HUB = 100_000
+
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,25 +158,31 @@ def estimate(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(((x == y).mean(axis=1) - COLLISION) / (1 - COLLISION))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): label is the least node of the component. edges: a, b. Alternating large and small stars; each round is written."""
+def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
+    """(node, label): label is the least node of the component. edges: a, b. Alternating large and small stars; each round is written.
+
+    The hub of a star may have a third of all edges; where a node has more than `hub` edges, joins split such nodes.
+    """
     edges = staged(edges.where("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
-    mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    both = lambda: edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     before = None
-    while (now := mark(edges)) != before and now[0]:
-        before = now
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # The hub of a star may have a third of all edges: hubs go to the edges, not edges to their hubs.
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
-        large = split_join(both, least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct()
-        large = staged(large, "large")
+    while True:
+        per = both().groupBy("u").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        now = per.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+        if not now[0] or now == before:
+            break
+        before, star = now, now[2] > hub
+        made = [edges]
+        keep = lambda df, label: made.append(staged(df, label)) or made[-1] if star else df  # noqa: E731, B023
+        meet = split_join if star else lambda rows, info, key: rows.join(info, key)
+        least = keep(both().groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        large = keep(meet(both(), least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct(), "large")
         # Small star: every edge (u, v), u < v, hangs from v; v's least neighbour takes v and v's other neighbours.
-        least_v = staged(large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "least")
-        small = split_join(large, least_v, "v").select(F.col("m").alias("x"), F.explode(F.array("u", "v")).alias("y")).where("x != y")
-        after = staged(small.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct(), "edges")
-        for done in (edges, least, large, least_v):
+        least = keep(large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), "least")
+        small = meet(large, least, "v").select(F.col("m").alias("x"), F.explode(F.array("u", "v")).alias("y")).where("x != y")
+        edges = staged(small.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct(), "edges")
+        for done in made:
             release(done)
-        edges = after
     stars = edges.select(F.col("v").alias("node"), F.col("u").alias("label"))
     return stars.unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
 
