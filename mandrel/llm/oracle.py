@@ -93,4 +93,10 @@ FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id GROUP BY d.doc_id
 OP4 = "SELECT doc_id, true AS covered, true AS sequences_fit, true AS one_padded FROM documents"
 OP6 = "SELECT s AS shard, (n * (s + 1) // 40 - n * s // 40)::BIGINT AS n_rows, true AS gapless FROM (SELECT count(*) AS n FROM documents), range(40) x(s)"
 
-ORACLES = {"op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}
+OP1_ABLATION = f"""
+SELECT rule, sum(CASE WHEN fail_bits & mask <> 0 THEN 1 ELSE 0 END)::BIGINT AS n_failed, sum(CASE WHEN fail_bits = mask THEN 1 ELSE 0 END)::BIGINT AS n_failed_alone,
+       sum(CASE WHEN fail_bits & ~mask = 0 THEN 1 ELSE 0 END)::BIGINT AS n_kept_without
+FROM ({OP1}), (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbol_heavy', 4), ('duplicate_lines', 8), ('shouting', 16), ('word_length', 32)) r(rule, mask) GROUP BY rule
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op1_ablation": OP1_ABLATION, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}

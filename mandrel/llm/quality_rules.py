@@ -4,8 +4,9 @@ Every rule is evaluated once for each document. The ledger stores the measuremen
 for each rule; a policy is a versioned mask over those bits, so a new policy or an ablation never reads
 a text again.
 
-Defined results: a null or empty text has no words, measures 0 everywhere and fails `few_words`; repeated
-rows are measured each on its own; an empty table gives an empty ledger; other columns are not looked at.
+Defined results: a null or empty text has no words, measures 0 everywhere and fails `few_words`; very long texts are
+measured whole; repeated rows are measured each on its own; an empty table gives an empty ledger; other columns are
+not looked at, whatever their names.
 """
 
 from __future__ import annotations

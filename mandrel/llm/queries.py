@@ -21,6 +21,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does, from the failure bits of the whole table."""
+    return quality_rules.ablation(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     role = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
@@ -115,7 +120,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ten = (op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate, op10_quality_classifier)
-    return {f.__name__: f for f in (*ten, op3_base_columns, op4_coverage, op6_laws)}
+    return {f.__name__: f for f in (*ten, op1_ablation, op3_base_columns, op4_coverage, op6_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
