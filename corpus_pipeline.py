@@ -8,6 +8,12 @@ near duplicates  one document of each class stays, that of the least id
 decontamination  documents that hold benchmark passages go
 secret scans     every found secret is replaced in the text; n_chars follows
 packing          documents become pieces of sequences of 2048 tokens
+
+Defined results, stage by stage: a null, empty or short text fails the quality rules, so later stages see none of
+these unless they are given them, and then a text without words is kept by near duplicates and decontamination, has no
+secret and becomes one end id. Very long texts are read whole. Of rows that repeat a document, or tie for the least id,
+one stays. Null ids and nulls in other columns pass through; further columns do too, whatever their names. An empty
+table gives an empty table of the same columns.
 """
 
 from __future__ import annotations
