@@ -61,5 +61,10 @@ def recent(payments: DataFrame, dates: DataFrame, days: int, booked: bool) -> Da
 
 
 def within(left: DataFrame, right: DataFrame, key: str, at: Column, low: Column, high: Column) -> DataFrame:
-    """Interval join: rows of one key where at lies in [low, high]."""
-    return left.join(right, key).where((at >= low) & (at <= high))
+    """Interval join: rows of one key where the day `at` of right lies in [low, high], days of left.
+
+    Intervals are short (a rule's window), so they are exploded to days, and rows meet by key and day: a vendor with many
+    changes and many payments makes the pairs that count and no others.
+    """
+    days = left.where(low <= high).withColumn("__day", F.explode(F.sequence(low, high)))
+    return days.join(right.withColumn("__day", at), [key, "__day"]).drop("__day")
