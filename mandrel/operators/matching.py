@@ -217,6 +217,12 @@ def write_outputs(folder: str, candidates: DataFrame, curves: DataFrame, wrong:
         df.coalesce(1).write.mode("overwrite").csv(f"{folder}/errors_{name}", header=True)  # ten rows at most
 
 
+def with_model(pairs: DataFrame, weights: DataFrame, missing: float = -99.0) -> DataFrame:
+    """Pairs with the model's match weight; what the model has no weight for counts as far below any threshold."""
+    key = ["LIFNR_A", "LIFNR_B"]
+    return pairs.join(weights.select(*key, "match_weight"), key, "left").withColumn("match_weight", F.coalesce("match_weight", F.lit(missing)))
+
+
 def judge(decided: DataFrame, score: str, threshold: float) -> DataFrame:
     """Hits and errors against decided labels (duplicate or not); what has no score counts as far below."""
     hit = F.coalesce(score, F.lit(-99.0)) >= threshold

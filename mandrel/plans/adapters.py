@@ -82,6 +82,11 @@ SHAPES = {
     "p_invoices": "SELECT event_id AS doc, lpad(CAST(user_id AS STRING), 10, '0') AS LIFNR, CASE WHEN event_id % 3 = 0 THEN '1000' ELSE '2000' END AS BUKRS, CAST(ts AS DATE) AS budat, CAST(ts AS DATE) + CAST(event_id % 12 AS INT) AS netdt, CAST(value AS DECIMAL(23,2)) AS amount FROM {events} WHERE event_type = 'view'",
     "p_base": "SELECT lpad(CAST(user_id AS STRING), 10, '0') AS LIFNR, CASE WHEN user_id % 9 = 1 THEN '1' ELSE '' END AS CONFS, '' AS SPERZ, CASE WHEN user_id % 31 = 4 THEN 'X' ELSE '' END AS SPERR, '' AS LOEVM FROM users",
     "p_changes": "SELECT lpad(CAST(user_id AS STRING), 10, '0') AS LIFNR, ts, event_id, CASE event_id % 4 WHEN 0 THEN 'CONFS' WHEN 1 THEN 'SPERZ' WHEN 2 THEN 'SPERR' ELSE 'NAME1' END AS FNAME, CASE WHEN event_id % 5 < 3 THEN '' ELSE 'X' END AS VALUE_NEW FROM {events} WHERE event_type = 'click' AND user_id % 3 = 0",
+    # Orders as transactions with recipients, all text.
+    "p_tx": """SELECT concat('U', CAST(o_custkey % 60 AS STRING)) AS uei, concat(' Firm  ', CAST(o_custkey % 7 AS STRING), CASE WHEN o_orderkey % 11 = 3 THEN ' Redacted due to' WHEN o_orderkey % 2 = 0 THEN ', Inc.' ELSE ' Incorporated' END) AS name_raw,
+        '' AS dba_name, concat('P', CAST(o_custkey % 9 AS STRING)) AS parent_uei, '' AS parent_name_raw, CASE WHEN o_orderkey % 13 = 5 THEN ' ' ELSE concat(CAST(o_custkey % 4 AS STRING), ' North Road ') END AS address_line_1,
+        concat('Town ', CAST(o_orderkey % 3 AS STRING)) AS city, 'VA' AS state, concat('22', CAST(100 + o_custkey % 8 AS STRING), '-1234') AS zip, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'CAN' ELSE 'USA' END AS country,
+        concat('f', CAST(o_orderkey % 6 AS STRING)) AS source_file FROM {orders}""",
     # Parts as the parties to match; brands and sizes make the blocks.
     "parties": """SELECT lpad(CAST(p_partkey AS STRING), 10, '0') AS LIFNR, concat('The ', p_name, CASE WHEN p_partkey % 3 = 0 THEN ', Inc.' WHEN p_partkey % 3 = 1 THEN ' Incorporated' ELSE ' L.L.C.' END) AS name,
         concat(CAST(p_partkey % 40 AS STRING), ' North ', p_type, ' Street & Road') AS address, p_brand AS state, lpad(CAST(p_size AS STRING), 3, '0') || '-' || lpad(CAST(p_partkey % 100 AS STRING), 2, '0') AS zip,

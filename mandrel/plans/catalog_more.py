@@ -12,8 +12,9 @@ from mandrel.operators import feeds, matching, payrun, rules, verify
 from mandrel.operators.scd2 import END, START, scd2
 from mandrel.plans import serving
 from mandrel.plans.adapters import shape
-from mandrel.plans.catalog import _ALL, _LINES, _MATCH, _RAW, _SQL, _TS, Frames, query
+from mandrel.plans.catalog import _ALL, _LINES, _MATCH, _RAW, _SQL, _TS, Frames, _address, _name, query
 from mandrel.session import shared_folder, written
+from mandrel.sources import archives
 from mandrel.streaming import ingest
 from mandrel.streaming.cdc import History
 
@@ -402,6 +403,43 @@ def hard_strata(spark, sf_dir):
     return rows.groupBy("stratum").agg(F.count("*").alias("n"), F.min(F.concat("LIFNR_A", "LIFNR_B")).alias("least"))
 
 
+@query("SELECT p.LIFNR_A, p.LIFNR_B, coalesce(w.match_weight, -99) AS match_weight FROM pairs p LEFT JOIN (SELECT * FROM weighed WHERE match_weight > -5) w ON w.LIFNR_A = p.LIFNR_A AND w.LIFNR_B = p.LIFNR_B", "parties", _GAMMA)
+def model_scores(spark, sf_dir):
+    """All blocked pairs beside a model that gives weights for some."""
+    return matching.with_model(matching.candidate_pairs(Frames(spark, sf_dir).parties), _weighed(spark, sf_dir).where("match_weight > -5"))
+
+
+@query("SELECT * FROM truth EXCEPT SELECT LIFNR_A, LIFNR_B FROM apairs", "parties", "pv keys apairs truth")
+def missed_positives(spark, sf_dir):
+    """Matches that a pass of blocking never brings together."""
+    v = Frames(spark, sf_dir).parties
+    return matching.positive_pairs(v).join(matching.candidate_pairs(v, passes=("area",)), ["LIFNR_A", "LIFNR_B"], "left_anti")
+
+
+@query(
+    """SELECT * FROM (SELECT 'false_positives' AS kind, LIFNR_A, LIFNR_B FROM sc WHERE label = 'non_match' AND name_one >= 70 ORDER BY name_one DESC, LIFNR_A, LIFNR_B LIMIT 10)
+    UNION ALL SELECT * FROM (SELECT 'false_negatives', LIFNR_A, LIFNR_B FROM sc WHERE label = 'match' AND name_one < 70 ORDER BY name_one, LIFNR_A, LIFNR_B LIMIT 10)
+    UNION ALL SELECT * FROM (SELECT 'missed', LIFNR_A, LIFNR_B FROM (SELECT LIFNR_A, LIFNR_B FROM truth EXCEPT SELECT LIFNR_A, LIFNR_B FROM sc) ORDER BY 2, 3 LIMIT 5)""",
+    "parties", _MATCH,
+)
+def error_samples(spark, sf_dir):
+    """Reports of fixed length: the worst errors of each kind."""
+    f = Frames(spark, sf_dir)
+    found = matching.errors(f.scored, matching.positive_pairs(f.parties), "name_one", 70)
+    return rules.exceptions([df.select(F.lit(kind).alias("kind"), "LIFNR_A", "LIFNR_B") for kind, df in found.items()])
+
+
+@query(
+    f"""SELECT uei, name_raw, address_norm, f.dba_name, f.parent_uei, f.parent_name_raw, f.address_line_1, f.city, f.state, f.zip5, transaction_count, {_name('name_raw')} AS name_norm FROM
+    (SELECT uei, name_raw, address_norm, min({{'source_file': source_file, 'dba_name': dba_name, 'parent_uei': parent_uei, 'parent_name_raw': parent_name_raw, 'address_line_1': address_line_1, 'city': city, 'state': state, 'zip5': zip5}}) AS f, count(*) AS transaction_count FROM
+      (SELECT * REPLACE (regexp_replace(trim(name_raw), '\\s+', ' ', 'g') AS name_raw, trim(address_line_1) AS address_line_1), {_address('trim(address_line_1)')} AS address_norm, left(regexp_replace(zip, '\\D', '', 'g'), 5) AS zip5 FROM p_tx
+       WHERE NOT regexp_matches(upper(name_raw), 'REDACTED') AND country IN ('USA', '') AND trim(address_line_1) <> '') GROUP BY 1, 2, 3)""",
+    "p_tx",
+)
+def vendors_of_transactions(spark, sf_dir):
+    return archives.vendors(shape(spark, sf_dir, "p_tx"))
+
+
 # Checks ---------------------------------------------------------------------------------------------------
 
 
