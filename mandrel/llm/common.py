@@ -61,15 +61,16 @@ def split_join(rows: DataFrame, info: DataFrame, key: str, n: str = "n") -> Data
     """An inner join on a key that few rows, or a third of all rows, may share. info: one row for each key, with n rows of it.
 
     The rows of a key with more than 1/HOT_KEYS of all are dealt over PARTS parts by their content, and its one row of info
-    goes to each; the list of these keys, HOT_KEYS rows at most, goes to every task. No key has a task of its own.
+    goes to each; these keys, HOT_KEYS at most, are literals of the plan. No key has a task of its own.
     """
     limit = (info.agg(F.sum(n)).first()[0] or 0) // HOT_KEYS
     part = f"{OWN}part"
-    hot = F.broadcast(info.where(F.col(n) > limit).select(key, F.lit(True).alias(f"{OWN}hot")))  # HOT_KEYS rows at most
-    dealt = F.when(F.col(f"{OWN}hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS))).otherwise(F.lit(0)).cast("int")
+    hot = [F.lit(r[0]) for r in info.where(F.col(n) > limit).select(key).collect()]  # HOT_KEYS at most
+    # Without such keys every row is in part 0, by an expression still, so that the plan is the same with and without.
+    parts_of = F.when(F.col(key).isin(hot), F.lit(PARTS)).otherwise(F.lit(1)) if hot else F.lit(1)
+    dealt = F.pmod(F.xxhash64(*rows.columns), parts_of).cast("int")
     parts = F.when(F.col(n) > limit, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    split = rows.join(hot, key, "left").withColumn(part, dealt).drop(f"{OWN}hot")
-    return split.join(info.withColumn(part, F.explode(parts)), [key, part]).drop(part)
+    return rows.withColumn(part, dealt).join(info.withColumn(part, F.explode(parts)), [key, part]).drop(part)
 
 
 def scanned(items: Column, state: Column, step: Callable[[Column, Column], Column], out: str, block: int = 64) -> Column:
