@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Prefix of columns that operators add beside a caller's own columns.
 OWN = "__mandrel_"
@@ -53,6 +56,31 @@ def small(df: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def fields(**types: str) -> T.StructType:
+    """A struct of plain types by name."""
+    out = T.StructType()
+    for name, kind in types.items():
+        out.add(name, kind)
+    return out
+
+
+def sliced(batch: pa.RecordBatch, column: int, most: int = 8 << 20, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of `rows` rows or about `most` bytes of one column, one row at least."""
+    values = batch.column(column)
+    if pa.types.is_binary(values.type) or pa.types.is_string(values.type):
+        sizes = pc.binary_length(values).fill_null(0).to_pylist()
+    else:
+        sizes = [values.slice(k, 1).nbytes for k in range(len(values))]
+    at = 0
+    while at < batch.num_rows:
+        end, size = at, 0
+        while end < batch.num_rows and end - at < rows and (end == at or size + sizes[end] <= most):
+            size += sizes[end]
+            end += 1
+        yield batch.slice(at, end - at)
+        at = end
+
+
 #: A key with more than this part of all rows is split, so HOT_KEYS keys are at most; and into how many parts.
 HOT_KEYS, PARTS = 1024, 64
 

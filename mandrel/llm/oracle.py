@@ -99,4 +99,51 @@ SELECT rule, sum(CASE WHEN fail_bits & mask <> 0 THEN 1 ELSE 0 END)::BIGINT AS n
 FROM ({OP1}), (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbol_heavy', 4), ('duplicate_lines', 8), ('shouting', 16), ('word_length', 32)) r(rule, mask) GROUP BY rule
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op1_ablation": OP1_ABLATION, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}
+#: Samples of the padded bytes as 64 columns; a cell of the hash gets each sample by the part that lies in it. A tile's file is a
+#: header of 128 bytes, its samples behind; 64 bytes for a checksum are folded bit by bit.
+OP11 = r"""
+WITH b AS (SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+p AS (SELECT *, greatest((n + 63) // 64, 1) AS rows FROM b),
+x AS (SELECT *, t || repeat(chr(0), (rows * 64 - n)::INT) AS payload FROM p),
+h AS (SELECT *, hex(encode(payload)) AS hex FROM x),
+s AS (SELECT doc_id, rows, i // 64 AS y, i % 64 AS x, ('0x' || substr(hex, (2 * i + 1)::BIGINT, 2))::BIGINT AS v FROM (SELECT doc_id, rows, hex, unnest(range(rows * 64)) AS i FROM h)),
+cy AS (SELECT doc_id, i, x, sum(v * (least((y + 1) * 8, (i + 1) * rows) - greatest(y * 8, i * rows))) AS v FROM s, range(8) c(i)
+       WHERE least((y + 1) * 8, (i + 1) * rows) > greatest(y * 8, i * rows) GROUP BY 1, 2, 3),
+cells AS (SELECT doc_id, i, j, sum(v * (least((x + 1) * 9, (j + 1) * 64) - greatest(x * 9, j * 64))) AS v FROM cy, range(9) c(j)
+       WHERE least((x + 1) * 9, (j + 1) * 64) > greatest(x * 9, j * 64) GROUP BY 1, 2, 3),
+bits AS (SELECT a.doc_id, a.i, sum(CASE WHEN a.v < b.v THEN 1 << (7 - a.j) ELSE 0 END)::INT AS byte FROM cells a JOIN cells b ON b.doc_id = a.doc_id AND b.i = a.i AND b.j = a.j + 1 GROUP BY 1, 2),
+feature AS (SELECT doc_id, string_agg(lower(printf('%02x', byte)), '' ORDER BY i) AS feature FROM bits GROUP BY 1),
+tile AS (SELECT doc_id, hex, k, least(256, rows - 256 * k) AS r FROM (SELECT doc_id, hex, rows, unnest(range((rows + 255) // 256)) AS k FROM h)),
+file AS (SELECT doc_id, k, '934E554D50590100' || '7600' || hex(encode(rpad('{''descr'': ''|u1'', ''fortran_order'': False, ''shape'': (' || r || ', 64, 1), }', 117, ' ') || chr(10))) || substr(hex, 32768 * k + 1, 128 * r) AS f FROM tile),
+media AS (SELECT doc_id, string_agg(f, '' ORDER BY k) AS f FROM file GROUP BY 1),
+tail AS (SELECT doc_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(64), lambda i: ('0x' || substr(hex, length(hex) - 127 + 2 * i, 2))::BIGINT)),
+  lambda c, v: list_reduce(list_prepend(xor(c, v), range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc FROM h)
+SELECT h.doc_id, h.n AS n_bytes, rows * 64 AS payload_bytes, sha256(payload) AS payload_sha256, xor(crc, 4294967295)::BIGINT AS tail_crc32,
+       (length(f) // 2)::BIGINT AS media_bytes, sha256(unhex(f)) AS media_sha256, feature
+FROM h JOIN media ON media.doc_id = h.doc_id JOIN tail ON tail.doc_id = h.doc_id JOIN feature ON feature.doc_id = h.doc_id
+"""
+
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS ws FROM d),
+c AS (SELECT *, len(ws)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(ws) + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (len(ws) + 1) AS c2,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+           WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT *, array_to_string(ws[:least(c1, c2)], '') AS pre, array_to_string(ws[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid, array_to_string(ws[greatest(c1, c2) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p
+"""
+
+OP13 = rf"""
+WITH tf AS (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents) GROUP BY 1, 2),
+len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY 1),
+g AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM len),
+df AS (SELECT w, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, g GROUP BY w, nn),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+s AS (SELECT item_id, tf.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::BIGINT AS score
+      FROM it JOIN tf ON tf.w = it.w JOIN df ON df.w = it.w JOIN len ON len.doc_id = tf.doc_id, g GROUP BY 1, 2)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
+ORACLES = {"op11_media": OP11, "op12_fill_middle": OP12, "op13_ranked_search": OP13, "op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op1_ablation": OP1_ABLATION, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mandrel.llm import chat_format, decontaminate, html_extract, language_id, near_dup, packing, quality_classifier, quality_rules, secret_scan, sharding
+from mandrel.llm import chat_format, decontaminate, fill_middle, html_extract, language_id, media, near_dup, packing, quality_classifier, quality_rules, search, secret_scan, sharding
 from mandrel.llm.common import OWN, crc_fold, staged, table
 from mandrel.llm.oracle import ORACLES
 
@@ -118,9 +118,30 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    images = docs.select("doc_id", n_bytes.alias("n_bytes"), media.as_graymap(media.padded(F.col("text"))).alias("media"))
+    back = media.read_back(media.stored(images, ["doc_id", "n_bytes"]), ["doc_id", "n_bytes", "hash"])
+    return back.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.col("hash").alias("feature"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.transformed(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fill_middle.restored()).alias("restored_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ten = (op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate, op10_quality_classifier)
-    return {f.__name__: f for f in (*ten, op1_ablation, op3_base_columns, op4_coverage, op6_laws)}
+    each = (
+        op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate,
+        op10_quality_classifier, op11_media, op12_fill_middle, op13_ranked_search,
+    )
+    return {f.__name__: f for f in (*each, op1_ablation, op3_base_columns, op4_coverage, op6_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
