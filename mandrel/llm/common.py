@@ -56,6 +56,11 @@ def small(df: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, dots and quotes included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def fields(**types: str) -> T.StructType:
     """A struct of plain types by name."""
     out = T.StructType()

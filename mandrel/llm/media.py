@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mandrel.llm.common import fields, sliced
+from mandrel.llm.common import OWN, fields, named, sliced
 
 TILE = 256
 #: Cells of a difference hash, and rows that are summed up at a time.
@@ -287,7 +287,9 @@ def _stored_row(data: bytes | None) -> tuple:
 
 def _mapped(df: DataFrame, keep: Sequence[str], column: str, row: Callable, schema: T.StructType, types: list, most: int = 8 << 20) -> DataFrame:
     """keep and the fields that row gives for a column, some bytes at a time."""
-    names = [*keep, *schema.names]
+    # Names of the caller's are put back afterwards: mapInArrow takes no dots.
+    inside = [f"{OWN}{k}" for k in range(len(keep) + 1)]
+    names = [*inside[:-1], *schema.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,8 +298,8 @@ def _mapped(df: DataFrame, keep: Sequence[str], column: str, row: Callable, sche
                 made = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], names=names)
 
-    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in (*keep, column)]
-    return df.select(*quoted).mapInArrow(run, T.StructType([*[df.schema[c] for c in keep], *schema.fields]))
+    given = df.select(*[named(c).alias(x) for c, x in zip((*keep, column), inside, strict=True)])
+    return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], *schema.fields])).toDF(*keep, *schema.names)
 
 
 def stored(media: DataFrame, keep: Sequence[str], column: str = "media") -> DataFrame:
@@ -328,7 +330,7 @@ def read_back(found: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 def each_tile(found: DataFrame, keep: Sequence[str]) -> DataFrame:
     """One row for each tile: keep, row, col, hash, npy; a table of files to be written."""
-    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in keep]
+    quoted = [named(c) for c in keep]
     return found.select(*quoted, F.explode("tiles").alias("t")).select(*quoted, "t.*")
 
 
