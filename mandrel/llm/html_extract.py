@@ -3,15 +3,18 @@
 A wrapper is a union-free regular expression over a page's token stream: tags, constant texts, text slots,
 optional groups and repeated groups. It is inferred by aligning pages of one host in turn: tandem repeats of
 a page fold into repeated groups, equal items stay, unequal texts become slots, and what only one side has
-becomes an optional group. Every page is then folded and matched with its host's wrapper, which tells the
-host's constant texts from the slots that its pages fill. A block of which every text is constant is the host's
-and goes, inside an article or not; a block with a slot stays whole.
+becomes an optional group.
 
-The wrapper also tells where a host's articles are: its content path is found from the body down, into the one
+The wrapper tells where a host's articles are: its content path is found from the body down, into the one
 container that has four fifths of the characters that fill slots and loses no heading, and ends at an article. What a
-page has outside of it is no article text. A host without a wrapper is left with the article element, if any.
+page has outside of it is no article text; what recurs inside of it is, and stays. A host without a wrapper is left with the
+article element, if any. Where a page has neither, it is folded and matched with its host's wrapper, which tells the host's constant
+texts from the slots that its pages fill: a block of which every text is constant is the host's and goes.
+
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments inside go by their
-element or class.
+element or class. A class counts as a whole: `sidebar` and `sidebar-box` mark a part, `has-sidebar` doesn't. No class drops
+html or body. Where that leaves no article with text, the one with most text that is no advert or reader comment
+stays, with all that it lies in, so a form around a whole page takes nothing away.
 
 A text is constant only by pages that differ: copies count once, and of pages that share more than half of
 their text one is fitted, so that what near copies share is not taken for the host's. Without two such pages a
@@ -38,6 +41,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -66,6 +70,10 @@ MARKED = frozenset(
     "breadcrumb breadcrumbs newsletter subscribe subscription widget login signup contentinfo complementary search".split()
 )
 OUTSIDE = frozenset("header masthead banner topbar toolbar alert".split())
+#: Of the first row, what is never an article; words that say no more of a part than where or how it is shown; names of an article.
+FOREIGN = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments disqus replies hidden".split())
+SHOWN = frozenset("area bar block body bottom box button buttons center container form frame inner item items left link links list outer panel right section site slot top unit wrap wrapper".split())
+MAIN = frozenset("main main-content content-main".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
@@ -98,7 +106,7 @@ def tokenise(page: str) -> list[Token]:
             if key.lower() in ("hidden", "aria-hidden"):
                 words |= {"hidden"} if value != "false" else set()
             else:
-                words |= set(re.split(r"[^a-z0-9]+", value)) - {""}
+                words |= set(value.split())
         out.append(("open", name, " ".join(sorted(words))))
         if name in RAW and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
@@ -300,7 +308,91 @@ def step(path: list[str], kind: str, name: str, mark: str) -> bool:
 
 def is_article(step: str) -> bool:
     name, _, mark = step.partition(" ")
-    return name in ("article", "main") or "main" in mark.split()
+    return name in ("article", "main") or not MAIN.isdisjoint(mark.split())
+
+
+@lru_cache(maxsize=1 << 12)
+def marked(mark: str, by: frozenset[str]) -> bool:
+    """Whether a class is a word of by, or made of these and of words that mark a part too or only tell how it is shown."""
+    for name in mark.split():
+        parts = set(re.split(r"[^a-z0-9]+", name)) - {""}
+        if not parts.isdisjoint(by) and parts <= MARKED | OUTSIDE | SHOWN | by:
+            return True
+    return False
+
+
+class Elements:
+    """Every element of a token stream: what it lies in, and whether it is an article, or none."""
+
+    def __init__(self, tokens: list[Token], starts: set[int]):
+        self.at: dict[int, int] = {}  # token to element
+        self.owner = [-1] * len(tokens)  # the element that a token lies in
+        self.up: list[int] = []
+        self.away: list[bool] = []
+        self.foreign: list[bool] = []
+        self.start: list[bool] = []
+        inside: list[bool] = []
+        stack: list[int] = []
+        names: list[str] = []
+        for k, (kind, name, mark) in enumerate(tokens):
+            self.owner[k] = stack[-1] if stack else -1
+            if kind == "open" and name not in VOID:
+                up = self.owner[k]
+                self.at[k] = len(self.up)
+                inside.append((up >= 0 and inside[up]) or k in starts)
+                classed = name not in ("html", "body")
+                outer = not inside[-1] and (name == "header" or (classed and marked(mark, OUTSIDE)))
+                self.away.append(name in NEVER or outer or (classed and (marked(mark, MARKED) or "hidden" in mark.split())))
+                self.foreign.append((up >= 0 and self.foreign[up]) or (classed and marked(mark, FOREIGN)))
+                self.start.append(k in starts)
+                stack.append(len(self.up))
+                names.append(name)
+                self.up.append(up)
+            elif kind == "close":
+                for n in range(len(names) - 1, -1, -1):
+                    if names[n] == name:
+                        del stack[n:], names[n:]
+                        break
+        self.size = [0] * len(self.up)
+        for k, (kind, name, _) in enumerate(tokens):
+            if kind == "text" and self.owner[k] >= 0:
+                self.size[self.owner[k]] += len(name.strip())
+
+    def dropped(self) -> list[bool]:
+        out: list[bool] = []
+        for up, away in zip(self.up, self.away, strict=True):
+            out.append(away or (up >= 0 and out[up]))
+        return out
+
+    def below(self, keep: list[bool]) -> list[int]:
+        """Characters of text below each element, in elements that are kept."""
+        out = [n if k else 0 for n, k in zip(self.size, keep, strict=True)]
+        for n in range(len(out) - 1, -1, -1):
+            if self.up[n] >= 0:
+                out[self.up[n]] += out[n]
+        return out
+
+    def settle(self) -> bool:
+        """Decide which articles count, so that one with text is kept if any is; whether there is one."""
+        dropped = self.dropped()
+        kept = self.below([not d for d in dropped])
+        if any(s and not d and n for s, d, n in zip(self.start, dropped, kept, strict=True)):
+            return True
+        whole = self.below([True] * len(self.up))
+        best = max((n for n, s in enumerate(self.start) if s and whole[n] and not self.foreign[n]), key=lambda n: whole[n], default=None)
+        self.start = [n == best for n in range(len(self.up))]
+        if best is None:
+            return False
+        while best >= 0:
+            self.away[best] = False
+            best = self.up[best]
+        return True
+
+    def inside(self) -> list[bool]:
+        out: list[bool] = []
+        for up, start in zip(self.up, self.start, strict=True):
+            out.append(start or (up >= 0 and out[up]))
+        return out
 
 
 def content_path(wrapper: list) -> list[str]:
@@ -333,15 +425,19 @@ def content_path(wrapper: list) -> list[str]:
 def extract(page: str | None, wrapper: list | None = None, root: list[str] | None = None) -> str:
     """The main text: blocks in page order, joined by an empty line. root: the wrapper's content path, if it is known already."""
     tokens = tokenise(page or "")
-    fixed = constants(wrapper, tokens) if wrapper else set()
     root = content_path(wrapper) if wrapper and root is None else root or []
     path: list[str] = []
     steps = [tuple(path) if step(path, *t) else None for t in tokens]
     starts = {k for k, (t, at) in enumerate(zip(tokens, steps, strict=True)) if (at and list(at) == root) or (t[0] == "open" and is_article(f"{t[1]} {t[2]}"))}
-    has_article = bool(starts)
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped here, inside an article
+    elements = Elements(tokens, starts)
+    has_article = elements.settle()
+    dropped, inside = [*elements.dropped(), False], [*elements.inside(), not has_article]  # the last is the page itself
+    if not has_article:
+        inside = [True] * len(inside)
+    # Constants of the host tell only where no container does.
+    fixed = constants(wrapper, tokens) if wrapper and not has_article else set()
     blocks, line = [], []
-    drop = inside = slots = False
+    slots = False
 
     def flush() -> None:
         nonlocal slots
@@ -351,28 +447,16 @@ def extract(page: str | None, wrapper: list | None = None, root: list[str] | Non
         line.clear()
         slots = False
 
-    for k, (kind, name, mark) in enumerate(tokens):
+    for k, (kind, name, _) in enumerate(tokens):
         if kind == "text":
-            if not drop and (inside or not has_article):
+            owner = elements.owner[k]
+            if not dropped[owner] and inside[owner]:
                 line.append(name)
                 slots = slots or k not in fixed
-            continue
-        if name == "br":
+        elif name == "br":
             line.append(" ")
         elif name in BLOCK or name in NEVER:
             flush()
-        if kind == "open" and name not in VOID:
-            words = set(mark.split())
-            stack.append((name, drop, inside))
-            inside = inside or k in starts
-            away = name in NEVER or bool(words & MARKED) or "hidden" in words
-            drop = drop or away or (not inside and (name == "header" or bool(words & OUTSIDE)))
-        elif kind == "close":
-            for up in range(len(stack) - 1, -1, -1):
-                if stack[up][0] == name:
-                    drop, inside = stack[up][1:]
-                    del stack[up:]
-                    break
     flush()
     return "\n\n".join(blocks)
 
