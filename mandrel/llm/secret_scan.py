@@ -4,13 +4,16 @@ Three base kinds are regular expressions: `assign` (a keyword, a separator and a
 `hex`. The fourth, `entropy`, slides a window of characters over candidate strings and keeps a candidate
 where the window's Shannon entropy reaches the threshold of its character class. Counts move with the
 window: one character enters, one leaves, and the entropy sum changes by these two terms alone. Candidates
-on the allow list, or inside a base span, are suppressed; base spans always stay.
+on the allow list, or inside a base span, are suppressed; base spans always stay. Of a candidate that a base span
+covers in part, what is left on either side is a candidate of its own; shorter than a window it can't be measured, and counts where it
+adjoins an access key or a hex string and is more than words and a number.
 
 Positions are code points, end exclusive. They come from splitting a text at a pattern's matches: pieces and
 matches alternate, so running lengths are offsets.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each on its own; a text of
-any length is scanned whole; other columns pass through.
+any length is scanned whole; of spans that begin alike the kind listed first comes first; an empty table gives no
+rows; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mandrel.llm.common import OWN, scanned
+from mandrel.llm.common import OWN, named, scanned
 
 #: The base patterns. A match of `assign` whose value is shorter than six is dropped after
 #: matching, so it still uses up its characters; the other two can state their lengths.
@@ -43,6 +46,8 @@ class CharClass:
 WINDOW = 20
 CLASSES = (
     CharClass("hex", "0123456789abcdefABCDEF", 3.0),
+    CharClass("lower", "0123456789abcdefghijklmnopqrstuvwxyz", 3.5),
+    CharClass("upper", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.5),
     CharClass("alnum", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.7),
     CharClass("base64", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-", 3.7),
 )
@@ -116,16 +121,42 @@ def peak_entropy(value: Column, cls: CharClass, window: int = WINDOW) -> Column:
     return F.element_at(F.transform(F.array(codes), peak), 1)
 
 
-def is_secret(value: Column) -> Column:
-    """Whether a candidate's peak entropy reaches its class's threshold and no allowed form fits."""
+def is_allowed(value: Column) -> Column:
+    """Words with one number at most, or an allowed form."""
     allowed = F.regexp_replace(value, WORDS, ".").rlike(NUMBERED)
     for form in ALLOWED:
         allowed = allowed | value.rlike(form)
+    return allowed
+
+
+def is_secret(value: Column) -> Column:
+    """Whether a candidate's peak entropy reaches its class's threshold and no allowed form fits."""
     high = F.lit(False)
     for cls in reversed(CLASSES):
         inside = value.rlike("^[" + cls.alphabet.replace("-", "\\-") + "]+$")
         high = F.when(inside, F.coalesce(peak_entropy(value, cls) >= cls.threshold, F.lit(False))).otherwise(high)
-    return ~allowed & high
+    return ~is_allowed(value) & high
+
+
+def _left(s: Column, base: Column) -> Column:
+    """What base spans leave of a candidate: pieces (start, kind, end, value, beside); beside says that it adjoins an access key or a hex string."""
+    piece = "array<struct<start:int,kind:int,end:int,value:string,beside:boolean>>"
+    over = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    stop = F.struct(s["end"].alias("start"), F.lit(9).alias("kind"), s["end"].alias("end"))
+    begin = F.struct(s["start"].alias("at"), F.lit(False).alias("hard"), F.array().cast(piece).alias("out"))
+
+    def step(acc: Column, b: Column) -> Column:
+        hard = (b["kind"] == 1) | (b["kind"] == 2)
+        one = F.struct(
+            acc["at"].alias("start"), s["kind"].alias("kind"), b["start"].alias("end"),
+            F.substr(s["value"], acc["at"] - s["start"] + 1, b["start"] - acc["at"]).alias("value"), (acc["hard"] | hard).alias("beside"),
+        )
+        out = F.when(b["start"] > acc["at"], F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.when(b["end"] >= acc["at"], hard).otherwise(acc["hard"]).alias("hard"), out.alias("out"))
+
+    whole = F.array(F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"), F.lit(False).alias("beside")))
+    left = F.aggregate(F.concat(F.array_sort(over), F.array(stop)), begin, step, lambda acc: acc["out"])
+    return F.when(F.size(over) == 0, whole.cast(piece)).otherwise(left)
 
 
 def with_spans(docs: DataFrame, text: str = "text", into: str = f"{OWN}spans") -> DataFrame:
@@ -137,8 +168,9 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = f"{OWN}spans") -
     long_value = lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6
     base, more = f"{into}_base", f"{into}_more"
     df = docs.withColumn(base, bare(F.concat(_spans(t, ASSIGN, 0, long_value), _spans(t, ACCESS, 1), _spans(t, HEX, 2))))
-    outside = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    df = df.withColumn(more, bare(_spans(t, CANDIDATE, 3, lambda s: outside(s) & is_secret(s["value"]))))
+    pieces = F.flatten(F.transform(_spans(t, CANDIDATE, 3), lambda s: _left(s, F.col(base))))
+    short = lambda s: s["beside"] & (F.length(s["value"]) < WINDOW) & ~is_allowed(s["value"])
+    df = df.withColumn(more, bare(F.filter(pieces, lambda s: short(s) | is_secret(s["value"]))))
     return df.withColumn(into, F.array_sort(F.concat(base, more))).drop(base, more)
 
 
@@ -170,5 +202,5 @@ def redacted(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataF
         elif c == "n_chars":
             out.append(F.when(found, F.length(f"{OWN}text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
-            out.append(F.col(f"`{c}`"))
+            out.append(named(c))
     return df.select(*out)
