@@ -7,8 +7,8 @@ inner product of index vectors one to FAR places apart, which shows what a mean
 two-layer network over this gives a logit; a temperature, fitted on a part of the sample that the network did not see,
 calibrates it.
 
-The sample is bounded: MAX_ROWS labelled rows whose ids hash lowest (ties by id, label and text), of texts of MAX_CHARS
-at most; all other documents are scored whole, in batches of matrix operations over TOKENS tokens, through which a
+The sample is bounded: MAX_ROWS labelled rows of documents that are there, whose ids hash lowest (ties by id, label and text), of
+texts of MAX_CHARS at most; all other documents are scored whole, in batches of matrix operations over TOKENS tokens, through which a
 longer text goes in turn. The vocabulary is the MAX_TOKENS most frequent tokens of the sample.
 
 Defined results: a null or empty text has no tokens and gets the score of an empty document; without labels
@@ -184,9 +184,13 @@ def fit(sample: list[tuple[str | None, int]]) -> Network | float:
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, max_rows: int = MAX_ROWS) -> Network | float:
     """docs: doc_id, text; labels: doc_id, quality. `allowed` is over doc_id."""
-    marks = labels.where(allowed & F.col("quality").isin(0, 1)).select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")  # max_rows rows at most
-    rows = rows.where(F.length(F.coalesce("text", F.lit(""))) <= MAX_CHARS).orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(max_rows)
+    short = F.length(F.coalesce("text", F.lit(""))) <= MAX_CHARS
+    order = [F.xxhash64("doc_id"), "doc_id", "quality"]
+    # Labels of documents that are there: of both sides ids alone are shuffled, and the sample is counted after that.
+    there = docs.where(short & allowed).select("doc_id").distinct()
+    marks = labels.where(allowed & F.col("quality").isin(0, 1)).select("doc_id", "quality").join(there, "doc_id", "left_semi").orderBy(*order).limit(max_rows)
+    rows = docs.select("doc_id", "text").where(short).join(F.broadcast(marks), "doc_id")  # max_rows rows at most
+    rows = rows.orderBy(*order, "text").limit(max_rows)
     return fit([(r["text"], r["quality"]) for r in rows.collect()])
 
 
