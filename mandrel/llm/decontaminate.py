@@ -27,10 +27,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mandrel.llm.common import OWN, staged
+from mandrel.llm.common import OWN, fields, staged
 
 SPAN = 13
+#: The digest of no items.
+NOTHING = hashlib.sha256(b"").hexdigest()
 #: Windows in one automaton, as an average over the parts of a benchmark.
 MAX_WINDOWS = 100_000
 #: Words of an item that are dealt together.
@@ -120,37 +123,53 @@ def _automaton(items: tuple[str, tuple[tuple[str, bytes], ...]], span: int) -> A
     return _CACHE[key]
 
 
-SCHEMA = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, words array<struct<start:long,end:long>>, ranges array<struct<start:long,end:long>>"
-_FIELDS = [x.split()[0] for x in SCHEMA.split(", ")]
+SCALARS = fields(n_words="long", n_hit="long", n_items="long", items_sha256="string")
+_RANGES = T.ArrayType(fields(start="long", end="long"))
 
 
-def _found(auto: Automaton, text: str | None, words: object = None, items: object = None) -> tuple:
-    """A row of SCHEMA, with what earlier parts of the benchmark found."""
+def schema(words: bool, offsets: bool) -> T.StructType:
+    """What a scan gives: numbers and a digest; with items and word ranges; with ranges of the original text."""
+    out = T.StructType(list(SCALARS.fields))
+    if words:
+        out = out.add("items", T.ArrayType(T.StringType())).add("words", _RANGES)
+    return out.add("ranges", _RANGES) if offsets else out
+
+
+def _told(spans: list[tuple[int, int]]) -> list[dict]:
+    return [{"start": a, "end": b} for a, b in spans]
+
+
+def _found(auto: Automaton, text: str | None, keeps: bool, offsets: bool, words: object = None, items: object = None) -> tuple:
+    """A row of the schema, with what earlier parts of the benchmark found."""
     n, ranges, names = auto.scan(text)
     if words is not None and len(words):
         ranges = merged([*ranges, *((x["start"], x["end"]) for x in words)])
     listed = sorted(names if items is None else names.union(items))
-    digest = hashlib.sha256(",".join(listed).encode("utf-8", "surrogatepass")).hexdigest()
-    told = lambda spans: [{"start": a, "end": b} for a, b in spans]
-    return n, sum(b - a for a, b in ranges), len(listed), digest, listed, told(ranges), told(original_ranges(text or "", ranges))
+    digest = hashlib.sha256(",".join(listed).encode("utf-8", "surrogatepass")).hexdigest() if listed else NOTHING
+    out = (n, sum(b - a for a, b in ranges), len(listed), digest)
+    if keeps:
+        out += (listed, _told(ranges))
+    return out + (_told(original_ranges(text or "", ranges)),) if offsets else out
 
 
-def scanner(items: list[tuple[str, bytes]], spark, span: int = SPAN):
+def scanner(items: list[tuple[str, bytes]], spark, keeps: bool, offsets: bool, span: int = SPAN):
     """Column functions that scan a text column for one part of a benchmark: alone, and with an earlier part's words and items."""
     items = tuple(sorted(items))
     held = spark.sparkContext.broadcast((hashlib.sha256(repr(items).encode("utf-8", "surrogatepass")).hexdigest(), items))
+    form = schema(keeps, offsets)
+    names = form.names
 
-    @F.pandas_udf(SCHEMA)
+    @F.pandas_udf(form)
     def first(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         auto = _automaton(held.value, span)
         for texts in batches:
-            yield pd.DataFrame([_found(auto, x) for x in texts], columns=_FIELDS)
+            yield pd.DataFrame([_found(auto, x, keeps, offsets) for x in texts], columns=names)
 
-    @F.pandas_udf(SCHEMA)
+    @F.pandas_udf(form)
     def further(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         auto = _automaton(held.value, span)
-        for texts, words, names in batches:
-            yield pd.DataFrame([_found(auto, *x) for x in zip(texts, words, names, strict=True)], columns=_FIELDS)
+        for texts, words, found in batches:
+            yield pd.DataFrame([_found(auto, x, keeps, offsets, w, i) for x, w, i in zip(texts, words, found, strict=True)], columns=names)
 
     return first, further
 
@@ -177,15 +196,17 @@ def is_contaminated(found: Column) -> Column:
     return (found["n_hit"] > 0) & (20 * found["n_hit"] >= found["n_words"])
 
 
-def with_matches(docs: DataFrame, benchmark: DataFrame, into: str = f"{OWN}found", text: str = "text", most: int = MAX_WINDOWS) -> DataFrame:
-    """docs and one struct column: words, hits, items, word ranges and code point ranges in the original text. No shuffle."""
+def with_matches(docs: DataFrame, benchmark: DataFrame, into: str = f"{OWN}found", text: str = "text", most: int = MAX_WINDOWS, ranges: bool = True) -> DataFrame:
+    """docs and one struct column: words, hits, number and digest of items; with `ranges` the items, word ranges and code point ranges in the original text too. No shuffle."""
     parts = dealt(benchmark, most=most)
+    keeps = ranges or len(parts) > 1
     for k, part in enumerate(parts):
         items = [(r["item"], bytes(r["words"])) for r in part.collect()]  # one part of the benchmark
-        first, further = scanner(items, docs.sparkSession)
+        last = k + 1 == len(parts)
+        first, further = scanner(items, docs.sparkSession, keeps, ranges and last)
         found = further(F.col(text), F.col(f"{into}.words"), F.col(f"{into}.items")) if k else first(F.col(text))
         docs = docs.withColumn(into, found)
-        if k + 1 < len(parts):
+        if not last:
             docs = staged(docs, "scanned")
     return docs
 
@@ -193,4 +214,4 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, into: str = f"{OWN}found
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that are not contaminated, with the columns of docs."""
     into = f"{OWN}found"
-    return with_matches(docs, benchmark, into, text).where(~is_contaminated(F.col(into))).select(*docs.columns)
+    return with_matches(docs, benchmark, into, text, ranges=False).where(~is_contaminated(F.col(into))).drop(into)
