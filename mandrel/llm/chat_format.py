@@ -53,9 +53,17 @@ def unescape_role(role: Column) -> Column:
     return F.replace(F.replace(unescape(role), F.lit("\\n"), F.lit("\n")), F.lit("\\e"), F.lit("\\"))
 
 
+#: Scripts that are written without spaces, and how many characters of a word are one token.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+WORD = 16
+
+
 def pieces(text: Column) -> Column:
-    """The default measure of tokens: words of any script, and single other characters."""
-    return F.size(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x20\x09-\x0D]"), F.lit(0)))
+    """The default measure of tokens: each character of a script without spaces, words of other scripts by WORD characters
+    or fewer, and single other characters."""
+    alone = "[" + "".join(rf"\p{{Is{s}}}" for s in UNSPACED) + "]"
+    text = F.when(text.rlike(alone), F.regexp_replace(text, f"({alone})", " $1 ")).otherwise(text)
+    return F.size(F.regexp_extract_all(text, F.lit(rf"[\p{{L}}\p{{M}}\p{{N}}_]{{1,{WORD}}}|[^\p{{L}}\p{{M}}\p{{N}}_\x20\x09-\x0D]"), F.lit(0)))
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Callable[[Column], Column] = pieces) -> DataFrame:

@@ -31,7 +31,7 @@ esc AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, r, x) -
   regexp_replace(replace(replace(r, '\', '\e'), chr(10), '\n'), '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS er,
   regexp_replace(x, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS et FROM e),
 b AS (SELECT *, '<|im_start|>' || er || chr(10) || et || '<|im_end|>' || chr(10) AS block FROM esc),
-t AS (SELECT *, len(regexp_extract_all(block, '[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x20\x09-\x0D]')) AS tok, length(block) AS size FROM b),
+t AS (SELECT *, len(regexp_extract_all(regexp_replace(block, '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[\p{L}\p{M}\p{N}_]{1,16}|[^\p{L}\p{M}\p{N}_\x20\x09-\x0D]')) AS tok, length(block) AS size FROM b),
 w AS (SELECT *, CASE WHEN first_value(r) OVER o = 'system' THEN 1 ELSE 0 END AS hs, first_value(tok) OVER o AS t0, first_value(size) OVER o AS z0,
   sum(tok) OVER (o ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS t1, sum(tok) OVER (o ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS t2,
   sum(size) OVER (o ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS z1, sum(size) OVER (o ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS z2
@@ -146,4 +146,11 @@ s AS (SELECT item_id, tf.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf +
 SELECT item_id, rank, doc_id, score FROM (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM s WHERE score > 0) WHERE rank <= 10
 """
 
-ORACLES = {"op11_media": OP11, "op12_fill_middle": OP12, "op13_ranked_search": OP13, "op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op1_ablation": OP1_ABLATION, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}
+OP1_POLICIES = f"""
+WITH l AS ({OP1}), r(rule, mask) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbol_heavy', 4), ('duplicate_lines', 8), ('shouting', 16), ('word_length', 32)),
+m AS (SELECT policy, '' AS "without", whole AS mask FROM (VALUES ('v1', 3), ('v2', 63)) p(policy, whole)
+      UNION ALL SELECT policy, rule, whole - mask FROM (VALUES ('v1', 3), ('v2', 63)) p(policy, whole) JOIN r ON whole & mask <> 0)
+SELECT policy, "without", count(*) FILTER (WHERE fail_bits & mask = 0) AS n_kept, count(*) FILTER (WHERE fail_bits & mask <> 0) AS n_rejected FROM l, m GROUP BY 1, 2
+"""
+
+ORACLES = {"op1_policies": OP1_POLICIES, "op11_media": OP11, "op12_fill_middle": OP12, "op13_ranked_search": OP13, "op1_quality_rules": OP1, "op2_chat_format": OP2, "op8_near_dup": OP8, "op9_decontaminate": OP9, "op1_ablation": OP1_ABLATION, "op3_base_columns": OP3, "op4_coverage": OP4, "op6_laws": OP6}

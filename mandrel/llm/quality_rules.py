@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mandrel.llm.common import OWN
+from mandrel.llm.common import OWN, staged
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper")
 SCHEMA = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
@@ -87,6 +87,8 @@ POLICIES: Mapping[str, tuple[str, ...]] = {
     "v2": (*BASE, "symbol_heavy", "duplicate_lines", "shouting", "word_length"),
 }
 CURRENT = "v2"
+#: Changes with any rule, as bits of another version can't be compared.
+VERSION = 1
 
 
 def mask_of(names: tuple[str, ...]) -> int:
@@ -146,7 +148,27 @@ def ablation(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     )
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """The ledger as a table in the shared folder, with the version of the rules that its bits are of: texts are measured once,
+    and policies, ablations and later versions of policies read the table."""
+    return staged(rows.withColumn("rule_version", F.lit(VERSION)), "ledger")
+
+
+def compared(rows: DataFrame, policies: Mapping[str, tuple[str, ...]] = POLICIES) -> DataFrame:
+    """policy, without, n_kept, n_rejected: each policy whole (without is '') and without each of its rules.
+
+    The ledger shrinks to its bit patterns first, and masks meet patterns alone.
+    """
+    patterns = rows.groupBy("fail_bits").agg(F.count("*").alias("n"))
+    masks = [(p, "", mask_of(names)) for p, names in policies.items()]
+    masks += [(p, gone, mask_of(tuple(x for x in names if x != gone))) for p, names in policies.items() for gone in names]
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(w).alias("without"), F.lit(m).cast("long").alias("mask")) for p, w, m in masks]))
+    fails = F.col("fail_bits").bitwiseAND(F.col("m.mask")) != 0
+    both = [F.sum(F.when(x, F.col("n")).otherwise(0)).alias(name) for x, name in ((~fails, "n_kept"), (fails, "n_rejected"))]
+    return patterns.select("fail_bits", "n", each.alias("m")).groupBy("m.policy", "m.without").agg(*both)
+
+
 def kept(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
     """The rows of docs that pass a policy, with the columns of docs."""
     into = f"{OWN}ledger"
-    return with_ledger(docs, text, into).where(passes(policy, F.col(f"{into}.fail_bits"))).select(*docs.columns)
+    return with_ledger(docs, text, into).where(passes(policy, F.col(f"{into}.fail_bits"))).drop(into)

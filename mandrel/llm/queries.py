@@ -26,6 +26,12 @@ def op1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.ablation(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op1_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every policy, and every policy without each of its rules, from one stored ledger: documents that stay and that go."""
+    rows = quality_rules.stored(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    return quality_rules.compared(rows)
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     role = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
@@ -107,7 +113,7 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = f"{OWN}found"
-    rows = decontaminate.with_matches(docs, table(spark, sf_dir, "benchmark"), found)
+    rows = decontaminate.with_matches(docs, table(spark, sf_dir, "benchmark"), found, ranges=False)
     return rows.select("doc_id", *[f"{found}.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256")], decontaminate.is_contaminated(F.col(found)).alias("contaminated"))
 
 
@@ -141,7 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_quality_rules, op2_chat_format, op3_secret_scan, op4_packing, op5_language_id, op6_sharding, op7_html_extract, op8_near_dup, op9_decontaminate,
         op10_quality_classifier, op11_media, op12_fill_middle, op13_ranked_search,
     )
-    return {f.__name__: f for f in (*each, op1_ablation, op3_base_columns, op4_coverage, op6_laws)}
+    return {f.__name__: f for f in (*each, op1_ablation, op1_policies, op3_base_columns, op4_coverage, op6_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
