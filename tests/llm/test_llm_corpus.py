@@ -309,3 +309,21 @@ def test_pipeline_stages(spark, tmp_path):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_names_with_dots_pass_all_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    more = ["meta.lang", "a`b", "text.x", "doc_id.y"]
+    rows = [(k, " ".join(words(rng, 120)) + (" token = abcdef123456" if k == 1 else ""), "en", "s", 1, "m", "n", "o", 7) for k in range(4)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `meta.lang` string, `a``b` string, `text.x` string, `doc_id.y` long"
+    df = docs = spark.createDataFrame([*rows, rows[0]], schema)
+    spark.createDataFrame([(1, " ".join(words(rng, 20)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = stage(spark, df, str(tmp_path))
+        assert df.columns == docs.columns
+        df.write.parquet(f"{tmp_path}/{name}")
+        df = spark.read.parquet(f"{tmp_path}/{name}")
+    assert sorted(r["doc_id"] for r in df.collect()) == [0, 1, 2, 3] and {tuple(r[c] for c in more) for r in df.collect()} == {("m", "n", "o", 7)}
+    assert corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).select("doc_id").distinct().count() == 4
