@@ -67,12 +67,14 @@ class Range:
         counts, norm = counts[order], norm[order]
         self.place = place[order]
         self.score = weights[terms[order]] * ((1_000_000_000 * counts) // (1000 * counts + 8 * norm))
-        self.names, first, row = np.unique(terms[order], return_index=True, return_inverse=True)
-        self.first = np.append(first, len(self.place))
+        self.names, row = np.unique(terms[order], return_inverse=True)
         leaves = -(-len(ids) // LEAF)
         self.levels = [np.zeros((len(self.names), leaves), dtype=np.int64)]
+        key = row * leaves + self.place // LEAF
+        # Where the postings of a term under a leaf begin; those of the next leaf, or term, follow.
+        self.first = np.zeros(len(self.names) * leaves + 1, dtype=np.int32)
+        np.cumsum(np.bincount(key, minlength=len(self.first) - 1), out=self.first[1:])
         if len(self.place):
-            key = row * leaves + self.place // LEAF
             starts = np.flatnonzero(np.diff(key, prepend=-1))
             self.levels[0].reshape(-1)[key[starts]] = np.maximum.reduceat(self.score, starts)
         while self.levels[-1].shape[1] > 1:
@@ -87,15 +89,16 @@ class Range:
         at[at == len(self.names)] = 0
         return at[self.names[at] == terms] if len(self.names) else at[:0]
 
-    def documents(self, rows: np.ndarray, leaf: int) -> Iterator[tuple[int, int]]:
-        """(place, score) of the documents under a leaf that hold a term."""
-        low, total = leaf * LEAF, np.zeros(LEAF, dtype=np.int64)
-        for r in rows[self.levels[0][rows, leaf] > 0].tolist():
-            a, b = self.first[r], self.first[r + 1]
-            a, b = a + np.searchsorted(self.place[a:b], low), a + np.searchsorted(self.place[a:b], low + LEAF)
-            total[self.place[a:b] - low] += self.score[a:b]
-        for k in np.flatnonzero(total).tolist():
-            yield low + k, int(total[k])
+    def documents(self, rows: np.ndarray, leaf: int, least: int) -> Iterator[tuple[int, int]]:
+        """(place, score) of the documents under a leaf that hold a term and reach a score."""
+        at = rows * self.levels[0].shape[1] + leaf
+        starts, sizes = self.first[at], self.first[at + 1] - self.first[at]
+        ends = np.cumsum(sizes)
+        picked = np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
+        total = np.zeros(LEAF, dtype=np.int64)
+        np.add.at(total, self.place[picked] - leaf * LEAF, self.score[picked])
+        for k in np.flatnonzero(total >= max(least, 1)).tolist():
+            yield leaf * LEAF + k, int(total[k])
 
     def search(self, terms: np.ndarray, best: list, k: int = BEST) -> int:
         """Improve a heap of the k best (score, has an id, -id). Gives how many nodes were opened."""
@@ -117,7 +120,7 @@ class Range:
                 for j in np.flatnonzero(sums >= least).tolist():
                     heapq.heappush(nodes, (-int(sums[j]), level - 1, low + j))
                 continue
-            for place, score in self.documents(rows, at):
+            for place, score in self.documents(rows, at, best[0][0] if len(best) == k else 1):
                 name = self.ids[place]
                 found = (score, name is not None, -name if name is not None else 0)
                 if len(best) < k:
