@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from mandrel.functions.normalize import normalize_address, normalize_name
 from mandrel.functions.similarity import JARO_WINKLER, SCORERS, token_set_ratio, vectorised
+from mandrel.session import written
 
 LARGEST = 1000
 WEIGHTS = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5)
@@ -103,28 +104,48 @@ def fold(a: str | Column = "LIFNR_A", b: str | Column = "LIFNR_B") -> Column:
     return (F.conv(F.substring(F.md5(F.concat_ws("|", a, b)), 1, 8), 16, 10).cast("long") % 2).cast("int")
 
 
-def curve(scored: DataFrame, score: str, positives: int | Column, thresholds: Sequence[float] = THRESHOLDS, by: Sequence[str] = ()) -> DataFrame:
-    """Precision and recall at each threshold, from counts of scores between thresholds: one pass, then a running sum over at most len(thresholds) rows for each group."""
+def positives_by_fold(key: DataFrame, identity: str = "LIFNR", group: str = "uei") -> DataFrame:
+    """fold, positives. The fold is a hash of the pair, so the pairs of positive_pairs are enumerated."""
+    return positive_pairs(key, identity, group).groupBy(fold(f"{identity}_A", f"{identity}_B").alias("fold")).agg(F.count("*").alias("positives"))
+
+
+def histogram(scored: DataFrame, scorers: Sequence[str] = tuple(SCORERS), by: Sequence[str] = ()) -> DataFrame:
+    """n pairs by label, by the columns of `by`, and by the exact scores of every scorer and of the address.
+
+    What a threshold, a weight or a scorer does is read from here: pairs are counted once, map-side first, and never multiplied by choices.
+    """
+    return scored.groupBy("label", *by, *[f"name_{s}" for s in scorers], "address_score").agg(F.count("*").alias("n"))
+
+
+def curve(scored: DataFrame, score: str, positives: int | Column, thresholds: Sequence[float] = THRESHOLDS, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
+    """Precision and recall at each threshold, from counts of scores between thresholds: one pass, then a running sum over at most len(thresholds) rows for each group.
+
+    n: the column that says how many pairs a row stands for; without it pairs are counted by exact score first. positives may be a column of `by`.
+    """
+    if not n:
+        scored, n = scored.groupBy("label", *by, score).agg(F.count("*").alias(f"{score}_n")), f"{score}_n"
     steps = F.array(*[F.lit(float(t)) for t in thresholds])
     level = F.size(F.filter(steps, lambda t: t <= F.col(score)))
-    sums = scored.groupBy(*by, level.alias("level")).agg(F.count_if(F.col("label") == "match").alias("m"), F.count_if(F.col("label") == "non_match").alias("x"))
+    of = lambda label, name: F.coalesce(F.sum(F.when(F.col("label") == label, F.col(n))), F.lit(0).cast("long")).alias(name)
+    sums = scored.groupBy(*by, level.alias("level")).agg(of("match", "m"), of("non_match", "x"))
     grid = sums.select(*by).distinct() if by else scored.sparkSession.range(1).drop("id")
     grid = grid.withColumn("s", F.explode(F.transform(steps, lambda t, i: F.struct(t.alias("threshold"), (i + 1).alias("level"))))).select(*by, "s.*")
     rows = grid.join(sums.where("level > 0"), [*by, "level"], "left")
     above = Window.partitionBy(*by).orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select(*by, "threshold", F.coalesce(F.sum("m").over(above), F.lit(0)).alias("tp"), F.coalesce(F.sum("x").over(above), F.lit(0)).alias("fp"))
     p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(F.lit(1.0))
-    n = positives if isinstance(positives, Column) else F.lit(positives)
-    rows = rows.withColumns({"precision": p, "recall": F.when(n > 0, F.col("tp") / n).otherwise(F.lit(0.0))})
+    n_all = positives if isinstance(positives, Column) else F.lit(positives)
+    rows = rows.withColumns({"precision": p, "recall": F.when(n_all > 0, F.col("tp") / n_all).otherwise(F.lit(0.0))})
     both = F.col("precision") + F.col("recall")
     return rows.withColumn("f1", F.when(both > 0, 2 * F.col("precision") * F.col("recall") / both).otherwise(F.lit(0.0)))
 
 
-def grid(scored: DataFrame, positives: int, scorers: Sequence[str] = tuple(SCORERS), weights: Sequence[float] = WEIGHTS) -> DataFrame:
-    """Curves of every scorer and weight at once: scores are exploded, not rescored."""
+def grid(scored: DataFrame, positives: int | Column, scorers: Sequence[str] = tuple(SCORERS), weights: Sequence[float] = WEIGHTS, by: Sequence[str] = ()) -> DataFrame:
+    """Curves of every scorer and weight at once. scored: pairs, or their histogram; only rows of a histogram are read once for each choice."""
+    counted = scored if "n" in scored.columns else histogram(scored, scorers, by)
     each = [F.struct(F.lit(k).alias("choice"), F.lit(s).alias("scorer"), F.lit(w).alias("weight"), combine(s, w).alias("score")) for k, (s, w) in enumerate((s, w) for s in scorers for w in weights)]
-    rows = scored.select("label", F.explode(F.array(*each)).alias("g")).select("label", "g.*")
-    return curve(rows, "score", positives, by=("choice", "scorer", "weight"))
+    rows = counted.select("label", *by, "n", F.explode(F.array(*each)).alias("g")).select("label", *by, "n", "g.*")
+    return curve(rows, "score", positives, by=(*by, "choice", "scorer", "weight"), n="n")
 
 
 def best(curves: DataFrame) -> DataFrame:
@@ -133,12 +154,39 @@ def best(curves: DataFrame) -> DataFrame:
     return curves.agg(F.min_by(F.struct(*curves.columns), order).alias("b")).select("b.*")
 
 
-def tune(scored: DataFrame, positives: int, **kw) -> tuple[str, float, int]:
-    """Scorer, weight and threshold of the greatest F1; ties go to the first choice and then the lowest threshold."""
-    row = best(grid(scored, positives, **kw)).first()
+def tune(scored: DataFrame, positives: int, scorers: Sequence[str] = tuple(SCORERS), weights: Sequence[float] = WEIGHTS) -> tuple[str, float, int]:
+    """Scorer, weight and threshold of the greatest F1; ties go to the first choice and then the lowest threshold. For the dev fold alone, give its rows and its positives."""
+    row = best(grid(scored, positives, scorers, weights)).first()
     return row["scorer"], row["weight"], int(row["threshold"])
 
 
+DEV, TEST = 0, 1
+
+
+def evaluation(counted: DataFrame, positives: dict[int, int], scorers: Sequence[str] = tuple(SCORERS), weights: Sequence[float] = WEIGHTS, baseline: str = "token_set_ratio") -> DataFrame:
+    """What tuning on the dev fold chooses, and how that does on either fold; the same with one scorer alone, as a baseline.
+
+    counted: a histogram by fold. method, scorer, weight, threshold, fold, tp, fp, precision, recall, f1: two rows for each method.
+    """
+    dev = counted.where(F.col("fold") == DEV)
+    out = None
+    for method, names in (("chosen", tuple(scorers)), ("baseline", (baseline,))):
+        scorer, weight, threshold = tune(dev, positives.get(DEV, 0), names, weights)
+        n = F.when(F.col("fold") == DEV, F.lit(positives.get(DEV, 0))).otherwise(F.lit(positives.get(TEST, 0)))
+        at = curve(counted.withColumn("score", combine(scorer, weight)), "score", n, thresholds=(threshold,), by=("fold",), n="n")
+        chosen = [F.lit(method).alias("method"), F.lit(scorer).alias("scorer"), F.lit(weight).alias("weight"), F.lit(threshold).cast("long").alias("threshold")]
+        at = at.select(*chosen, "fold", "tp", "fp", "precision", "recall", "f1")
+        out = at if out is None else out.unionByName(at)
+    return out
+
+
+def evaluated(scored: DataFrame, key: DataFrame, scorers: Sequence[str] = tuple(SCORERS), **kw) -> DataFrame:
+    """evaluation() of labelled, scored pairs: they are read once, for the histogram, which is written."""
+    counted = written(histogram(scored.withColumn("fold", fold()), scorers, ("fold",)), "histogram")
+    positives = {r["fold"]: r["positives"] for r in positives_by_fold(key).collect()}  # two rows
+    return evaluation(counted, positives, scorers, **kw)
+
+
 def candidates(scored: DataFrame, scorer: str, weight: float, threshold: int) -> DataFrame:
     """Pairs near the threshold or above; the flag looks at the score with two digits."""
     rows = scored.withColumn("raw", combine(scorer, weight)).where(F.col("raw") >= threshold - NEAR_MISS)

@@ -241,7 +241,14 @@ class Frames:
         for side in "AB":
             both = both.join(v.select(F.col("LIFNR").alias(f"LIFNR_{side}"), F.col("name_norm").alias(f"n{side}"), F.col("address_norm").alias(f"a{side}")), f"LIFNR_{side}")
         like = lambda a, b: F.lit(100.0) * (1 - F.levenshtein(a, b).cast("double") / F.greatest(F.length(a), F.length(b), F.lit(1)))
-        return both.select("LIFNR_A", "LIFNR_B", "label", like("nA", "nB").alias("name_one"), like("aA", "aB").alias("address_score"))
+        return both.select("LIFNR_A", "LIFNR_B", "label", like("nA", "nB").alias("name_one"), like("aA", "aB").alias("address_score"), F.round(100 * JARO_WINKLER("nA", "nB"), 6).alias("name_two"))
+
+    @property
+    def labelled(self) -> DataFrame:
+        """Blocked pairs with their label, their fold and the real scores."""
+        v = self.parties
+        pairs = matching.label_pairs(matching.candidate_pairs(v), v)
+        return matching.score_pairs(pairs, v).join(pairs, ["LIFNR_A", "LIFNR_B"])
 
 
 # Conformed tables -----------------------------------------------------------------------------------------

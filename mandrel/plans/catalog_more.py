@@ -392,6 +392,29 @@ def tuned(spark, sf_dir):
     return matching.best(matching.grid(f.scored, matching.positives(f.parties), scorers=("one",))).select("weight", F.col("threshold").cast("long").alias("threshold"), "f1")
 
 
+_FOLD = "(concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2)::INT"
+_SQL["folds"] = f"SELECT fold, count(*) AS n FROM (SELECT {_FOLD} AS fold FROM truth) GROUP BY 1"
+_SQL["levels"] = f"""SELECT choice, scorer, w AS weight, {_FOLD} AS fold, label, floor(CASE scorer WHEN 'one' THEN w * name_one ELSE w * round(100 * jaro_winkler_similarity(a.name_norm, b.name_norm), 6) END + v * address_score)::BIGINT AS level, count(*) AS n
+    FROM sc JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B, (VALUES """ + ", ".join(f"({k}, '{s}', {w!r}::DOUBLE, {1 - w!r}::DOUBLE)" for k, (s, w) in enumerate((s, w) for s in ("one", "two") for w in matching.WEIGHTS)) + """) c(choice, scorer, w, v) GROUP BY ALL"""
+_SQL["curves"] = """SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END::DOUBLE AS f1 FROM (SELECT x.*, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 1 END::DOUBLE AS p, coalesce(tp / nullif(n, 0), 0)::DOUBLE AS r FROM
+    (SELECT choice, scorer, weight, fold, t, coalesce(sum(n) FILTER (WHERE label = 'match' AND level >= t), 0)::BIGINT AS tp, coalesce(sum(n) FILTER (WHERE label = 'non_match' AND level >= t), 0)::BIGINT AS fp FROM levels, range(40, 101) x(t) GROUP BY ALL) x LEFT JOIN folds USING (fold))"""
+_SQL["bests"] = """(SELECT 'chosen' AS method, choice, t FROM curves WHERE fold = 0 ORDER BY round(f1, 12) DESC, choice, t LIMIT 1) UNION ALL (SELECT 'baseline', choice, t FROM curves WHERE fold = 0 AND scorer = 'one' ORDER BY round(f1, 12) DESC, choice, t LIMIT 1)"""
+
+
+@query("SELECT method, scorer, weight, t AS threshold, fold, tp, fp, p AS precision, r AS recall, f1 FROM bests JOIN curves USING (choice, t)", "parties", f"{_MATCH} folds levels curves bests")
+def fold_evaluation(spark, sf_dir):
+    """Tuned on the dev fold over scorers that SQL has too, judged on both; from the joint histogram."""
+    f = Frames(spark, sf_dir)
+    return matching.evaluated(f.scored, f.parties, scorers=("one", "two"), baseline="one")
+
+
+@query()
+def wratio_evaluation(spark, sf_dir):
+    """The same with the real scorers."""
+    f = Frames(spark, sf_dir)
+    return matching.evaluated(f.labelled, f.parties)
+
+
 _SQL["strata"] = """SELECT LIFNR_A, LIFNR_B, CASE WHEN a.name_norm = b.name_norm AND label <> 'match' THEN 'same_name' WHEN a.name_norm <> b.name_norm AND name_one BETWEEN 60 AND 72 THEN 'near_threshold' WHEN label = 'match' AND name_one < 66 THEN 'missed' WHEN label = 'related' AND name_one >= 66 THEN 'related' END AS stratum
     FROM sc JOIN pv a ON a.LIFNR = LIFNR_A JOIN pv b ON b.LIFNR = LIFNR_B"""
 

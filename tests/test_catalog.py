@@ -8,7 +8,7 @@ import __spark_entry__
 from mandrel.plans import adapters, catalog
 
 SMALL = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"wratio_scores", "fellegi_sunter", "fingerprint"}
+WITHOUT_SQL = {"wratio_scores", "wratio_evaluation", "fellegi_sunter", "fingerprint"}
 
 
 def test_every_query_has_an_oracle_or_is_listed():
@@ -21,7 +21,7 @@ def test_shapes_are_stated_before_they_are_used():
     assert adapters.closed(["b_acdoca"]) == ["b_events", "b_acdoca"]
 
 
-@pytest.mark.parametrize("name", ["vendor_conformed", "scd2_bank", "rule_r03_shared_bank", "pair_stats", "latest_version", "block_stats", "jw_scores", "crosstab_labels", "pr_curve", "match_weights", "tuned", "controls_feed", "bank_feed_stream", "bank_history_by_batches", "evidence_r08", "serve_controls_history", "invoice_runs", "fingerprint_md5"])
+@pytest.mark.parametrize("name", ["vendor_conformed", "scd2_bank", "rule_r03_shared_bank", "pair_stats", "latest_version", "block_stats", "jw_scores", "crosstab_labels", "pr_curve", "match_weights", "tuned", "fold_evaluation", "controls_feed", "bank_feed_stream", "bank_history_by_batches", "evidence_r08", "serve_controls_history", "invoice_runs", "fingerprint_md5"])
 def test_queries_equal_their_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     c = duckdb.connect()

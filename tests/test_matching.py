@@ -1,3 +1,4 @@
+import random
 import zipfile
 
 import pytest
@@ -69,6 +70,40 @@ def test_tune_prefers_the_first_choice_and_the_lowest_threshold(spark):
     assert m.tune(s, 1) == ("token_set_ratio", 1.0, 41)
 
 
+def slow_tune(rows, positives, scorers):
+    best = None
+    for k, (s, w) in enumerate((s, w) for s in scorers for w in m.WEIGHTS):
+        for t in m.THRESHOLDS:
+            hits = [label for label, name, address in rows if w * name[s] + (1 - w) * address >= t]
+            tp, fp = hits.count("match"), hits.count("non_match")
+            p, r = tp / (tp + fp) if tp + fp else 1.0, tp / positives if positives else 0.0
+            f1 = 2 * p * r / (p + r) if p + r else 0.0
+            if best is None or round(f1, 12) > best[0]:
+                best = (round(f1, 12), s, w, t)
+    return best[1:]
+
+
+def test_histogram_tells_what_pairs_tell(spark):
+    rng = random.Random(5)
+    names = ["RED SKY INC", "RED SKY", "SKY RED INC", "BLUE BARN CO", "BLUE BARNS CO", "GREEN", "RED SKY INTERNATIONAL MARINE"]
+    v = m.block_keys(spark.createDataFrame([(f"{k:03d}", rng.choice(names), rng.choice(["1 MAIN ST", "2 MAIN ST", "9 ELM AVE"]), "VA", "22101", f"u{rng.randint(0, 14)}", rng.choice(["", "p"])) for k in range(45)], "LIFNR string, name_norm string, address_norm string, state string, zip5 string, uei string, parent_uei string"))
+    pairs = m.label_pairs(m.candidate_pairs(v), v)
+    scored = m.score_pairs(pairs, v).join(pairs, ["LIFNR_A", "LIFNR_B"]).withColumn("fold", m.fold()).cache()
+    counted = m.histogram(scored, by=("fold",))
+    assert counted.count() < scored.count() / 2 and counted.agg(F.sum("n")).first()[0] == scored.count()
+    positives = {r["fold"]: r.positives for r in m.positives_by_fold(v).collect()}
+    assert sum(positives.values()) == m.positives(v)
+    rows = {f: [(r.label, {"token_set_ratio": r.name_token_set_ratio, "WRatio": r.name_WRatio}, r.address_score) for r in scored.collect() if r["fold"] == f] for f in (0, 1)}
+    assert m.tune(counted.where("fold = 0"), positives[0]) == m.tune(scored.where("fold = 0"), positives[0]) == slow_tune(rows[0], positives[0], ("token_set_ratio", "WRatio"))
+    got = {(r.method, r["fold"]): r for r in m.evaluated(scored.drop("fold"), v).collect()}
+    assert set(got) == {("chosen", 0), ("chosen", 1), ("baseline", 0), ("baseline", 1)}
+    for (method, f), r in got.items():
+        scorer, weight, threshold = slow_tune(rows[0], positives[0], ("token_set_ratio", "WRatio") if method == "chosen" else ("token_set_ratio",))
+        hits = [label for label, name, address in rows[f] if weight * name[scorer] + (1 - weight) * address >= threshold]
+        assert (r.scorer, r.weight, r.threshold, r.tp, r.fp) == (scorer, weight, threshold, hits.count("match"), hits.count("non_match"))
+        assert r.recall == pytest.approx(hits.count("match") / positives[f])
+
+
 def test_fold_is_fixed_and_even(spark):
     df = spark.range(4000).select(F.col("id").cast("string").alias("LIFNR_A"), (F.col("id") + 1).cast("string").alias("LIFNR_B"))
     share = df.select(F.avg(m.fold())).first()[0]
