@@ -130,7 +130,7 @@ def curve(scored: DataFrame, score: str, positives: int | Column, thresholds: Se
     sums = scored.groupBy(*by, level.alias("level")).agg(of("match", "m"), of("non_match", "x"))
     grid = sums.select(*by).distinct() if by else scored.sparkSession.range(1).drop("id")
     grid = grid.withColumn("s", F.explode(F.transform(steps, lambda t, i: F.struct(t.alias("threshold"), (i + 1).alias("level"))))).select(*by, "s.*")
-    rows = grid.join(sums.where("level > 0"), [*by, "level"], "left")
+    rows = grid.join(sums, [*by, "level"], "left")  # level 0 is no step of the grid
     above = Window.partitionBy(*by).orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select(*by, "threshold", F.coalesce(F.sum("m").over(above), F.lit(0)).alias("tp"), F.coalesce(F.sum("x").over(above), F.lit(0)).alias("fp"))
     p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(F.lit(1.0))
