@@ -55,27 +55,35 @@ class Checked:
         return spark.createDataFrame(rows, "dataset string, expectation string, action string, passed long, failed long")
 
 
+def counted(rules: list[Expectation]) -> list[Column]:
+    """Aggregates: rows, and the violations of every rule."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(~r.holds()).alias(f"v{k}") for k, r in enumerate(rules)]]
+
+
+def enforced(df: DataFrame, rules: list[Expectation], dataset: str = "") -> DataFrame:
+    """Stop on rules that must not fail, then drop rows that break a drop rule; warnings change nothing."""
+    columns = df.columns
+    for r in rules:
+        if r.action == FAIL:
+            stop = F.raise_error(F.lit(f"expectation {r.name} of {dataset or 'dataset'} failed: {r.predicate}")).cast("boolean")
+            df = df.where(F.when(r.holds(), F.lit(True)).otherwise(stop))
+    for r in rules:
+        if r.action == DROP:
+            df = df.where(r.holds())
+    return df.select(*columns)
+
+
 def guarded(df: DataFrame, rules: list[Expectation], dataset: str = "") -> Checked:
     """Count violations of every rule, stop on those that must not fail, drop rows that break a drop rule."""
     if not rules:
         return Checked(dataset, df, rules)
-    columns = df.columns
     seen = Observation()
-    counts = [F.count_if(~r.holds()).alias(f"v{k}") for k, r in enumerate(rules)]
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
-    for r in rules:
-        if r.action == FAIL:
-            stop = F.raise_error(F.lit(f"expectation {r.name} of {dataset or 'dataset'} failed: {r.predicate}")).cast("boolean")
-            out = out.where(F.when(r.holds(), F.lit(True)).otherwise(stop))
-    dropped = [r.holds() for r in rules if r.action == DROP]
-    for keeps in dropped:
-        out = out.where(keeps)
-    return Checked(dataset, out.select(*columns), rules, seen)
+    return Checked(dataset, enforced(df.observe(seen, *counted(rules)), rules, dataset), rules, seen)
 
 
 def violations(df: DataFrame, rules: list[Expectation], dataset: str = "") -> DataFrame:
     """The same counts as one lazy query: a single pass, then one row for each rule."""
-    sums = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(~r.holds()).alias(f"v{k}") for k, r in enumerate(rules)])
+    sums = df.agg(*counted(rules))
     each = [F.struct(F.lit(r.name).alias("expectation"), F.lit(r.action).alias("action"), F.col(f"v{k}").alias("failed")) for k, r in enumerate(rules)]
     rows = sums.select("rows", F.explode(F.array(*each)).alias("e"))
     return rows.select(F.lit(dataset).alias("dataset"), "e.expectation", "e.action", (F.col("rows") - F.col("e.failed")).alias("passed"), "e.failed")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mandrel.operators import feeds, matching, payrun, rules, verify
+from mandrel.operators.expectations import expect, expect_or_drop, expect_or_fail
 from mandrel.operators.scd2 import END, START, scd2
 from mandrel.plans import serving
 from mandrel.plans.adapters import shape
@@ -16,7 +17,8 @@ from mandrel.plans.catalog import _ALL, _LINES, _MATCH, _RAW, _SQL, _TS, Frames,
 from mandrel.session import shared_folder, written
 from mandrel.sources import archives
 from mandrel.streaming import ingest
-from mandrel.streaming.cdc import History
+from mandrel.streaming.eventlog import EventLog
+from mandrel.streaming.state import History
 
 # Change documents -----------------------------------------------------------------------------------------
 
@@ -120,16 +122,37 @@ def controls_history_of_documents(spark, sf_dir):
 
 @query(f"SELECT LIFNR, BANKS, BANKL, BANKN, CHANGENR, source, changed_by, {_at('change_ts')} AS valid_from, {_at('until_ts')} AS valid_to FROM bhist", _DOCS, "items first bfeed bhist")
 def bank_history_by_batches(spark, sf_dir):
-    """The history kept up to date batch by batch, each rewriting the buckets that it touches; a batch comes twice."""
+    """The history as keyed state of a stream: files in three lots, not in the order of their events, one lot twice, and a restart between them."""
     feed = written(Documents(spark, sf_dir).bank_feed, "feed")
-    h = History(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}", feeds.BANK_KEYS, feeds.BANK_SEQUENCE, feeds.BANK_TRACKED)
+    root = f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
+    h = History(spark, root, feeds.BANK_KEYS, feeds.BANK_SEQUENCE, feeds.BANK_TRACKED)
     lot = F.pmod(F.xxhash64("CHANGENR"), F.lit(3))
     for batch in (0, 1, 1, 2):
-        h.apply(feed.where(lot == batch), batch)
-    rows = h.read().withColumns({"valid_from": F.col(f"{START}.change_ts"), "valid_to": F.col(f"{END}.change_ts")})
+        feed.where(lot == batch).write.mode("append").parquet(f"{root}/inbox")
+        h.follow(spark.readStream.schema(feed.schema).parquet(f"{root}/inbox"))
+    rows = h.read(feed.schema).withColumns({"valid_from": F.col(f"{START}.change_ts"), "valid_to": F.col(f"{END}.change_ts")})
     return _said(rows, "valid_from", "valid_to").select("LIFNR", "BANKS", "BANKL", "BANKN", "CHANGENR", "source", "changed_by", "valid_from", "valid_to")
 
 
+_CHECKS = [*expect("solvent", "c_acctbal >= 0"), *expect_or_drop("known_segment", "c_mktsegment IN ('BUILDING', 'MACHINERY')"), *expect_or_fail("has_key", "c_custkey IS NOT NULL")]
+
+
+@query(
+    """SELECT 'customer' AS dataset, expectation, action, lot AS batch, count(*) FILTER (WHERE ok) AS passed, count(*) FILTER (WHERE NOT ok) AS failed FROM (SELECT c_custkey % 3 AS lot, unnest([{'expectation': 'solvent', 'action': 'warn', 'ok': coalesce(c_acctbal >= 0, false)},
+    {'expectation': 'known_segment', 'action': 'drop', 'ok': coalesce(c_mktsegment IN ('BUILDING', 'MACHINERY'), false)}, {'expectation': 'has_key', 'action': 'fail', 'ok': c_custkey IS NOT NULL}], recursive := true) FROM customer) GROUP BY ALL"""
+)
+def stream_expectations(spark, sf_dir):
+    """Counts of every expectation by micro-batch, from the event log of a guarded stream; three lots arrive in turn."""
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    root = f"{shared_folder(spark)}/guarded-{uuid.uuid4().hex}"
+    with EventLog(spark, f"{root}/log") as log:
+        for lot in range(3):
+            rows.where(F.col("c_custkey") % 3 == lot).write.mode("append").parquet(f"{root}/inbox")
+            checked = log.guarded(spark.readStream.schema(rows.schema).parquet(f"{root}/inbox"), _CHECKS, "customer")
+            log.finish(ingest.run(checked, f"{root}/out", f"{root}/checkpoint"))
+        return log.read()
+
+
 # Evidence -------------------------------------------------------------------------------------------------
 
 

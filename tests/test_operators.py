@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from mandrel.operators import feeds, rules, temporal, verify
 from mandrel.operators.expectations import expect, expect_or_drop, expect_or_fail, guarded, violations
 from mandrel.operators.scd2 import END, START, current, scd2
-from mandrel.streaming.cdc import History
 
 D = date
 
@@ -156,26 +155,6 @@ def test_sparse_dates_by_brute_force(spark):
     assert [r[0] for r in temporal.spine(spine).collect()] == days
 
 
-def test_history_survives_a_crash(spark, tmp_path, monkeypatch):
-    """A batch that dies before its marker changes nothing that is read, and comes again whole."""
-    from mandrel.streaming import cdc
-
-    feed = spark.createDataFrame([(f"v{k % 5}", str(k // 7), t(1 + k % 20), str(k)) for k in range(60)], "k string, v string, at timestamp, nr string")
-    part = lambda n: feed.where(F.col("nr").cast("int") % 3 == n)
-    h = History(spark, str(tmp_path / "h"), ["k"], ["at", "nr"], ["v"], buckets=4)
-    h.apply(part(0), 0)
-    before = sorted(map(str, h.read().collect()))
-    real = cdc.write_text
-    monkeypatch.setattr(cdc, "write_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
-    with pytest.raises(OSError, match="lost"):
-        h.apply(part(1), 1)
-    assert sorted(map(str, h.read().collect())) == before
-    monkeypatch.setattr(cdc, "write_text", real)
-    for batch in (1, 1, 2):
-        h.apply(part(batch), batch)
-    assert sorted(map(str, h.read().collect())) == sorted(map(str, scd2(feed, ["k"], ["at", "nr"], ["v"]).collect()))
-
-
 def test_catalog_listing(spark):
     for name in ("silver_x", "silver_y", "gold_z"):
         spark.range(1).createOrReplaceTempView(name)
