@@ -15,7 +15,7 @@ from mandrel.plans import serving
 from mandrel.plans.adapters import shape
 from mandrel.plans.catalog import _ALL, _LINES, _MATCH, _RAW, _SQL, _TS, Frames, _address, _name, query
 from mandrel.session import shared_folder, written
-from mandrel.sources import archives
+from mandrel.sources import archives, zipped
 from mandrel.streaming import ingest
 from mandrel.streaming.eventlog import EventLog
 from mandrel.streaming.state import History
@@ -486,6 +486,18 @@ def vendors_of_transactions(spark, sf_dir):
     return archives.vendors(shape(spark, sf_dir, "p_tx"))
 
 
+@query("SELECT uei, name_raw, dba_name, parent_uei, parent_name_raw, address_line_1, city, state, zip, country, 'FY' || (o % 3)::VARCHAR AS source_file, count(*) AS n FROM (SELECT *, right(source_file, 1)::INT AS o FROM p_tx) GROUP BY ALL", "p_tx")
+def transactions_of_archives(spark, sf_dir):
+    """Transactions written as archives of three years, each with its own headers, and read back by the data source for zipped files."""
+    tx = shape(spark, sf_dir, "p_tx").withColumn("year", F.right("source_file", F.lit(1)).cast("int") % 3)
+    folder = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    for year in range(3):
+        headers = {ours: names[min(year, len(names) - 1)] for ours, names in archives.HEADERS.items() if year < 2 or ours not in ("dba_name", "parent_name_raw")}
+        zipped.pack(tx.where(F.col("year") == year), folder, headers, f"FY{year}_Full")
+    rows = archives.transactions(spark, folder)
+    return rows.withColumn("source_file", F.substring("source_file", 1, 3)).groupBy(*archives.HEADERS, "source_file").agg(F.count("*").alias("n"))
+
+
 # Checks ---------------------------------------------------------------------------------------------------
 
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Mapping
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mandrel.functions.normalize import normalize_address, normalize_name, zip5
 from mandrel.session import written
+from mandrel.sources import zipped
 
 #: Our column, then the headers it may have; the first that is there counts.
 HEADERS: Mapping[str, tuple[str, ...]] = {
@@ -31,41 +30,9 @@ NEEDED = frozenset({"uei", "name_raw", "address_line_1", "city", "state", "zip"}
 HIDDEN = "REDACTED|MULTIPLE RECIPIENTS|PRIVATE INDIVIDUAL|INDIVIDUAL RECIPIENT"
 
 
-def resolve(headers: list[str]) -> dict[str, str]:
-    """Our columns and the header each comes from; ValueError if a needed one has none."""
-    there = set(headers)
-    found = {ours: hit for ours, names in HEADERS.items() for hit in [next(filter(there.__contains__, names), None)] if hit}
-    if lacking := sorted(NEEDED - set(found)):
-        raise ValueError(f"no header for {', '.join(lacking)}")
-    return found
-
-
-def unpack(folder: str, into: str, pattern: str = "FY*_Full_*.zip") -> list[str]:
-    """CSV members of every archive, each under a folder that carries the archive's name."""
-    out = []
-    for archive in sorted(Path(folder).glob(pattern)):
-        with zipfile.ZipFile(archive) as z:
-            for member in (m for m in z.namelist() if m.endswith(".csv")):
-                out.append(z.extract(member, f"{into}/{archive.name}"))
-    return out
-
-
-def transactions(spark: SparkSession, files: list[str]) -> DataFrame:
-    """All members, all columns text, absent columns ''."""
-    frames = []
-    for f in files:
-        raw = spark.read.csv(f, header=True, multiLine=True, escape='"')
-        names = resolve(raw.columns)
-        origin = F.element_at(F.split(F.input_file_name(), "/"), -2)
-        frames.append(raw.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(c) for c, h in names.items()], origin.alias("source_file")))
-    if not frames:
-        raise ValueError("no archive members")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    for c in HEADERS:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit("")) if c in out.columns else F.lit(""))
-    return out
+def transactions(spark: SparkSession, folder: str, pattern: str = "FY*_Full_*.zip") -> DataFrame:
+    """All members of the archives of a folder, all columns text, absent columns ''. source_file is the archive's name."""
+    return zipped.read(spark, folder, dict(HEADERS), NEEDED, pattern)
 
 
 KEY = ["uei", "name_raw", "address_norm"]

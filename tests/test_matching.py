@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mandrel.operators import matching as m
-from mandrel.sources import archives
+from mandrel.sources import archives, zipped
 
 
 @pytest.fixture(scope="module")
@@ -155,8 +155,7 @@ def master(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("zips")
     with zipfile.ZipFile(folder / "FY2025_014_Contracts_Full_1.zip", "w") as z:
         z.writestr("part.csv", f"{HEADER}\n{ROWS}\n")
-    files = archives.unpack(str(folder), str(folder / "out"))
-    return archives.vendors(archives.transactions(spark, files)).cache()
+    return archives.vendors(archives.transactions(spark, str(folder))).cache()
 
 
 def test_archives_become_vendors(master):
@@ -239,6 +238,37 @@ def test_vendor_file_has_no_key(spark, master, tmp_path):
 
 
 def test_headers_resolve_or_fail():
-    assert archives.resolve(HEADER.split(","))["parent_name_raw"] == "recipient_parent_name"
+    of = lambda line: zipped.resolved(line.split(","), archives.HEADERS, archives.NEEDED)
+    assert of(HEADER)["parent_name_raw"] == "recipient_parent_name"
+    assert of("recipient_zip_code,recipient_zip_4_code," + HEADER)["zip"] == "recipient_zip_4_code"
     with pytest.raises(ValueError, match="uei"):
-        archives.resolve(["recipient_name_raw"])
+        of("recipient_name_raw")
+
+
+def test_members_are_partitions(spark, tmp_path):
+    heads = HEADER.split(",")
+    other = [h.replace("recipient_zip_code", "recipient_zip_4_code") for h in heads if h != "recipient_doing_business_as_name"][::-1]
+    with zipfile.ZipFile(tmp_path / "FY1_Full_a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("one.csv", "\ufeff" + HEADER + '\nU1,"Acme, ""The"" Inc",dba,,,"1 Main\nSt",T,VA,22101,USA\n\nU2,short\n')
+        z.writestr("two.csv", ",".join(other).encode() + b"\nUSA,22102,VA,T,2 Oak,,P,B\xffd,U3\n")
+        z.writestr("readme.txt", "no table")
+    with zipfile.ZipFile(tmp_path / "FY2_Full_b.zip", "w") as z:
+        z.writestr("empty.csv", HEADER + "\n")
+        z.writestr("in/three.csv", HEADER + "\n" + "\n".join(f"V{k},N,,,,A,T,VA,1,USA" for k in range(20_000)))
+    zipfile.ZipFile(tmp_path / "other.zip", "w").close()
+    for folder in (str(tmp_path), f"file://{tmp_path}"):
+        df = archives.transactions(spark, folder)
+        assert df.rdd.getNumPartitions() == 4 and df.count() == 20_003
+        rows = {r.uei: r for r in df.where("uei NOT LIKE 'V%'").collect()}
+        assert (rows["U1"].name_raw, rows["U1"].address_line_1, rows["U1"].zip, rows["U1"].source_file) == ('Acme, "The" Inc', "1 Main\nSt", "22101", "FY1_Full_a.zip")
+        assert rows["U2"].name_raw == "short" and rows["U2"].city == "" and set(df.columns) == {*archives.HEADERS, "source_file"}
+        assert (rows["U3"].name_raw, rows["U3"].zip, rows["U3"].dba_name, rows["U3"].country) == ("B\ufffdd", "22102", "", "USA")
+
+
+def test_archives_without_what_is_needed(spark, tmp_path):
+    with pytest.raises(Exception, match="no archive members"):
+        archives.transactions(spark, str(tmp_path)).count()
+    with zipfile.ZipFile(tmp_path / "FY1_Full_a.zip", "w") as z:
+        z.writestr("one.csv", "recipient_name_raw\nx\n")
+    with pytest.raises(Exception, match="no header for"):
+        archives.transactions(spark, str(tmp_path)).count()
