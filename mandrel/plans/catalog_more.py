@@ -156,6 +156,10 @@ def stream_expectations(spark, sf_dir):
 # Evidence -------------------------------------------------------------------------------------------------
 
 
+#: SQL of each rule's evidence, the tables it needs, and its exact amounts.
+_TOLD: dict[str, tuple[str, str, str]] = {}
+
+
 def _evidence(k: int, name: str, fields: dict[str, str], oracle: str, also: str, money: str = "") -> None:
     """Evidence is JSON text; its fields are compared, each as its type, not its spelling."""
 
@@ -170,6 +174,7 @@ def _evidence(k: int, name: str, fields: dict[str, str], oracle: str, also: str,
 
     run.__name__ = name
     query(oracle, _RAW, also, money)(run)
+    _TOLD[f"R0{k}"] = (oracle, also, money)
 
 
 _evidence(
@@ -178,6 +183,19 @@ _evidence(
     LATERAL (SELECT m.LIFNR_A AS LIFNR, m.LIFNR_B AS other, b.NAME1 AS nm UNION ALL SELECT m.LIFNR_B, m.LIFNR_A, a.NAME1) s WHERE m.above_threshold""",
     f"s_vendor {_LINES} active",
 )
+_evidence(
+    2, "evidence_r02",
+    {
+        "first_change_ts": "time", "first_by": "string", "first_changenr": "string", "original_bankn": "string", "temporary_bankn": "string", "payment_belnr": "string", "payment_date": "date", "payment_amount": "decimal(33,2)",
+        "second_change_ts": "time", "second_by": "string", "second_changenr": "string", "reverted_to_original": "boolean",
+    },
+    f"""SELECT d.extract_date, LIFNR, BUKRS, {_at('ts')} AS first_change_ts, changed_by AS first_by, CHANGENR AS first_changenr, prev AS original_bankn, BANKN AS temporary_bankn, belnr AS payment_belnr, pdate AS payment_date,
+    amount AS payment_amount, {_at('nts')} AS second_change_ts, nby AS second_by, nnr AS second_changenr, nbank = prev AS reverted_to_original
+    FROM (SELECT c.LIFNR, ts, changed_by, CHANGENR, BANKN, prev, nts, nby, nnr, nbank, min(p.BUKRS) AS BUKRS, min(p.BELNR) AS belnr, min(p.BUDAT) AS pdate, sum(p.HSL) AS amount
+          FROM chg c JOIN s_pay p ON p.LIFNR = c.LIFNR AND p.BUDAT BETWEEN ts::DATE AND nts::DATE WHERE nts <= ts + INTERVAL 2 DAY GROUP BY ALL) h
+    JOIN dates d ON nts::DATE <= d.extract_date AND nts::DATE + 10 >= d.extract_date""",
+    f"{_LINES} hist chg", "payment_amount",
+)
 _evidence(
     3, "evidence_r03", {"BANKS": "string", "BANKL": "string", "BANKN": "string", "holders": "list", "group_has_employee": "boolean"},
     """SELECT b.extract_date, b.LIFNR, '' AS BUKRS, b.BANKS, b.BANKL, b.BANKN, array_to_string(holders, ',') AS holders, emp AS group_has_employee
@@ -207,6 +225,24 @@ _evidence(
     f"{_LINES} hist chg r08x", "paid_amount",
 )
 
+def _typed_sql() -> str:
+    parts = []
+    for rule, (oracle, _, money) in sorted(_TOLD.items()):
+        names = [c for c in rules.EVIDENCE[rule]]
+        each = ", ".join(f"{c}{'::DOUBLE' if c in money.split() else ''} AS {rule.lower()}_{c}" for c in names)
+        parts.append(f"SELECT extract_date, '{rule}' AS rule_id, LIFNR, BUKRS, {each} FROM ({oracle})")
+    return " UNION ALL BY NAME ".join(parts)
+
+
+@query(_typed_sql(), _RAW, " ".join(dict.fromkeys(" ".join(also for _, also, _ in _TOLD.values()).split())))
+def evidence_typed(spark, sf_dir):
+    """The evidence of all eight rules from one variant column, by typed paths."""
+    rows = rules.typed_evidence(Frames(spark, sf_dir).exceptions)
+    shown = {"array<string>": lambda c: F.array_join(c, ","), "timestamp": lambda c: F.date_format(c, _TS), "decimal(33,2)": lambda c: c.cast("double")}
+    each = [shown.get(kind, lambda c: c)(F.col(f"{rule}.{name}")).alias(f"{rule.lower()}_{name}") for rule, held in rules.EVIDENCE.items() for name, kind in held.items()]
+    return rows.select("extract_date", "rule_id", "LIFNR", "BUKRS", *each)
+
+
 # Serving --------------------------------------------------------------------------------------------------
 
 _SQL |= {
