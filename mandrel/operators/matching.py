@@ -61,6 +61,49 @@ def candidate_pairs(v: DataFrame, identity: str = "LIFNR", passes: Sequence[str]
     return out.distinct()
 
 
+def skipped_members(v: DataFrame, identity: str = "LIFNR", passes: Sequence[str] = ("area", "first_token"), largest: int = LARGEST, name: str = "name_norm") -> DataFrame:
+    """Members of the blocks that candidate_pairs skips: pass, key, identity, words (distinct, sorted) of the name. A name without words is left out."""
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce(name, F.lit("")), " "), lambda w: w != "")))
+    keys = F.explode(F.array(*[F.struct(F.lit(p).alias("pass"), F.col(p).alias("key")) for p in passes]))
+    rows = v.select(F.col(identity), words.alias("words"), keys.alias("b")).select(identity, "words", "b.*").where((F.col("key") != "") & (F.size("words") > 0))
+    return rows.join(blocks(v, passes, largest).where("skipped").select("pass", "key"), ["pass", "key"])
+
+
+def similar_names(members: DataFrame, percent: int = 60) -> DataFrame:
+    """pass, key, words_A, words_B, both, either: sets of words in one block whose Jaccard similarity is `percent` or more, exactly; a set
+    that several members have is one row, and meets itself.
+
+    Sets are compared by prefix and length: with its words in order of rarity, a set shares one of its first
+    size - ceil(percent * size / 100) + 1 words with any set that is as similar, and no set less than `percent` of its size is. Only sets that
+    meet by a rare word are compared, so a block costs what its similar names cost, not the square of its members.
+    """
+    sets = members.select("pass", "key", "words").distinct()
+    word = sets.select("pass", "key", "words", F.explode("words").alias("word"))
+    rarity = word.groupBy("pass", "key", "word").agg(F.count("*").alias("n"))
+    ranked = word.join(rarity, ["pass", "key", "word"]).groupBy("pass", "key", "words").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("r"))
+    size = F.size("words")
+    prefix = (size - F.floor((percent * size + 99) / 100) + 1).cast("int")
+    probe = ranked.select("pass", "key", "words", size.alias("size"), F.explode(F.transform(F.slice("r", F.lit(1), prefix), lambda x: x["word"])).alias("word"))
+    a, b = (probe.select("pass", "key", "word", F.col("words").alias(f"words_{x}"), F.col("size").alias(f"size_{x}")) for x in "AB")
+    near = (100 * F.least("size_A", "size_B") >= percent * F.greatest("size_A", "size_B")) & (F.array_join("words_A", " ") < F.array_join("words_B", " "))
+    met = a.join(b, ["pass", "key", "word"]).where(near).select("pass", "key", "words_A", "words_B").distinct()
+    both = F.size(F.array_intersect("words_A", "words_B"))
+    met = met.withColumns({"both": both, "either": F.size("words_A") + F.size("words_B") - both}).where(100 * F.col("both") >= percent * F.col("either"))
+    same = sets.select("pass", "key", F.col("words").alias("words_A"), F.col("words").alias("words_B"), size.alias("both"), size.alias("either"))
+    return met.unionByName(same)
+
+
+def pairs_of_skipped(v: DataFrame, percent: int = 60, identity: str = "LIFNR", passes: Sequence[str] = ("area", "first_token"), largest: int = LARGEST) -> DataFrame:
+    """Distinct pairs of skipped blocks with similar names, with their similarity; beside candidate_pairs, whose cap stays."""
+    members = written(skipped_members(v, identity, passes, largest), "skipped")
+    out = similar_names(members, percent)
+    for side in "AB":
+        out = out.join(members.select("pass", "key", F.col("words").alias(f"words_{side}"), F.col(identity).alias(f"{identity}_{side}")), ["pass", "key", f"words_{side}"])
+    a, b = F.least(f"{identity}_A", f"{identity}_B"), F.greatest(f"{identity}_A", f"{identity}_B")
+    # Of a set that meets itself each pair comes from both sides; of different sets it comes once for each block.
+    return out.where(a != b).select(a.alias(f"{identity}_A"), b.alias(f"{identity}_B"), (F.col("both") / F.col("either")).alias("similarity")).distinct()
+
+
 def _both(pairs: DataFrame, v: DataFrame, columns: Sequence[str]) -> DataFrame:
     for side in "AB":
         pairs = pairs.join(v.select(F.col("LIFNR").alias(f"LIFNR_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns]), f"LIFNR_{side}")

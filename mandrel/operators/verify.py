@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mandrel.streaming.ingest import delete, exists, names
+
 
 def counted(columns: Sequence[str]) -> list[str]:
     """Columns that a fingerprint covers: load metadata (one underscore) is left out, history ends (two) stay."""
@@ -29,6 +31,57 @@ def fingerprints(tables: Mapping[str, DataFrame]) -> dict[str, tuple[int, str]]:
     return {name: (r["n"], str(r["h"])) for name, df in tables.items() for r in fingerprint(df).collect()}
 
 
+def digests(df: DataFrame, part: str = "extract_date", row_hash: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """part, n, h: the fingerprint of each part of a table, by partial sums; a row for each part."""
+    h = row_hash(*counted(df.columns)).cast("decimal(38,0)")
+    return df.select(F.col(part).alias("part"), h.alias("h")).groupBy("part").agg(F.count("*").alias("n"), F.sum("h").alias("h"))
+
+
+def combined(parts: DataFrame) -> DataFrame:
+    """n, h: one fingerprint from those of the parts; equal tables have equal ones, and the table isn't read."""
+    h = F.xxhash64(F.col("part").cast("string"), "n", F.col("h").cast("string")).cast("decimal(38,0)")
+    return parts.select("n", h.alias("h")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("h").alias("h"))
+
+
+def differing(before: DataFrame, after: DataFrame) -> DataFrame:
+    """part, n_before, n_after: parts whose digests differ or that one side lacks, from digests alone."""
+    a, b = (df.select("part", F.col("n").alias(f"n_{name}"), F.col("h").alias(f"h_{name}")) for df, name in ((before, "before"), (after, "after")))
+    rows = a.join(b, a["part"].eqNullSafe(b["part"]), "full")
+    same = F.col("n_before").eqNullSafe(F.col("n_after")) & F.col("h_before").eqNullSafe(F.col("h_after"))
+    return rows.where(~same).select(F.coalesce(a["part"], b["part"]).alias("part"), "n_before", "n_after")
+
+
+class Digests:
+    """Digests of tables, kept by part. A change of some parts is recorded by reading these parts alone, and a comparison reads no table."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def record(self, name: str, df: DataFrame, part: str = "extract_date", only: Sequence | None = None) -> None:
+        """All parts, or those in `only`; of these, parts that are no longer there go."""
+        rows = digests(df if only is None else df.where(F.col(part).isin(list(only))), part)
+        if only is not None:
+            rows = rows.unionByName(self.read(name).where(~F.coalesce(F.col("part").isin(list(only)), F.lit(False))))
+        # A number for each state: the last whole one counts, so a crash leaves the one before.
+        state = max(self._states(name), default=-1) + 1
+        rows.coalesce(1).write.parquet(f"{self.root}/{name}/state={state}")  # a row for each part
+        for old in self._states(name):
+            if old < state - 1:
+                delete(self.spark, f"{self.root}/{name}/state={old}")
+
+    def _states(self, name: str) -> list[int]:
+        found = [n for n in names(self.spark, f"{self.root}/{name}") if exists(self.spark, f"{self.root}/{name}/{n}/_SUCCESS")]
+        return [int(n.split("=")[1]) for n in found]
+
+    def read(self, name: str, back: int = 0) -> DataFrame:
+        """The last digests, or those `back` records before; only one is kept."""
+        return self.spark.read.parquet(f"{self.root}/{name}/state={max(self._states(name)) - back}")
+
+    def changed(self, name: str) -> DataFrame:
+        """What the last record changed."""
+        return differing(self.read(name, 1), self.read(name))
+
+
 def listed(spark: SparkSession, prefix: str = "") -> list[str]:
     """Names of the catalog's tables and views that begin with a prefix."""
     return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(prefix))

@@ -451,6 +451,16 @@ def tuned(spark, sf_dir):
     return matching.best(matching.grid(f.scored, matching.positives(f.parties), scorers=("one",))).select("weight", F.col("threshold").cast("long").alias("threshold"), "f1")
 
 
+_SQL["big"] = "SELECT pass, key, LIFNR, list_sort(list_distinct(list_filter(string_split(name_norm, ' '), lambda w: w <> ''))) AS words FROM (SELECT 'area' AS pass, area AS key, LIFNR FROM keys UNION ALL SELECT 'first_token', first_token, LIFNR FROM keys) JOIN pv USING (LIFNR) WHERE key <> '' QUALIFY count(*) OVER (PARTITION BY pass, key) > 100"
+_SQL["bigp"] = "SELECT DISTINCT a.LIFNR AS LIFNR_A, b.LIFNR AS LIFNR_B, len(list_intersect(a.words, b.words)) AS i, len(a.words) + len(b.words) - len(list_intersect(a.words, b.words)) AS u FROM big a JOIN big b ON a.pass = b.pass AND a.key = b.key AND a.LIFNR < b.LIFNR WHERE len(a.words) > 0 AND len(b.words) > 0"
+
+
+@query("SELECT LIFNR_A, LIFNR_B, i::DOUBLE / u AS similarity FROM bigp WHERE 100 * i >= 60 * u", "parties", "pv keys big bigp")
+def skipped_pairs(spark, sf_dir):
+    """Pairs with similar names in blocks that are skipped, here those over 100; SQL compares all pairs of these blocks."""
+    return matching.pairs_of_skipped(Frames(spark, sf_dir).parties, largest=100)
+
+
 _FOLD = "(concat('0x', left(md5(LIFNR_A || '|' || LIFNR_B), 8))::BIGINT % 2)::INT"
 _SQL["folds"] = f"SELECT fold, count(*) AS n FROM (SELECT {_FOLD} AS fold FROM truth) GROUP BY 1"
 _SQL["levels"] = f"""SELECT choice, scorer, w AS weight, {_FOLD} AS fold, label, floor(CASE scorer WHEN 'one' THEN w * name_one ELSE w * round(100 * jaro_winkler_similarity(a.name_norm, b.name_norm), 6) END + v * address_score)::BIGINT AS level, count(*) AS n
@@ -544,6 +554,32 @@ def fingerprint_md5(spark, sf_dir):
     return verify.fingerprint(rows, verify.md5_of).select("n", F.col("h").cast("string").alias("h"))
 
 
+_SQL["vday"] = "SELECT extract_date AS part, count(*) AS n, sum(concat('0x', left(md5(concat_ws('|', strftime(extract_date, '%Y-%m-%d'), LIFNR, NAME1, SPERR)), 12))::BIGINT)::DECIMAL(38,0) AS h FROM s_vendor GROUP BY 1"
+
+
+@query("SELECT part, n, h::VARCHAR AS h FROM vday", _RAW, "s_vendor vday")
+def vendor_digests(spark, sf_dir):
+    """The fingerprint of every date of a table, by a hash that both engines have."""
+    rows = Frames(spark, sf_dir).read("silver_vendor").select("extract_date", "LIFNR", "NAME1", "SPERR")
+    return verify.digests(rows, row_hash=verify.md5_of).select("part", "n", F.col("h").cast("string").alias("h"))
+
+
+@query(
+    """SELECT p AS part, count(*) AS n_before, CASE WHEN p = (SELECT max(extract_date) FROM s_vendor) THEN NULL ELSE count(*) END AS n_after FROM (SELECT *, extract_date AS p FROM s_vendor)
+    WHERE p = (SELECT max(extract_date) FROM s_vendor) OR p = (SELECT min(extract_date) FROM s_vendor) GROUP BY 1""", _RAW, "s_vendor",
+)
+def changed_dates(spark, sf_dir):
+    """A name changed on the first date and the last date left out: the dates that digests tell apart, of which these two alone were read again."""
+    rows = written(Frames(spark, sf_dir).read("silver_vendor"), "vendor")
+    low, high = rows.agg(F.min("extract_date"), F.max("extract_date")).first()
+    kept = verify.Digests(spark, f"{shared_folder(spark)}/digests-{uuid.uuid4().hex}")
+    kept.record("vendor", rows)
+    one = rows.where(F.col("extract_date") == low).agg(F.min("LIFNR")).first()[0]
+    touched = rows.where(F.col("extract_date") < high).withColumn("NAME1", F.when((F.col("extract_date") == low) & (F.col("LIFNR") == one), F.lit("changed")).otherwise(F.col("NAME1")))
+    kept.record("vendor", touched, only=[low, high])
+    return kept.changed("vendor")
+
+
 @query("SELECT 'silver_vendor_bank' AS dataset, 'bank_key_present' AS expectation, count(*) AS planted, 0::BIGINT AS left_over FROM (SELECT DISTINCT LIFNR FROM b_lfbk WHERE BANKN = '')", "b_lfbk")
 def dropped_defects(spark, sf_dir):
     """Planted defects that a drop must leave none of."""

@@ -21,7 +21,7 @@ def test_shapes_are_stated_before_they_are_used():
     assert adapters.closed(["b_acdoca"]) == ["b_events", "b_acdoca"]
 
 
-@pytest.mark.parametrize("name", ["vendor_conformed", "scd2_bank", "rule_r03_shared_bank", "pair_stats", "latest_version", "block_stats", "jw_scores", "crosstab_labels", "pr_curve", "match_weights", "tuned", "fold_evaluation", "controls_feed", "bank_feed_stream", "bank_history_by_batches", "evidence_r08", "evidence_typed", "transactions_of_archives", "stream_expectations", "serve_controls_history", "invoice_runs", "fingerprint_md5"])
+@pytest.mark.parametrize("name", ["vendor_conformed", "scd2_bank", "rule_r03_shared_bank", "pair_stats", "latest_version", "block_stats", "jw_scores", "crosstab_labels", "pr_curve", "match_weights", "tuned", "fold_evaluation", "controls_feed", "bank_feed_stream", "bank_history_by_batches", "evidence_r08", "evidence_typed", "skipped_pairs", "changed_dates", "transactions_of_archives", "stream_expectations", "serve_controls_history", "invoice_runs", "fingerprint_md5"])
 def test_queries_equal_their_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     c = duckdb.connect()

@@ -272,3 +272,25 @@ def test_archives_without_what_is_needed(spark, tmp_path):
         z.writestr("one.csv", "recipient_name_raw\nx\n")
     with pytest.raises(Exception, match="no header for"):
         archives.transactions(spark, str(tmp_path)).count()
+
+
+@pytest.mark.parametrize("percent", [50, 60, 75, 100])
+def test_similar_names_of_skipped_blocks_by_brute_force(spark, percent):
+    rng = random.Random(percent)
+    words = [f"W{k}" for k in range(14)] + ["THE", "INC"] * 3
+    rows = [(f"{k:03d}", " ".join(rng.choice(words) for _ in range(rng.randint(0, 7))), "VA", rng.choice(["22101", "22199", "30000"])) for k in range(160)]
+    v = m.block_keys(spark.createDataFrame(rows, "LIFNR string, name_norm string, state string, zip5 string"))
+    got = {(r.LIFNR_A, r.LIFNR_B): r.similarity for r in m.pairs_of_skipped(v, percent, largest=12).collect()}
+    sizes = {}
+    keys = {k: {("area", f"VA|{z[:3]}"), *([("first_token", name.split(" ")[0])] if name else [])} for k, name, _, z in rows}
+    for own in keys.values():
+        for b in own:
+            sizes[b] = sizes.get(b, 0) + 1
+    want = {}
+    for x, (a, name_a, *_) in enumerate(rows):
+        for b, name_b, *_ in rows[x + 1 :]:
+            p, q = set(name_a.split()), set(name_b.split())
+            if p and q and any(sizes[k] > 12 for k in keys[a] & keys[b]) and 100 * len(p & q) >= percent * len(p | q):
+                want[a, b] = len(p & q) / len(p | q)
+    assert got == pytest.approx(want) and len(want) > 10
+    assert m.pairs_of_skipped(v, percent).count() == 0

@@ -134,6 +134,38 @@ def test_fingerprint_ignores_order_and_load_columns(spark):
     assert verify.counted(["a", "_x", "__y"]) == ["a", "__y"]
 
 
+def test_digests_name_the_dates_that_changed(spark, tmp_path):
+    rows = [(D(2024, 1, 1 + k % 6), f"v{k}", k) for k in range(60)] + [(None, "none", 0)]
+    df = spark.createDataFrame(rows, "extract_date date, LIFNR string, n long").withColumn("_source_file", F.lit("a"))
+    parts = verify.digests(df)
+    assert parts.count() == 7 and tuple(verify.combined(parts).first()) == tuple(verify.combined(verify.digests(df.repartition(3).withColumn("_source_file", F.lit("b")))).first())
+    planted = df.withColumn("n", F.when(F.col("LIFNR") == "v7", F.lit(99)).otherwise(F.col("n"))).where("extract_date IS NULL OR extract_date <> '2024-01-04'")
+    more = planted.unionByName(spark.createDataFrame([(D(2025, 1, 1), "new", 1, "a")], df.schema))
+    assert verify.combined(verify.digests(more)).first() != verify.combined(parts).first()
+    assert {tuple(r) for r in verify.differing(parts, verify.digests(more)).collect()} == {(D(2024, 1, 2), 10, 10), (D(2024, 1, 4), 10, None), (D(2025, 1, 1), None, 1)}
+    assert verify.differing(parts, verify.digests(df)).count() == 0
+    kept = verify.Digests(spark, f"file://{tmp_path}/digests")
+    kept.record("t", df)
+    kept.record("t", df, only=[D(2024, 1, 1)])  # a rerun of one date
+    assert kept.changed("t").count() == 0
+    kept.record("t", more, only=[D(2024, 1, 2), D(2024, 1, 4), D(2025, 1, 1)])
+    assert kept.changed("t").count() == 3 and verify.differing(kept.read("t"), verify.digests(more)).count() == 0
+    (tmp_path / "digests" / "t" / "state=9").mkdir()  # a record that died
+    assert verify.differing(kept.read("t"), verify.digests(more)).count() == 0
+
+
+def test_evidence_by_typed_paths(spark):
+    rows = [
+        (D(2024, 1, 1), "R01", "a", "", '{"other":"b","other_name":"B","score":91.5,"name_score":90.0}'), (D(2024, 1, 1), "R03", "a", "", '{"BANKS":"US","holders":["a","b"],"group_has_employee":true}'),
+        (D(2024, 1, 1), "R08", "a", "", '{"change_ts":"2024-01-01T08:15:00.000Z","payments":2,"paid_amount":12.50}'), (D(2024, 1, 1), "R99", "a", "", '{"score":1}'),
+    ]
+    df = rules.typed_evidence(spark.createDataFrame(rows, "extract_date date, rule_id string, LIFNR string, BUKRS string, evidence string"))
+    got = {r.rule_id: r for r in df.drop("evidence").collect()}
+    assert got["R01"].R01.score == 91.5 and got["R01"].R01.address_score is None and got["R03"].R03.holders == ["a", "b"] and got["R03"].R03.group_has_employee
+    assert (got["R08"].R08.payments, str(got["R08"].R08.paid_amount), got["R08"].R08.change_ts) == (2, "12.50", datetime(2024, 1, 1, 8, 15))
+    assert got["R99"].R01.score is None and got["R08"].R01.score is None
+
+
 def test_reconcile_counts(spark):
     hits = spark.createDataFrame([("R02", "a", "", D(2024, 1, 2)), ("R02", "a", "", D(2024, 1, 3)), ("R02", "x", "", D(2024, 1, 3)), ("R05", "a", "1000", D(2024, 1, 3))], "rule_id string, LIFNR string, BUKRS string, extract_date date")
     key = spark.createDataFrame([("R02", True, "a", "", D(2024, 1, 2)), ("R02", True, "m", "", D(2024, 1, 2)), ("R02", False, "x", "", None), ("R05", True, "a", "1000", D(2024, 1, 3))], "rule_id string, expected_flag boolean, LIFNR string, BUKRS string, expected_first date")
