@@ -2,14 +2,12 @@
 
 Facts carry the interval of dates on which they count. Instead of a join of every date with every fact, an
 interval is exploded to the extract dates that lie in it, so the work follows the result: dates are few (one for each
-extract), known to the driver, and found by position, not by search.
+extract), go to every task as one row, and are found by position, not by search. Nothing is run to plan it.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Sequence
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,15 +19,24 @@ def latest_version(rows: DataFrame, keys: Sequence[str], order: str | Column, va
     return rows.groupBy(*keys).agg(*[F.max_by(c, by).alias(c) for c in values], *extra)
 
 
+def dates_of(rows: DataFrame, date: str = "extract_date") -> DataFrame:
+    """The distinct dates of a table, one row for each extract."""
+    return rows.select(date).where(F.col(date).isNotNull()).distinct()
+
+
 def spine(rows: DataFrame, date: str = "extract_date") -> DataFrame:
-    """The distinct dates of a table, one row for each extract, as a table that costs nothing to read again."""
-    days = sorted(r[0] for r in rows.select(date).where(F.col(date).isNotNull()).distinct().collect())
+    """The same, in order, as a table that costs nothing to read again."""
+    days = sorted(r[0] for r in dates_of(rows, date).collect())
     return rows.sparkSession.createDataFrame([(d,) for d in days], f"{date} date")
 
 
-def _listed(values: Sequence, kind: str) -> Column:
-    """An array literal."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+def _calendar(dates: DataFrame, date: str) -> DataFrame:
+    """One row: the dates in order, and for each day from the first to the day after the last how many dates come before it; no row without dates."""
+    known = dates.agg(F.array_sort(F.collect_set(date)).alias("days")).where(F.size("days") > 0)
+    known = known.withColumns({"first": F.col("days")[0], "span": F.datediff(F.element_at("days", -1), F.col("days")[0])})
+    day = lambda k: F.date_add("first", k)
+    before = F.transform(F.sequence(F.lit(0), F.col("span") + 1), lambda k: F.size(F.filter("days", lambda d: d < day(k))))
+    return known.select(F.struct("days", "first", "span", before.alias("before")).alias("__calendar"))
 
 
 def on_dates(facts: DataFrame, dates: DataFrame, since: Column, until: Column, date: str = "extract_date") -> DataFrame:
@@ -38,15 +45,13 @@ def on_dates(facts: DataFrame, dates: DataFrame, since: Column, until: Column, d
     A null `since` or `until` is open. For each day between the first and the last date it is known how many dates
     come before it, so an interval is a slice of the dates: sparse dates make no more rows than they have.
     """
-    days = sorted(r[0] for r in dates.select(date).distinct().collect())
-    if not days:
-        return facts.where("false").withColumn(date, F.lit(None).cast("date"))
-    span = (days[-1] - days[0]).days
-    before = [bisect_left(days, days[0] + timedelta(days=k)) for k in range(span + 2)]
-    day = lambda c: F.datediff(c, F.lit(days[0]))
-    a, b = F.greatest(day(since), F.lit(0)), F.least(day(until), F.lit(span))
-    low, high = F.get(_listed(before, "int"), a), F.get(_listed(before, "int"), b + 1)
-    return facts.where(a <= b).withColumn(date, F.explode(F.slice(_listed(days, "date"), low + 1, high - low)))
+    columns = [c for c in facts.columns if c != date]
+    day = lambda c: F.datediff(c, F.col("__calendar.first"))
+    a, b = F.greatest(day(since), F.lit(0)), F.least(day(until), F.col("__calendar.span"))
+    low, high = F.get("__calendar.before", a), F.get("__calendar.before", b + 1)
+    # One row, of as many numbers as there are days from the first date to the last.
+    met = facts.crossJoin(F.broadcast(_calendar(dates, date))).where(a <= b)
+    return met.select(*columns, F.explode(F.slice("__calendar.days", low + 1, high - low)).alias(date))
 
 
 def open_on(lines: DataFrame, dates: DataFrame) -> DataFrame:

@@ -1,173 +1,44 @@
-"""The dataset graph and its runner: streams, then materialised tables in the order of what they read."""
+"""Jobs around a pipeline: land deliveries and update, and check that doing it again changes nothing."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
-from functools import partial, reduce
+import subprocess
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from mandrel.operators import conform, feeds, rules, temporal
-from mandrel.operators.expectations import Expectation, guarded
-from mandrel.operators.matching import named
-from mandrel.operators.scd2 import scd2
-from mandrel.operators.verify import fingerprints
-from mandrel.sources import bronze
+from mandrel.operators.verify import compare, fingerprints
 from mandrel.streaming import ingest
 
-TABLE, VIEW = "materialised", "view"
+#: An update of all data sets; with True everything is built again from the raw files.
+Update = Callable[[bool], None]
 
 
-@dataclass
-class Dataset:
-    name: str
-    build: Callable[[Callable[[str], DataFrame]], DataFrame]
-    kind: str = TABLE
-    rules: list[Expectation] = field(default_factory=list)
+def spark_pipelines(spec: str, command: Sequence[str] = ("spark-pipelines",)) -> Update:
+    """Updates by Spark's own runner."""
 
+    def update(full_refresh: bool) -> None:
+        subprocess.run([*command, "run", "--spec", spec, *(["--full-refresh-all"] if full_refresh else [])], check=True)
 
-class Graph:
-    """Datasets by name. What a dataset reads is found when it is built: reading builds first what is not there yet."""
+    return update
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.datasets: dict[str, Dataset] = {}
-        self.sources: dict[str, Callable[[], DataFrame]] = {}
-        self.built: dict[str, DataFrame] = {}
-        self.metrics: list[DataFrame] = []
-        self._open: list[str] = []
 
-    def source(self, name: str, read: Callable[[], DataFrame]) -> None:
-        self.sources[name] = read
-
-    def dataset(self, name: str, kind: str = TABLE, expectations: list[Expectation] | None = None):
-        """A decorator: registers a function of read(name) -> DataFrame."""
-
-        def add(build):
-            self.datasets[name] = Dataset(name, build, kind, expectations or [])
-            return build
-
-        return add
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def read(self, name: str) -> DataFrame:
-        if name in self.built:
-            return self.built[name]
-        if name in self.sources:
-            self.built[name] = self.sources[name]()
-            return self.built[name]
-        if name in self._open:
-            raise ValueError(f"datasets read each other: {' -> '.join([*self._open, name])}")
-        self._open.append(name)
-        try:
-            d = self.datasets[name]
-            checked = guarded(d.build(self.read), d.rules, name)
-            if d.kind == TABLE:
-                checked.frame.write.mode("overwrite").parquet(self.path(name))
-                if d.rules:
-                    self.metrics.append(checked.metrics(self.spark))
-                self.built[name] = self.spark.read.schema(checked.frame.schema).parquet(self.path(name))
-            else:
-                self.built[name] = checked.frame
-        finally:
-            self._open.pop()
-        return self.built[name]
-
-    def update(self) -> dict[str, DataFrame]:
-        """Rebuild every materialised dataset from what is there now."""
-        self.built, self.metrics = {}, []
-        for name, d in self.datasets.items():
-            if d.kind == TABLE:
-                self.read(name)
-        return {n: self.built[n] for n, d in self.datasets.items() if d.kind == TABLE}
-
-    def event_log(self) -> DataFrame | None:
-        return reduce(DataFrame.unionByName, self.metrics) if self.metrics else None
-
-
-RULES = ("r01", "r02", "r03", "r04", "r05", "r06", "r07", "r08")
-
-
-def monitoring(spark: SparkSession, inbox: str, root: str, initial: str, matches: str | None = None, windows: rules.Windows = rules.USUAL) -> Graph:
-    """The whole graph over an inbox of delivered extracts. matches: the matcher's candidate pairs."""
-    g = Graph(spark, root)
-    for t in bronze.TABLES:
-        name = f"bronze_{t.lower()}"
-        g.source(name, partial(ingest.table, spark, root, t))
-    for name, build in conform.SILVER.items():
-        g.dataset(name, expectations=conform.EXPECTATIONS.get(name))(build)
-
-    def items(read, tables):
-        return feeds.change_items(read("bronze_cdpos"), read("bronze_cdhdr"), tables)
-
-    @g.dataset("dim_vendor_bank_scd2")
-    def _(read):
-        feed = feeds.bank_feed(feeds.first_day(read("bronze_lfbk"), initial), items(read, ["LFBK"]), initial)
-        return scd2(feed, feeds.BANK_KEYS, feeds.BANK_SEQUENCE, feeds.BANK_TRACKED)
-
-    @g.dataset("dim_vendor_controls_scd2")
-    def _(read):
-        lfb1 = read("bronze_lfb1")
-        feed = feeds.controls_feed(feeds.first_day(read("bronze_lfa1"), initial), feeds.first_day(lfb1, initial), lfb1, items(read, ["LFA1", "LFB1"]), initial)
-        return scd2(feed, feeds.CONTROL_KEYS, feeds.CONTROL_SEQUENCE, feeds.CONTROL_COLUMNS, ignore_null=True)
-
-    @g.dataset("gold_duplicate_candidates", expectations=conform.EXPECTATIONS["gold_duplicate_candidates"])
-    def _(read):
-        columns = "LIFNR_A string, LIFNR_B string, name_score double, address_score double, score double, above_threshold boolean, threshold long, name_weight double, name_scorer string"
-        pairs = spark.read.parquet(matches) if matches else spark.createDataFrame([], columns)
-        return named(pairs, read("silver_vendor"))
-
-    dates = lambda read: temporal.spine(read("silver_vendor"))
-
-    @g.dataset("active_vendor", VIEW)
-    def _(read):
-        return rules.active_vendors(read("silver_vendor"), read("silver_open_items"), read("silver_payments"), dates(read), windows)
-
-    @g.dataset("bank_changes")
-    def _(read):
-        return rules.bank_changes(read("dim_vendor_bank_scd2"))
-
-    build = {
-        "r01": lambda r: rules.r01_duplicate(r("gold_duplicate_candidates"), r("active_vendor")),
-        "r02": lambda r: rules.r02_change_pay_change(r("bank_changes"), r("silver_payments"), dates(r), windows),
-        "r03": lambda r: rules.r03_shared_bank(r("silver_vendor_bank"), r("silver_vendor_company_code")),
-        "r04": lambda r: rules.r04_dormant(r("silver_vendor"), r("silver_journal_lines"), dates(r), windows),
-        "r05": lambda r: rules.r05_check_off(r("silver_vendor_company_code")),
-        "r06": lambda r: rules.r06_payee(r("silver_vendor"), r("silver_vendor_company_code"), r("silver_payments"), dates(r), windows),
-        "r07": lambda r: rules.r07_held(r("silver_vendor"), r("silver_vendor_company_code"), r("silver_open_items"), windows),
-        "r08": lambda r: rules.r08_paid_after_change(r("bank_changes"), r("silver_payments"), dates(r), windows),
-    }
-    for name, f in build.items():
-        g.dataset(f"rule_{name}", VIEW)(f)
-    g.dataset("gold_exceptions", expectations=conform.EXPECTATIONS["gold_exceptions"])(lambda r: rules.exceptions([r(f"rule_{x}") for x in RULES]))
-    g.dataset("gold_vendor_risk")(lambda r: rules.vendor_risk(r("gold_exceptions"), r("silver_open_items"), r("silver_vendor")))
-    g.dataset("gold_run_history")(lambda r: rules.run_history(r("gold_exceptions"), r("silver_open_items")))
-    g.inbox = inbox
-    return g
-
-
-def run(g: Graph, full_refresh: bool = False) -> dict[str, DataFrame]:
-    """One update: take in what is new, then rebuild what depends on it."""
-    ingest.update(g.spark, g.inbox, g.root, full_refresh)
-    return g.update()
-
-
-def replay(g: Graph, staging: str, dates: list[str], single_update: bool = False) -> dict[str, DataFrame]:
+def replay(update: Update, staging: str, inbox: str, dates: Iterable[str], single_update: bool = False) -> None:
     """Land dates and update, once for each or once for all."""
-    out: dict[str, DataFrame] = {}
     for d in dates:
-        ingest.land(staging, g.inbox, d)
+        ingest.land(staging, inbox, d)
         if not single_update:
-            out = run(g)
-    return run(g) if single_update else out
-
-
-def idempotent(g: Graph, staging: str, dates: list[str]) -> dict[str, list[str]]:
-    """Tables that change when dates come again, and when everything is rebuilt from raw files; both lists should be empty."""
-    before = fingerprints(g.update())
-    again = fingerprints(replay(g, staging, dates))
-    rebuilt = fingerprints(run(g, full_refresh=True))
-    return {"rerun": sorted(n for n in before if before[n] != again.get(n)), "rebuild": sorted(n for n in before if before[n] != rebuilt.get(n))}
+            update(False)
+    if single_update:
+        update(False)
+
+
+def idempotent(update: Update, read: Callable[[str], DataFrame], tables: Iterable[str], staging: str, inbox: str, dates: Sequence[str]) -> dict[str, list[str]]:
+    """Tables that change when dates come again, and when everything is built again; both lists should be empty."""
+    names = list(tables)
+    now = lambda: fingerprints({n: read(n) for n in names})
+    before = now()
+    replay(update, staging, inbox, dates)
+    again = now()
+    update(True)
+    return {"rerun": compare(before, again), "rebuild": compare(before, now())}
