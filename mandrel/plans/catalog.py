@@ -203,7 +203,7 @@ class Frames:
         if k == 3:
             return rules.r03_shared_bank(r("silver_vendor_bank"), r("silver_vendor_company_code"))
         if k == 4:
-            return rules.r04_dormant(r("silver_vendor"), r("silver_journal_lines"), d)
+            return rules.r04_dormant(r("silver_vendor"), rules.last_postings(r("silver_journal_lines"), d))
         if k == 5:
             return rules.r05_check_off(r("silver_vendor_company_code"))
         if k == 6:

@@ -13,7 +13,8 @@ from mandrel.operators.expectations import expect, expect_or_drop, expect_or_fai
 from mandrel.operators.scd2 import END, START, scd2
 from mandrel.plans import serving
 from mandrel.plans.adapters import shape
-from mandrel.plans.catalog import _ALL, _LINES, _MATCH, _RAW, _SQL, _TS, Frames, _address, _name, query
+from mandrel.plans.catalog import _ALL, _LINES, _MATCH, _RAW, _SQL, _TS, Frames, W, _address, _name, query
+from mandrel.plans.daily import Daily
 from mandrel.session import shared_folder, written
 from mandrel.sources import archives, zipped
 from mandrel.streaming import ingest
@@ -153,6 +154,48 @@ def stream_expectations(spark, sf_dir):
         return log.read()
 
 
+# By deltas ------------------------------------------------------------------------------------------------
+
+
+def by_deltas(spark, sf_dir, parts: int = 3) -> Daily:
+    """Results of all dates, taken in by deltas: all but the last parts - 1 dates at once, then these one by one. Of a change the last
+    word comes with its successor, so it comes twice."""
+    f = Frames(spark, sf_dir)
+    f.hold("silver_vendor", "silver_vendor_company_code", "silver_vendor_bank", "silver_journal_lines", "changes")
+    lines, changes = f.read("silver_journal_lines"), f.changes
+    days = sorted(r[0] for r in f.dates.collect())
+    d = Daily(spark, f"{shared_folder(spark)}/daily-{uuid.uuid4().hex}", W)
+    # Changes become known on the date of their day, or the first after it, as far as there is one.
+    calendar = F.array(*[F.lit(x) for x in days])
+    known = lambda c: F.coalesce(F.get(F.filter(calendar, lambda x: x >= F.to_date(c)), F.lit(0)), F.lit(days[-1]))
+    blank = {c: F.lit(None).cast(changes.schema[c].dataType) for c in changes.columns if c.startswith("next_")}
+    told = changes.withColumns(blank | {"known": known("ts")}).unionByName(changes.where("next_ts IS NOT NULL").withColumn("known", known("next_ts")))
+    told = written(told.groupBy("LIFNR", "ts", "CHANGENR", "known").agg(F.max_by(F.struct(*[c for c in changes.columns if c not in ("LIFNR", "ts", "CHANGENR")]), F.coalesce("next_ts", F.to_timestamp(F.lit("1900-01-01")))).alias("c")).select("LIFNR", "ts", "CHANGENR", "known", "c.*"), "told")
+    for part in [days[: 1 - parts], *[[x] for x in days[1 - parts :]]]:
+        of = lambda rows, c="extract_date": rows.where(F.col(c).isin(part))  # noqa: E731, B023
+        # Lines that come after the last date are posted before it, so they are told with it.
+        upto = F.lit(part[-1]) if part[-1] < days[-1] else F.lit(None).cast("date")
+        new = lines.where((F.col("first_extract_date") >= F.lit(part[0])) & F.coalesce(F.col("first_extract_date") <= upto, F.lit(True)))
+        gone = of(lines, "cleared_extract_date").select("LIFNR", "RBUKRS", "GJAHR", "BELNR", "DOCLN", "cleared_extract_date")
+        d.take(part, of(f.read("silver_vendor")), of(f.read("silver_vendor_company_code")), of(f.read("silver_vendor_bank")), new, gone, of(told, "known"), f.read("b_matches"))
+    return d
+
+
+@query("SELECT * FROM exc", _RAW, _ALL)
+def exceptions_by_deltas(spark, sf_dir):
+    return by_deltas(spark, sf_dir).read("exceptions").drop("evidence")
+
+
+@query("SELECT * FROM runs", _RAW, _ALL, money="exposure_flagged")
+def history_by_deltas(spark, sf_dir):
+    return by_deltas(spark, sf_dir, 2).read("history")
+
+
+@query("SELECT * FROM risk", _RAW, _ALL, money="exposure risk")
+def risk_by_deltas(spark, sf_dir):
+    return by_deltas(spark, sf_dir, 2).read("risk").withColumn("rules", F.array_join("rules", ","))
+
+
 # Evidence -------------------------------------------------------------------------------------------------
 
 

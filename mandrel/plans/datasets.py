@@ -98,7 +98,7 @@ def _rules(read: Callable[[str], DataFrame], w: rules.Windows) -> None:
         "rule_r01": lambda: rules.r01_duplicate(read("gold_duplicate_candidates"), read("active_vendor")),
         "rule_r02": lambda: rules.r02_change_pay_change(read("bank_changes"), read("silver_payments"), read("extract_dates"), w),
         "rule_r03": lambda: rules.r03_shared_bank(read("silver_vendor_bank"), read("silver_vendor_company_code")),
-        "rule_r04": lambda: rules.r04_dormant(read("silver_vendor"), read("silver_journal_lines"), read("extract_dates"), w),
+        "rule_r04": lambda: rules.r04_dormant(read("silver_vendor"), rules.last_postings(read("silver_journal_lines"), read("extract_dates")), w),
         "rule_r05": lambda: rules.r05_check_off(read("silver_vendor_company_code")),
         "rule_r06": lambda: rules.r06_payee(read("silver_vendor"), read("silver_vendor_company_code"), read("silver_payments"), read("extract_dates"), w),
         "rule_r07": lambda: rules.r07_held(read("silver_vendor"), read("silver_vendor_company_code"), read("silver_open_items"), w),
