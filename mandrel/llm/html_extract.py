@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mandrel.llm.common import small, staged
+from mandrel.llm.common import PARTS, small, staged
 
 FITTED, PERIOD = 8, 8
 
@@ -476,7 +476,10 @@ def wrappers(pages: DataFrame, fitted: int = FITTED) -> DataFrame:
     pages = pages.select("page_id", "url", "html")
     order = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")
     single = pages.where("html is not null").groupBy(host().alias("host"), F.xxhash64("html").alias("copy")).agg(F.min_by("page_id", F.struct(F.xxhash64("page_id"), "page_id")).alias("page_id"))
-    ids = single.where("host != ''").withColumn("r", F.row_number().over(order)).where(F.col("r") <= fitted)
+    # Ranked by parts of a host first, so that a host that most pages share sends few rows to one task.
+    in_part = Window.partitionBy("host", "part").orderBy(F.xxhash64("page_id"), "page_id")
+    ids = single.where("host != ''").withColumn("part", F.pmod(F.xxhash64("page_id", F.lit(1)), F.lit(PARTS)))
+    ids = ids.withColumn("r", F.row_number().over(in_part)).where(F.col("r") <= fitted).withColumn("r", F.row_number().over(order)).where(F.col("r") <= fitted)
     many = ids.groupBy("host").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     chosen = staged(ids.join(many, "host").select("page_id", "copy").distinct(), "fitted")
     sample = pages.withColumn("copy", F.xxhash64("html")).join(small(chosen, F.lit(64)), ["page_id", "copy"], "left_semi")
