@@ -398,6 +398,37 @@ def export_rows(spark, sf_dir):
     return rules.exceptions([spark.read.parquet(f"{folder}/{n}").agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n") for n in names])
 
 
+#: Of each export, columns whose text both engines spell alike.
+_SHOWN = {
+    "vendor_risk": ["extract_date", "LIFNR", "severity_tier", "exception_count", "NAME1", "risk_rank"], "exceptions": ["extract_date", "rule_id", "severity", "LIFNR", "BUKRS", "related_lifnr", "detail"],
+    "run_history": ["extract_date", "rule_id", "exceptions", "vendors_flagged", "new_vendors"], "duplicate_candidates": ["LIFNR_A", "LIFNR_B", "above_threshold", "NAME1_A", "NAME1_B"],
+    "bank_history": ["LIFNR", "BANKS", "BANKL", "BANKN", "source", "changed_by", "CHANGENR"], "controls_history": ["LIFNR", "BUKRS", "LFA1_CONFS", "LFB1_CONFS", "source", "changed_by", "CHANGENR"],
+    "open_items": ["extract_date", "LIFNR", "BUKRS", "GJAHR", "BELNR", "DOCLN", "BLART"], "vendors": ["extract_date", "LIFNR", "NAME1", "SPERR", "CONFS"],
+}
+_FROM = {"vendor_risk": "risk", "exceptions": "exc", "run_history": "runs", "duplicate_candidates": "t_pairs", "bank_history": "bhist", "controls_history": "t_controls", "open_items": "s_open", "vendors": "t_vendors"}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS name, count(*) AS n, sum(concat('0x', left(md5(concat_ws('|', {', '.join(columns)})), 12))::BIGINT)::DECIMAL(38,0)::VARCHAR AS h FROM {_FROM[n]}" for n, columns in _SHOWN.items()
+    ),
+    _SERVED, " ".join(dict.fromkeys(f"{_VIEWS} {_ALL} t_pairs items first bfeed bhist t_bank cfeed chist t_controls".split())),
+)
+def export_digests(spark, sf_dir):
+    """Content of all eight exports as they are written and read again: rows, and a hash of what a reader sees."""
+    s = Served(spark, sf_dir)
+    tables = {"gold_vendor_risk": s.risk, "gold_exceptions": s.exceptions, "gold_run_history": s.tables("run_history"), "gold_duplicate_candidates": s.tables("duplicate_candidates")}
+    tables |= {"silver_open_items": s.read("silver_open_items"), "silver_vendor": s.read("silver_vendor"), "dim_vendor_bank_scd2": s.bank_history, "dim_vendor_controls_scd2": s.controls_history}
+    serving.register(tables)
+    folder = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
+    serving.write_exports(spark, folder)
+    each = []
+    for n, columns in _SHOWN.items():
+        rows = spark.read.parquet(f"{folder}/{n}").select(*columns)
+        each.append(verify.fingerprint(rows, verify.md5_of).select(F.lit(n).alias("name"), "n", F.col("h").cast("string").alias("h")))
+    return rules.exceptions(each)
+
+
 # Pay runs -------------------------------------------------------------------------------------------------
 
 _SQL["p_state"] = """SELECT r.run, b.LIFNR, """ + ", ".join(f"coalesce((SELECT arg_max(VALUE_NEW, (ts, event_id)) FROM p_changes c WHERE c.LIFNR = b.LIFNR AND FNAME = '{f}' AND ts <= r.run + INTERVAL 12 HOUR), b.{f}) AS {f}" for f in payrun.HOLDS) + """
@@ -473,6 +504,25 @@ def match_weights(spark, sf_dir):
     return _weighed(spark, sf_dir)
 
 
+_SQL["start"] = "SELECT * FROM (VALUES " + ", ".join(f"('{g}', {k}, {(0.9 if k == max(levels) else 0.1 / max(levels))!r}::DOUBLE, {levels[k]!r}::DOUBLE)" for g, levels in _WEIGHTS.u.items() for k in levels) + ") s(g, level, m, u)"
+_SQL["soft"] = """SELECT *, n * odds / (1 + odds) AS expected FROM (SELECT p.*, (0.1::DOUBLE / (1 - 0.1::DOUBLE)) * coalesce(a.m / a.u, 1) * coalesce(b.m / b.u, 1) * coalesce(c.m / c.u, 1) AS odds FROM (SELECT g_name, g_address, g_zip, count(*) AS n FROM gam GROUP BY ALL) p
+    LEFT JOIN start a ON a.g = 'g_name' AND a.level = g_name LEFT JOIN start b ON b.g = 'g_address' AND b.level = g_address LEFT JOIN start c ON c.g = 'g_zip' AND c.level = g_zip)"""
+
+
+@query(
+    """SELECT g, level, round(total / sum(total) OVER (PARTITION BY g), 9) AS share FROM (SELECT s.g, s.level, 0.000001::DOUBLE + coalesce(sum(expected), 0) AS total FROM start s
+    LEFT JOIN (SELECT 'g_name' AS g, g_name AS level, expected FROM soft UNION ALL SELECT 'g_address', g_address, expected FROM soft UNION ALL SELECT 'g_zip', g_zip, expected FROM soft) x ON x.g = s.g AND x.level = s.level GROUP BY 1, 2)
+    UNION ALL SELECT 'prior', 0, round(sum(expected) / sum(n), 9) FROM soft""",
+    "parties", f"{_MATCH} gam start soft",
+)
+def em_step(spark, sf_dir):
+    """One step of expectation maximisation over the pattern counts of all blocked pairs, from given shares: what each level's share and the prior become."""
+    v = Frames(spark, sf_dir).parties
+    w = matching.em(matching.patterns(matching.comparisons(matching.candidate_pairs(v), v)), _WEIGHTS.u, 0.1, rounds=1)
+    rows = [(g, k, w.m[g][k]) for g in w.m for k in w.m[g]] + [("prior", 0, w.prior)]
+    return spark.createDataFrame(rows, "g string, level int, share double").withColumn("share", F.round("share", 9))
+
+
 @query(
     """SELECT t AS threshold, tp, fp, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 1 END::DOUBLE AS p, coalesce(tp / nullif((SELECT count(*) FROM truth), 0), 0)::DOUBLE AS r
     FROM (SELECT t, count(*) FILTER (WHERE label = 'match' AND match_weight >= t) AS tp, count(*) FILTER (WHERE label = 'non_match' AND match_weight >= t) AS fp FROM weighed, (SELECT (-10 + k * 0.25)::DOUBLE AS t FROM range(0, 201) x(k)) GROUP BY t))""",
