@@ -588,7 +588,8 @@ def hard_strata(spark, sf_dir):
     return rows.groupBy("stratum").agg(F.count("*").alias("n"), F.min(F.concat("LIFNR_A", "LIFNR_B")).alias("least"))
 
 
-@query("SELECT p.LIFNR_A, p.LIFNR_B, coalesce(w.match_weight, -99) AS match_weight FROM pairs p LEFT JOIN (SELECT * FROM weighed WHERE match_weight > -5) w ON w.LIFNR_A = p.LIFNR_A AND w.LIFNR_B = p.LIFNR_B", "parties", _GAMMA)
+# Every pair has a weight, so what a join with the weights over -5 leaves out is what is not over it.
+@query("SELECT LIFNR_A, LIFNR_B, CASE WHEN match_weight > -5 THEN match_weight ELSE -99 END AS match_weight FROM weighed", "parties", _GAMMA)
 def model_scores(spark, sf_dir):
     """All blocked pairs beside a model that gives weights for some."""
     return matching.with_model(matching.candidate_pairs(Frames(spark, sf_dir).parties), _weighed(spark, sf_dir).where("match_weight > -5"))
