@@ -95,7 +95,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Laws of the sharding, by shard: its rows, and that slots run from 0 without a gap; bytes and checksums of all rows in one."""
+    """Laws of the sharding, by shard: its rows, and that slots run from 0 without a gap."""
     rows = staged(op6_sharding(spark, sf_dir), "sharded")
     slots = (F.min("slot") == 0) & (F.max("slot") == F.count("*") - 1) & (F.count_distinct("slot") == F.count("*"))
     return rows.groupBy("shard").agg(F.count("*").alias("n_rows"), slots.alias("gapless"))
