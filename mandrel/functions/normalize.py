@@ -17,6 +17,10 @@ ADDRESS_FORMS = {
 }
 
 
+#: Fixed value: the article, at the beginning or the end.
+ARTICLE = "^THE |(?<= )THE$"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,7 +44,7 @@ def _shortened(c: Column, forms: dict[str, str]) -> Column:
 def normalize_name(c: str | Column) -> Column:
     spaced = _squeezed(F.replace(_shortened(cleaned(c), NAME_FORMS), F.lit("&"), F.lit(" & ")))
     # Both ends lose the article, also where they share a space.
-    return F.trim(F.regexp_replace(spaced, "^THE |(?<= )THE$", ""))
+    return F.trim(F.regexp_replace(spaced, ARTICLE, ""))
 
 
 def normalize_address(c: str | Column) -> Column:
