@@ -23,6 +23,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ from mandrel.llm.common import small, staged
 
 WINDOW = 2048
 END_ID = 1
-#: Words that a worker remembers with their ids; beyond, it forgets all and starts again.
-CACHE_WORDS = 1_500_000
+#: Bytes of words and ids, with what a dictionary spends on an entry, that a worker remembers at most: beyond half of it, what has not been met since goes.
+CACHE_BYTES, ENTRY_BYTES = 512 << 20, 130
 #: Rounds in which combinations enter the least-squares problem, the gain that one must promise, and how many of a round may share a length.
 ROUNDS, GAIN, SPREAD = 12, 0.5, 4
 #: Full windows of one partition are numbered in a range of their own of this size.
@@ -54,15 +55,31 @@ class WordTokens:
     A word of letters and trailing punctuation is split once more, as the tokenizer itself does.
     """
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self._forget()
+
+    def _forget(self) -> None:
+        """The words that were met since the last time become the old ones, and the old ones go."""
+        self.old = getattr(self, "words", {})
         self.words: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {"": b""}
+        self.size = 0
+
+    def _unknown(self, words: set[str]) -> set[str]:
+        """What is new of words; of the rest, what is old is taken into use again."""
+        words = words.difference(self.words)
+        again = words & self.old.keys()
+        self.words.update((w, self.old[w]) for w in again)
+        self._count(again)
+        return words - again
+
+    def _count(self, words) -> None:
+        self.size += ENTRY_BYTES * len(words) + 2 * sum(map(len, words))
 
     def _runs(self, missing: list[str]) -> None:
         if not missing:
@@ -70,11 +87,11 @@ class WordTokens:
         got = self.tokenizer.encode(" ".join(missing), add_special_tokens=False)
         owner = np.array(got.word_ids)
         if owner[-1] == len(missing) - 1:
-            cut = 4 * np.searchsorted(owner, np.arange(len(missing) + 1))
+            cut = (4 * np.searchsorted(owner, np.arange(len(missing) + 1))).tolist()
             ids = np.array(got.ids, dtype="<u4").tobytes()
-            self.runs.update((w, ids[a:b]) for w, a, b in zip(missing, cut, cut[1:], strict=False))
+            self.words.update(zip(missing, map(ids.__getitem__, map(slice, cut, cut[1:])), strict=False))
         else:
-            self._whole(missing, self.runs)
+            self._whole(missing, self.words)
 
     def _whole(self, missing: list[str], into: dict[str, bytes]) -> None:
         for w, got in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
@@ -82,28 +99,32 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [x.replace("\n", " ").split(" ") for x in texts]
-        new = set(chain.from_iterable(split)).difference(self.words)
-        if len(self.words) + len(new) > self.limit:
-            self.words, self.runs = {"": b""}, {"": b""}
-            new = set(chain.from_iterable(split)) - {""}
-        parts, whole, runs = [], [], set()
-        for w in new:
+        if 2 * self.size > self.limit:
+            self._forget()
+        fresh = self._unknown(set(chain.from_iterable(split)))
+        # Lists of plain strings: nothing here is of interest to the collector of cycles.
+        plain, whole, parted, lows, rests = [], [], [], [], []
+        for w in fresh:
+            if w.isascii() and w.isalpha() and w.islower():
+                plain.append(w)
+                continue
             stem = w.rstrip(_PUNCTUATION)
             low, rest = stem.lower(), w[len(stem) :]
             # Lower case of a capital dotted I ends in a mark that the tokenizer joins to what follows.
-            if stem.isalpha() and max(stem) < "ɐ" and low.isalpha():
-                parts.append((w, low, rest))
-                if low not in self.runs:
-                    runs.add(low)
-                if rest not in self.runs:
-                    runs.add(rest)
+            if stem.isalpha() and (stem.isascii() or max(stem) < "ɐ") and low.isalpha():
+                parted.append(w)
+                lows.append(low)
+                rests.append(rest)
             else:
                 whole.append(w)
-        self._runs(list(runs))
+        more = self._unknown({*lows, *rests}).difference(plain)
+        self._runs([*plain, *more])
         if whole:
             self._whole(whole, self.words)
-        known = self.runs
-        self.words.update((w, known[a] + known[b]) for w, a, b in parts)
+        known = self.words
+        known.update(zip(parted, map(add, map(known.__getitem__, lows), map(known.__getitem__, rests)), strict=True))
+        self._count(fresh)
+        self._count(more)
         find = self.words.__getitem__
         return [b"".join(map(find, x)) for x in split]
 
@@ -111,7 +132,7 @@ class WordTokens:
 _WORKER: dict[str, WordTokens] = {}
 
 
-def _tokenised(path: str, window: int, end_id: int):
+def _tokenised(path: str, window: int, end_id: int, cache: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +140,7 @@ def _tokenised(path: str, window: int, end_id: int):
             _WORKER.clear()
             _WORKER[path] = WordTokens(path)
         words = _WORKER[path]
+        words.limit = cache
         pid = TaskContext.get().partitionId()
         rank = np.zeros(window, dtype=np.int64)
         full = 0
@@ -143,10 +165,10 @@ _NAMES = [x.split()[0] for x in STAGED.split(", ")]
 _TYPES = [pa.int64()] * 5 + [pa.list_(pa.int64())] + [pa.int64()] * 3 + [pa.binary()]
 
 
-def tokenised(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, cache: int = CACHE_BYTES) -> DataFrame:
     """One row for each document: lengths, checksums, the tail's ids and its rank in its partition. Written once."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return staged(rows.mapInArrow(_tokenised(path, window, end_id), STAGED), "tokenised")
+    return staged(rows.mapInArrow(_tokenised(path, window, end_id, cache), STAGED), "tokenised")
 
 
 @dataclass(frozen=True)
@@ -303,6 +325,6 @@ def packed(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return full.unionByName(tails)
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """Pack whole documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    return packed(tokenised(docs, path, window, end_id), window)
+def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, cache: int = CACHE_BYTES) -> DataFrame:
+    """Pack whole documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. cache: bytes that a worker remembers of words; fewer take longer."""
+    return packed(tokenised(docs, path, window, end_id, cache), window)
