@@ -2,7 +2,7 @@
 
 The pattern set is every window of `span` words of every item (a shorter item is one window). Texts and items are
 normalised alike (ASCII lower case, every run of other characters than word characters parts words) and a word of the
-benchmark becomes one character, so a window is a string of `span` characters and an occurrence has its word
+benchmark becomes two characters, so a window is a string of 2 * `span` characters and an occurrence has its word
 positions; `ranges` maps them to offsets of the original. A text is scanned once.
 
 An automaton holds MAX_WINDOWS windows or so, some 100 MB, whatever the benchmark's size. A benchmark with more is dealt over
@@ -19,8 +19,10 @@ pass through, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pandas as pd
@@ -34,8 +36,8 @@ from mandrel.llm.common import OWN, fields, staged
 SPAN = 13
 #: The digest of no items.
 NOTHING = hashlib.sha256(b"").hexdigest()
-#: Windows in one automaton, as an average over the parts of a benchmark.
-MAX_WINDOWS = 100_000
+#: Windows in one automaton, as an average over the parts of a benchmark; a window has two nodes a word at most.
+MAX_WINDOWS = 50_000
 #: Words of an item that are dealt together.
 SLICE = 4096
 
@@ -61,25 +63,23 @@ class Automaton:
 
     def __init__(self, items: list[tuple[str, list[bytes]]], span: int = SPAN):
         """items: name, and words of the item or of a slice of it."""
-        self.letters: dict[bytes, str] = {}
+        words = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(x for _, x in items)))}
+        # Two characters for each word, from alphabets of their own: so a node has few edges, whatever the vocabulary, and a match begins at a word.
+        base = math.isqrt(len(words)) + 1
+        self.letters = {w: chr(1 + k // base) + chr(1 + base + k % base) for w, k in words.items()}
         entries: dict[str, set[str]] = {}
-        for name, words in items:
-            line = "".join([self._letter(w) for w in words])
-            n = min(span, len(words))
-            for at in range(len(words) - n + 1 if n else 0):
-                entries.setdefault(line[at : at + n], set()).add(name)
+        for name, own in items:
+            line = "".join([self.letters[w] for w in own])
+            n = min(span, len(own))
+            for at in range(len(own) - n + 1 if n else 0):
+                entries.setdefault(line[2 * at : 2 * (at + n)], set()).add(name)
         self.names = [tuple(x) for x in entries.values()]
         self.trie = ahocorasick.Automaton()
         for k, window in enumerate(entries):
-            self.trie.add_word(window, (len(window), k))
+            self.trie.add_word(window, (len(window) // 2, k))
         if entries:
             self.trie.make_automaton()
 
-    def _letter(self, word: bytes) -> str:
-        """A character of its own for each word of the benchmark; surrogates are left out, and 0 is any other word."""
-        k = len(self.letters) + 1
-        return self.letters.setdefault(word, chr(k if k < 0xD800 else k + 0x800))
-
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Words of the text, merged word ranges that are hit (end exclusive), items that occur."""
         words = normalised(text)
@@ -88,8 +88,9 @@ class Automaton:
         get = self.letters.get
         found: list[tuple[int, int]] = []
         seen: set[int] = set()
-        for end, (n, k) in self.trie.iter("".join([get(w, "\0") for w in words])):
-            found.append((end - n + 1, end + 1))
+        for end, (n, k) in self.trie.iter("".join([get(w, "\0\0") for w in words])):
+            last = end // 2 + 1
+            found.append((last - n, last))
             seen.add(k)
         return len(words), merged(found), {x for k in seen for x in self.names[k]}
 
