@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mandrel.llm.common import PARTS
+
 ORDERS = (1, 2, 3)
 #: n-grams are hashed to this many places.
 PLACES = 1 << 16
@@ -134,8 +136,10 @@ def train(docs: DataFrame, allowed: Column, per_language: int = PER_LANGUAGE) ->
     # Of rows that repeat an id and language, the text that hashes lowest counts, so that they crowd nobody out.
     rows = rows.withColumn("hash", F.xxhash64("text"))
     single = rows.groupBy("doc_id", "lang").agg(F.min("hash").alias("hash"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = F.broadcast(single.withColumn("r", rank).where(F.col("r") <= per_language).drop("r"))  # SAMPLE rows at most
+    # Ranked by parts of a language first, so that a language that most documents share sends few rows to one task.
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id")) <= per_language
+    single = single.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))).withColumn("first", rank("lang", "part")).where("first")
+    picked = F.broadcast(single.withColumn("first", rank("lang")).where("first").drop("first", "part"))  # SAMPLE rows at most
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
