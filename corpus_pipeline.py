@@ -27,6 +27,8 @@ from mandrel.llm.common import shared_dir, table
 
 #: SQL has no tokenizer.
 ORACLE_SQL = None
+#: What a packing worker remembers of words: less than on its own, as executors have worked on four stages before.
+CACHE_BYTES = 64 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cache=CACHE_BYTES)
 
 
 STAGES = [
