@@ -21,3 +21,13 @@ def test_pairs_of_several_blocks_come_once_and_are_not_shuffled(spark):
     assert pairs == sorted(want)
     top = got._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
     assert "Aggregate" not in top  # pairs are joined, and that is all
+
+
+def test_compared_columns_come_with_the_pairs(spark):
+    v = spark.createDataFrame([(f"v{k}", "a" if k < 6 else "b", f"name {k % 3}", f"road {k % 2}", "1") for k in range(9)] + [("v1", "a", "name 7", "", "2")], "LIFNR string, block string, name_norm string, address_norm string, zip5 string")
+    pairs = matching.candidate_pairs(v, passes=("block",))
+    carried = matching.comparisons(matching.candidate_pairs(v, passes=("block",), carried=matching.COMPARED), v)
+    columns = ["LIFNR_A", "LIFNR_B", *matching.GAMMAS]
+    rows = lambda df: sorted(map(tuple, df.select(*columns).collect()))
+    assert rows(carried) == rows(matching.comparisons(pairs, v)) != []
+    assert "Join" not in carried._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
