@@ -31,3 +31,18 @@ def test_compared_columns_come_with_the_pairs(spark):
     rows = lambda df: sorted(map(tuple, df.select(*columns).collect()))
     assert rows(carried) == rows(matching.comparisons(pairs, v)) != []
     assert "Join" not in carried._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+
+
+def test_pairs_of_skipped_blocks_come_once_and_are_not_shuffled(spark):
+    rng = random.Random(5)
+    rows = [(f"v{k % 30:02}", rng.choice("ab"), rng.choice("xy"), " ".join(rng.sample(["one", "two", "six"], rng.randint(1, 3)))) for k in range(34)]  # four have several names
+    want = set()
+    for (a, *ka, x), (b, *kb, y) in itertools.product(rows, rows):
+        s, t = set(x.split()), set(y.split())
+        if a < b and any(p == q for p, q in zip(ka, kb, strict=True)) and 100 * len(s & t) >= 60 * len(s | t):
+            want.add((a, b, len(s & t) / len(s | t)))
+    got = matching.pairs_of_skipped(spark.createDataFrame(rows, "LIFNR string, area string, first_token string, name_norm string"), largest=3)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # Of identities with one name, pairs are joined and no more.
+    plan = got._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and "Aggregate" not in plan.children().apply(0).toString()
