@@ -22,7 +22,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import accumulate, chain
 from operator import add
 
 import numpy as np
@@ -62,6 +62,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
@@ -81,6 +82,13 @@ class WordTokens:
     def _count(self, words) -> None:
         self.size += ENTRY_BYTES * len(words) + 2 * sum(map(len, words))
 
+    def _letters(self, missing: list[str]) -> None:
+        """Words of small ASCII letters: normal as they are and in one part, so they go to the tokenizer's model at once."""
+        got = list(map(self.model.tokenize, missing))
+        cut = [0, *accumulate([4 * len(x) for x in got])]
+        ids = np.array([t.id for x in got for t in x], dtype="<u4").tobytes()
+        self.words.update(zip(missing, map(ids.__getitem__, map(slice, cut, cut[1:])), strict=False))
+
     def _runs(self, missing: list[str]) -> None:
         if not missing:
             return
@@ -118,7 +126,9 @@ class WordTokens:
             else:
                 whole.append(w)
         more = self._unknown({*lows, *rests}).difference(plain)
-        self._runs([*plain, *more])
+        small = [w for w in more if w.isascii() and w.isalpha()]
+        self._letters([*plain, *small])
+        self._runs(list(more.difference(small)))
         if whole:
             self._whole(whole, self.words)
         known = self.words

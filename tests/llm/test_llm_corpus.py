@@ -327,3 +327,17 @@ def test_names_with_dots_pass_all_stages(spark, tmp_path):
         df = spark.read.parquet(f"{tmp_path}/{name}")
     assert sorted(r["doc_id"] for r in df.collect()) == [0, 1, 2, 3] and {tuple(r[c] for c in more) for r in df.collect()} == {("m", "n", "o", 7)}
     assert corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).select("doc_id").distinct().count() == 4
+
+
+def test_words_of_small_letters_reach_the_model_at_once():
+    """They need no normal form and no parts; their ids are the tokenizer's."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from mandrel.llm import packing
+
+    text = "the don re ve ll abchtzq the " + "x" * 300
+    want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    w = packing.WordTokens(PATH)
+    w.tokenizer = None
+    assert np.frombuffer(w.encode([text])[0], dtype="<u4").tolist() == want
