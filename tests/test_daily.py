@@ -145,3 +145,11 @@ def test_pairs_and_accounts_are_made_where_they_are_read(spark, world, tmp_path)
     want = world.rebuilt(DAYS[1])["exceptions"].where((F.col("extract_date") == F.lit(DAYS[0])) | (F.col("rule_id") != "R01") | F.col("LIFNR").isin("v3", "v4"))
     assert of({"x": daily.read("exceptions")}) == of({"x": want})
     assert of({"x": daily.at("exceptions", DAYS[:1])}) == of({"x": want.where(F.col("extract_date") == F.lit(DAYS[0]))})
+
+
+def test_a_run_keeps_up_what_is_asked_of_it(spark, world, tmp_path):
+    """Risk alone makes no history and stores no hits."""
+    daily = Daily(spark, f"file://{tmp_path}/daily", W, ["risk"])
+    daily.take(DAYS[:1], *world.delivered(DAYS[:1]))
+    assert of({"x": daily.read("risk")}) == of({"x": world.rebuilt(DAYS[0])["risk"]})
+    assert not {"history", "exceptions"} & {p.name for p in (tmp_path / "daily").iterdir()}
