@@ -46,3 +46,21 @@ def test_pairs_of_skipped_blocks_come_once_and_are_not_shuffled(spark):
     # Of identities with one name, pairs are joined and no more.
     plan = got._jdf.queryExecution().optimizedPlan()
     assert plan.nodeName() == "Union" and "Aggregate" not in plan.children().apply(0).toString()
+
+
+def test_a_row_of_the_join_of_skipped_blocks_is_many_pairs(spark, monkeypatch):
+    monkeypatch.setattr(matching, "SLICE", 8)
+    monkeypatch.setattr(matching, "CHUNK", 3)
+    rng = random.Random(6)
+    rows = [(f"v{k:02}", rng.choice("ab"), rng.choice("xy"), rng.choice(["one two", "one two six", "six"])) for k in range(70)]
+    rows += [("v69", "a", "x", "one"), ("v68", "b", "y", rows[68][3]), ("v67", "a", "", rows[67][3])]  # several names, or several blocks of one pass
+    want = set()
+    for (a, *ka, x), (b, *kb, y) in itertools.product(rows, rows):
+        s, t = set(x.split()), set(y.split())
+        if a < b and any(p == q != "" for p, q in zip(ka, kb, strict=True)) and 100 * len(s & t) >= 60 * len(s | t):
+            want.add((a, b, len(s & t) / len(s | t)))
+    got = matching.pairs_of_skipped(spark.createDataFrame(rows, "LIFNR string, area string, first_token string, name_norm string"), largest=3)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # What is joined has lists on both sides; pairs are made of a joined row and not shuffled.
+    plan = got._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+    assert plan.split("Join Inner")[0].count("Generate explode(m_") == 2
